@@ -307,3 +307,50 @@ ORACLES["unpaid_stays"] = _with(_visits(), _visits("paid", f"ts < TIMESTAMP '{LE
 SELECT license_plate, last_location AS location, entry_time, exit_time, total_fee FROM visits
 WHERE closed AND (license_plate, last_location, entry_time) NOT IN
   (SELECT (license_plate, last_location, entry_time) FROM paid WHERE closed)"""
+
+
+# streams give what their batch forms give
+ORACLES["snapshot_roundtrip"] = ORACLES["snapshot_all"]
+ORACLES["stream_snapshot"] = ORACLES["snapshot_all"]
+ORACLES["stream_lifetime_complete"] = ORACLES["active_vehicles"]
+ORACLES["stream_lifetime_update"] = ORACLES["lifetime_fees"]
+ORACLES["stream_restart"] = ORACLES["lifetime_fees"]
+ORACLES["stream_window_update"] = ORACLES["window_fees_30s"]
+ORACLES["stream_slot_fsm"] = ORACLES["slot_fsm_current"]
+ORACLES["stream_visits"] = ORACLES["visit_fees"]
+ORACLES["stream_park_exit_pairs"] = ORACLES["park_exit_pairs"]
+ORACLES["stream_history"] = ORACLES["checkout_history"]
+ORACLES["stream_slot_releases"] = _with(FSM) + "SELECT * EXCLUDE (from_end, event_id) FROM fsm WHERE status = 'EXITING'"
+ORACLES["stream_dedup"] = _with() + """
+SELECT DISTINCT "timestamp", license_plate, location, status_code, timestamp_unix FROM feed"""
+
+CUT_1, CUT_2 = "2024-01-11 00:00:00", "2024-01-21 00:00:00"
+ORACLES["stream_late_data"] = (
+    _with(_totals("life", "ENTERING", f"ts >= TIMESTAMP '{CUT_1}'", "window_start, location, license_plate"))
+    + "SELECT * EXCLUDE (exit_timestamp) FROM life"
+)
+ORACLES["stream_metrics"] = _with() + f"""
+SELECT batch_id, count(*) AS records, count(*) AS usable, count(*) FILTER (WHERE {BILLABLE}) AS billable
+FROM (SELECT status_code, CAST(CASE WHEN ts < TIMESTAMP '{CUT_1}' THEN 0 WHEN ts < TIMESTAMP '{CUT_2}' THEN 1 ELSE 2 END
+                               AS BIGINT) AS batch_id FROM feed) GROUP BY batch_id"""
+
+# (slot, vehicle) rows as they stand after each part of the feed
+_PARTS = ", ".join(
+    _totals(name, "PARKED", f"{BILLABLE}{until}")
+    for name, until in (
+        ("life_0", f" AND ts < TIMESTAMP '{CUT_1}'"),
+        ("life_1", f" AND ts < TIMESTAMP '{CUT_2}'"),
+        ("life", ""),
+    )
+)
+_LEFT = "entry_time IS NOT NULL AND current_status = 'EXITING'"
+_STAYS = f"""stays AS (
+  SELECT *, row_number() OVER (PARTITION BY license_plate, location, entry_time ORDER BY part DESC) AS n
+  FROM (SELECT *, 0 AS part FROM life_0 UNION ALL SELECT *, 1 FROM life_1 UNION ALL SELECT *, 2 FROM life)
+  WHERE {_LEFT})"""
+ORACLES["stream_checkout"] = _with(_PARTS, _STAYS) + """
+SELECT license_plate, location AS exit_location, entry_time, entry_timestamp, exit_timestamp, parked_minutes, total_fee
+FROM stays WHERE n = 1"""
+ORACLES["stream_fanout"] = _with(_PARTS, _STAYS) + f"""
+SELECT {SNAPSHOT_COLUMNS}, (license_plate, location) IN (SELECT (license_plate, location) FROM stays) AS checked_out
+FROM life WHERE entry_time IS NOT NULL"""
