@@ -12,7 +12,9 @@ ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvi
 _local_base: str | None = None
 
 
-def build_session(master: str | None = None, app: str = "lotflow", shuffle_partitions: int | None = None) -> SparkSession:
+def build_session(
+    master: str | None = None, app: str = "lotflow", shuffle_partitions: int | None = None, conf: dict[str, str] | None = None
+) -> SparkSession:
     """A session with the settings the engine expects; on a cluster leave ``master`` unset."""
     builder = (
         SparkSession.builder.appName(app)
@@ -26,6 +28,8 @@ def build_session(master: str | None = None, app: str = "lotflow", shuffle_parti
         builder = builder.master(master)
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    for name, value in (conf or {}).items():
+        builder = builder.config(name, value)
     return prepare(builder.getOrCreate())
 
 
