@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lotflow.functions.columns import div
+from lotflow.functions.columns import EVENT_ORDER, div
 from lotflow.operators.quality import known_events
-from lotflow.plans.ordered import HotKeys, neighbour, split_hot, unsplit
+from lotflow.plans.ordered import HotKeys, neighbour, split_hot
 
 _KEYS = ["license_plate", "location"]
 
@@ -16,15 +16,18 @@ ALLOWED_STEPS = (("ENTERING", "PARKED"), ("PARKED", "MOVING"), ("MOVING", "EXITI
 USUAL_SECONDS = {"PARKED": (60, 300), "MOVING": (10, 30)}
 
 
-def status_changes(events: DataFrame, hot: HotKeys = HotKeys()) -> DataFrame:
-    """Events of a (vehicle, slot) whose status differs from the one before."""
+def _changes(events: DataFrame, hot: HotKeys) -> DataFrame:
+    """Changes of status, still split by (vehicle, slot)."""
     rows = known_events(events).where(F.col("license_plate").isNotNull())
-    rows = rows.select(*_KEYS, "status_code", "timestamp_unix", "status_rank", "event_id")
+    rows = rows.select(*_KEYS, "status_code", *EVENT_ORDER)
     near = neighbour(split_hot(rows, _KEYS, hot), _KEYS, ["status_code"], "prev")
     changed = F.col("prev").isNull() | (F.col("prev.status_code") != F.col("status_code"))
-    return unsplit(near.where(changed)).select(
-        *_KEYS, F.col("prev.status_code").alias("prev_status"), "status_code", "timestamp_unix", "status_rank", "event_id"
-    )
+    return near.where(changed).withColumn("prev_status", F.col("prev.status_code")).drop("prev")
+
+
+def status_changes(events: DataFrame, hot: HotKeys = HotKeys()) -> DataFrame:
+    """Events of a (vehicle, slot) whose status differs from the one before."""
+    return _changes(events, hot).select(*_KEYS, "prev_status", "status_code", "timestamp_unix", "event_id")
 
 
 def is_allowed(previous: Column, status: Column) -> Column:
@@ -41,11 +44,13 @@ def transition_audit(changes: DataFrame) -> DataFrame:
     return counts.withColumn("allowed", is_allowed(F.col("prev_status"), F.col("status_code")))
 
 
-def status_spells(changes: DataFrame, hot: HotKeys = HotKeys()) -> DataFrame:
+def status_spells(events: DataFrame, hot: HotKeys = HotKeys()) -> DataFrame:
     """Each change with the seconds until the next one of its (vehicle, slot); the last has none."""
-    near = neighbour(split_hot(changes, _KEYS, hot), _KEYS, ["timestamp_unix"], "next", following=True)
-    return unsplit(near).select(
-        *_KEYS, "status_code", "timestamp_unix",
+    near = neighbour(_changes(events, hot), _KEYS, ["timestamp_unix"], "next", following=True)
+    return near.select(
+        *_KEYS,
+        "status_code",
+        "timestamp_unix",
         (F.col("next.timestamp_unix") - F.col("timestamp_unix")).alias("dwell_seconds"),
     )
 

@@ -5,31 +5,41 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lotflow.functions.columns import pack_latest, packed_status, packed_time
+from lotflow.functions.columns import EVENT_ORDER, pack_latest, packed_status, packed_time
 from lotflow.operators.lifetime import with_fees
 from lotflow.operators.quality import billable_events
-from lotflow.plans.ordered import HotKeys, neighbour, order_key, running_total, split_hot, unsplit
+from lotflow.plans.ordered import HotKeys, neighbour, order_key, running, split_hot, unsplit
 from lotflow.settings import Settings
 
 _PLATE = ["license_plate"]
 
 
+def _split_by_plate(events: DataFrame, hot: HotKeys) -> DataFrame:
+    rows = billable_events(events).where(F.col("license_plate").isNotNull())
+    return split_hot(
+        rows.select(*_PLATE, "location", "status_code", "parked_time", *EVENT_ORDER), _PLATE, hot
+    )
+
+
+def _exiting() -> Column:
+    return (F.col("status_code") == "EXITING").cast("long")
+
+
 def numbered_events(events: DataFrame, hot: HotKeys = HotKeys(), max_gap_seconds: int | None = None) -> DataFrame:
     """Billable events with ``visit_no``: the EXITING rows of the vehicle before each.
 
     With ``max_gap_seconds`` a silence of more than that also ends a visit, for vehicles whose
     EXITING never came.
     """
-    rows = billable_events(events).where(F.col("license_plate").isNotNull())
-    split = split_hot(rows, _PLATE, hot)
-    exiting = F.col("status_code") == "EXITING"
+    split = _split_by_plate(events, hot)
     if max_gap_seconds is None:
-        return unsplit(running_total(split, _PLATE, exiting.cast("long"), "visit_no", before=True))
+        numbered = running(split, _PLATE, {"exits": _exiting()})
+        return unsplit(numbered.withColumn("visit_no", F.col("exits") - _exiting()).drop("exits"))
     near = neighbour(split, _PLATE, ["timestamp_unix", "status_code"], "prev")
     silent = F.col("timestamp_unix") - F.col("prev.timestamp_unix") > max_gap_seconds
     starts = F.coalesce((F.col("prev.status_code") == "EXITING") | silent, F.lit(False))
-    marked = near.withColumn("_starts", starts.cast("long")).drop("prev")
-    return unsplit(running_total(marked, _PLATE, F.col("_starts"), "visit_no")).drop("_starts")
+    marked = near.withColumn("starts", starts.cast("long")).drop("prev")
+    return unsplit(running(marked, _PLATE, {"visit_no": F.col("starts")})).drop("starts")
 
 
 def visits(events: DataFrame, hot: HotKeys = HotKeys(), max_gap_seconds: int | None = None) -> DataFrame:
@@ -86,13 +96,21 @@ def occupied_by_visits(visit_rows: DataFrame) -> DataFrame:
 
 
 def visit_paths(events: DataFrame, hot: HotKeys = HotKeys()) -> DataFrame:
-    """The slots of each visit in order, a row per change of slot, numbered from 1."""
-    visit = ["license_plate", "visit_no"]
-    numbered = numbered_events(events, hot).select(
-        *visit, "location", "timestamp_unix", "status_rank", "event_id"
+    """The slots of each visit in order, a row per change of slot, numbered from 1.
+
+    Changes are counted along the vehicle; a step's number is that count less the count at the
+    start of its visit. So one spread of the rows by vehicle serves visits and steps.
+    """
+    near = neighbour(_split_by_plate(events, hot), _PLATE, ["location", "status_code"], "prev")
+    starts = F.col("prev").isNull() | (F.col("prev.status_code") == "EXITING")
+    moves = starts | (F.col("prev.location") != F.col("location"))
+    marked = near.withColumns({"starts": starts, "moves": moves}).drop("prev")
+    counted = running(marked, _PLATE, {"exits": _exiting(), "move_no": F.col("moves").cast("long")})
+    first = running(counted, _PLATE, {"first_no": F.when(F.col("starts"), F.col("move_no"))}, F.max)
+    return first.where("moves").select(
+        *_PLATE,
+        (F.col("exits") - _exiting()).alias("visit_no"),
+        (F.col("move_no") - F.col("first_no") + 1).alias("step_no"),
+        "location",
+        F.col("timestamp_unix").alias("arrived_unix"),
     )
-    near = neighbour(split_hot(numbered, visit, hot), visit, ["location"], "prev")
-    moved: Column = F.col("prev").isNull() | (F.col("prev.location") != F.col("location"))
-    changes = unsplit(near.where(moved).drop("prev"))
-    steps = running_total(split_hot(changes, visit, hot), visit, F.lit(1).cast("long"), "step_no")
-    return steps.select(*visit, "step_no", "location", F.col("timestamp_unix").alias("arrived_unix"))

@@ -163,7 +163,7 @@ def visit_paths(spark, sf):
 
 
 def status_changes(spark, sf):
-    return transitions.status_changes(table_events(spark, sf)).drop("status_rank")
+    return transitions.status_changes(table_events(spark, sf))
 
 
 def transition_audit(spark, sf):
@@ -171,7 +171,7 @@ def transition_audit(spark, sf):
 
 
 def status_dwell(spark, sf):
-    return transitions.status_dwell(transitions.status_spells(transitions.status_changes(table_events(spark, sf))))
+    return transitions.status_dwell(transitions.status_spells(table_events(spark, sf)))
 
 
 def slot_fsm_events(spark, sf):

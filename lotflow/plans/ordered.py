@@ -66,20 +66,20 @@ def unsplit(df: DataFrame) -> DataFrame:
     return df.drop("_hot", "_piece")
 
 
-def running_total(split: DataFrame, keys: list[str], amount: Column, name: str, before: bool = False) -> DataFrame:
-    """Sum of ``amount`` over the rows up to this one, or over those ``before`` it."""
+def running(split: DataFrame, keys: list[str], columns: dict[str, Column], how=F.sum) -> DataFrame:
+    """Adds running sums (or ``how=F.max``) of ``columns`` over the rows of the key up to each row."""
+    combine = {"sum": lambda near, far: near + F.coalesce(far, F.lit(0).cast("long")), "max": F.greatest}[how.__name__]
+    far = {name: f"_{name}_before" for name in columns}
     carry = (
         split.where("_hot")
         .groupBy(*piece(keys))
-        .agg(F.sum(amount).alias("_sum"))
-        .select(*piece(keys), F.sum("_sum").over(earlier_pieces(keys)).alias("_base"))
-        .where(F.col("_base").isNotNull())
+        .agg(*[how(column).alias(name) for name, column in columns.items()])
+        .select(*piece(keys), *[how(name).over(earlier_pieces(keys)).alias(far[name]) for name in columns])
     )
-    window = piece_window(keys).rowsBetween(Window.unboundedPreceding, -1 if before else 0)
-    zero = F.lit(0).cast("long")
-    local = split.withColumn("_local", F.coalesce(F.sum(amount).over(window), zero))
-    total = F.col("_local") + F.coalesce("_base", zero)
-    return carried(local, carry, keys).withColumn(name, total).drop("_local", "_base")
+    window = piece_window(keys).rowsBetween(Window.unboundedPreceding, 0)
+    local = split.withColumns({name: how(column).over(window) for name, column in columns.items()})
+    joined = carried(local, carry, keys)
+    return joined.withColumns({name: combine(F.col(name), F.col(far[name])) for name in columns}).drop(*far.values())
 
 
 def neighbour(split: DataFrame, keys: list[str], columns: list[str], name: str, following: bool = False) -> DataFrame:

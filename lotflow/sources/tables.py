@@ -5,13 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lotflow.functions.columns import div, time_text
-from lotflow.schemas import RAW_EVENTS
+from lotflow.functions.columns import status_rank
+from lotflow.schemas import RAW_EVENTS, TIMESTAMP_PATTERN
 from lotflow.session import prepare
-from lotflow.sources.feed import typed_events
 
-_STATUS_OF_TYPE = {"signup": "ENTERING", "view": "PARKED", "click": "MOVING", "purchase": "EXITING"}
-_FLOORS = "ABCDEF"
+_STATUS_OF_TYPE = "CASE event_type WHEN 'signup' THEN 'ENTERING' WHEN 'view' THEN 'PARKED' " + (
+    "WHEN 'click' THEN 'MOVING' WHEN 'purchase' THEN 'EXITING' ELSE 'UNKNOWN' END"
+)
+_SLOT = "(user_id * 7 + CAST(get_json_object(props, '$.k') AS INT) % 3) % 60"
 
 
 def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -20,31 +21,26 @@ def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def as_sightings(raw: DataFrame, *keep: str) -> DataFrame:
     """Each user is a vehicle with up to three slots; each event type is a status."""
-    moment = F.col("ts").cast("timestamp")
-    slot = (F.col("user_id") * 7 + F.get_json_object("props", "$.k").cast("int") % 3) % 60
-    status = F.lit("UNKNOWN")
-    for kind, code in _STATUS_OF_TYPE.items():
-        status = F.when(F.col("event_type") == kind, code).otherwise(status)
-    return raw.select(
+    return raw.selectExpr("*", f"{_SLOT} AS slot", "CAST(ts AS TIMESTAMP) AS moment").selectExpr(
         "event_id",
-        time_text(moment).alias("timestamp"),
-        F.unix_timestamp(moment).alias("timestamp_unix"),
-        F.format_string("29A-%05d", "user_id").alias("license_plate"),
-        F.concat(
-            F.substring(F.lit(_FLOORS), (div(slot, 10) + 1).cast("int"), F.lit(1)),
-            (slot % 10 + 1).cast("string"),
-        ).alias("location"),
-        status.alias("status_code"),
+        f"date_format(moment, '{TIMESTAMP_PATTERN}') AS timestamp",
+        "unix_seconds(moment) AS timestamp_unix",
+        "concat('29A-', lpad(CAST(user_id AS STRING), greatest(5, length(CAST(user_id AS STRING))), '0')) AS license_plate",
+        "concat(substring('ABCDEF', CAST(slot div 10 + 1 AS INT), 1), CAST(slot % 10 + 1 AS STRING)) AS location",
+        f"{_STATUS_OF_TYPE} AS status_code",
         *keep,
     )
 
 
 def table_events(spark: SparkSession, sf_dir: str, until: str | None = None) -> DataFrame:
-    """Typed events of the whole table, or of its part before ``until`` (cut in the scan)."""
-    raw = raw_events(spark, sf_dir)
+    """Typed events of the whole table, or of its part before ``until`` (cut in the scan).
+
+    The time of the text is the source's time to the second, so it is not parsed back from it.
+    """
+    raw = raw_events(spark, sf_dir).withColumn("event_time", F.expr("date_trunc('second', CAST(ts AS TIMESTAMP))"))
     if until:
         raw = raw.where(F.col("ts") < F.lit(until).cast("timestamp_ntz"))
-    return typed_events(as_sightings(raw))
+    return as_sightings(raw, "event_time").withColumn("status_rank", status_rank("status_code"))
 
 
 def noisy_records(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -8,9 +8,10 @@ which the rate limit of the source bounds.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from operator import attrgetter
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from lotflow.functions.columns import EVENT_ORDER
@@ -29,6 +30,8 @@ VISIT_ROWS = (
     "exit_time long, entry_location string, last_location string"
 )
 _VISIT_STATE = "visit_no long, entry_time long, entry_location string"
+_Visit = Row(*[field.split()[0] for field in VISIT_ROWS.split(", ")])
+_place = attrgetter(*EVENT_ORDER)
 
 
 def _in_order(frames: Iterator[pd.DataFrame]) -> pd.DataFrame:
@@ -97,7 +100,7 @@ class SlotProcessor(StatefulProcessor):
         self.slot = handle.getValueState("slot", _SLOT_STATE, self.ttl_ms)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        state = self.slot.get() if self.slot.exists() else None
+        state = self.slot.get()
         seq = state[5] if state else 0
         states = advance_slot(_in_order(rows), state, _price(key[0], self.settings))
         states["seq"] = range(seq + 1, seq + 1 + len(states))
@@ -133,23 +136,21 @@ class VisitProcessor(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.visit = handle.getValueState("visit", _VISIT_STATE, self.ttl_ms)
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        visit_no, entry, entry_location = self.visit.get() if self.visit.exists() else (0, None, None)
-        frame = _in_order(rows)
-        final = len(frame) - 1
-        out = []
-        for n, (status, time, location) in enumerate(zip(frame["status_code"], frame["timestamp_unix"], frame["location"])):
-            if entry is None and status == "PARKED":
-                entry, entry_location = int(time), location
-            closed = status == "EXITING"
-            if entry is not None and (closed or n == final):
-                exit_time = int(time) if closed else None
-                out.append((key[0], visit_no, status, closed, entry, int(time), exit_time, entry_location, location))
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        visit_no, entry, entry_location = self.visit.get() or (0, None, None)
+        ordered = sorted(rows, key=_place)
+        for row in ordered:
+            time, closed = row.timestamp_unix, row.status_code == "EXITING"
+            if entry is None and row.status_code == "PARKED":
+                entry, entry_location = time, row.location
+            if entry is not None and (closed or row is ordered[-1]):
+                yield _Visit(
+                    key[0], visit_no, row.status_code, closed, entry, time, time if closed else None,
+                    entry_location, row.location,
+                )
             if closed:
                 visit_no, entry, entry_location = visit_no + 1, None, None
         self.visit.update((visit_no, entry, entry_location))
-        names = [part.split()[0] for part in VISIT_ROWS.split(", ")]
-        yield pd.DataFrame(out, columns=names).astype({"exit_time": "Int64"})
 
     def close(self) -> None:
         pass
@@ -160,7 +161,7 @@ def visit_states(events: DataFrame, ttl_seconds: int | None = None) -> DataFrame
     rows = billable_events(events).where("license_plate IS NOT NULL")
     return rows.select("license_plate", "location", "status_code", *EVENT_ORDER).groupBy(
         "license_plate"
-    ).transformWithStateInPandas(
+    ).transformWithState(
         statefulProcessor=VisitProcessor(ttl_seconds),
         outputStructType=VISIT_ROWS,
         outputMode="Update",

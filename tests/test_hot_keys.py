@@ -25,6 +25,23 @@ def multiset(frame):
     return sorted(map(tuple, frame.select(*sorted(frame.columns)).collect()), key=str)
 
 
+def test_paths_row_by_row(df, rows):
+    steps, last = {}, {}
+    for _, _, _, plate, location, status in feeds.in_order(rows, ("PARKED", "MOVING", "EXITING")):
+        if plate is not None:
+            visit, place = last.get(plate, (0, None))
+            if place != location:
+                steps.setdefault((plate, visit), []).append(location)
+            last[plate] = (visit + 1, None) if status == "EXITING" else (visit, location)
+    for hot in SPLITS:
+        got = {}
+        for r in sorted(visits.visit_paths(df, hot).collect(), key=lambda r: (r.license_plate, r.visit_no, r.step_no)):
+            path = got.setdefault((r.license_plate, r.visit_no), [])
+            path.append(r.location)
+            assert r.step_no == len(path)
+        assert got == steps
+
+
 def test_the_fixture_is_skewed(df):
     assert df.where("location = 'A1'").count() > 0.34 * 1500
     pieces = split_hot(df, ["location"], SPLITS[1]).where("_hot").groupBy("location").agg(F.countDistinct("_piece").alias("n"))
@@ -54,7 +71,7 @@ def test_visits_row_by_row(df, rows, hot):
         visits.visit_paths,
         lambda df, hot: visits.visits(df, hot, max_gap_seconds=40),
         transitions.status_changes,
-        lambda df, hot: transitions.status_spells(transitions.status_changes(df, hot), hot),
+        lambda df, hot: transitions.status_spells(df, hot),
         lambda df, hot: slot_state.slot_fsm_current(df, hot=hot),
     ],
     ids=["paths", "gap_visits", "changes", "spells", "current"],
@@ -69,6 +86,6 @@ def test_audit_and_dwell(df):
     assert audit.agg(F.sum("changes")).first()[0] == changes.count()
     assert audit.where("prev_status = 'PARKED' AND status_code = 'MOVING'").first().allowed
     assert not audit.where("prev_status = 'PARKED' AND status_code = 'ENTERING'").first().allowed
-    spells = transitions.status_spells(changes)
+    spells = transitions.status_spells(df)
     assert spells.where("dwell_seconds < 0").isEmpty()
     assert transitions.dwell_percentiles(spells).count() == transitions.status_dwell(spells).count()
