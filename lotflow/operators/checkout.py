@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lotflow.operators.quality import valid_events
+from lotflow.plans.lookup import lookup
+from lotflow.plans.ordered import HotKeys
 from lotflow.schemas import CHECKOUT, LEDGER_ENTRY
 
 # Outcomes of a payment request.
@@ -51,7 +53,7 @@ def unpaid_stays(stays: DataFrame, ledger: DataFrame) -> DataFrame:
     return stays.join(ledger.select(*keys), keys, "left_anti")
 
 
-def checkout_requests(requests: DataFrame, view: DataFrame) -> DataFrame:
+def checkout_requests(requests: DataFrame, view: DataFrame, hot: HotKeys = HotKeys()) -> DataFrame:
     """The outcome of each (request_id, license_plate, location), letter case aside.
 
     Where several rows of the view differ in case alone, the first by (slot, plate) counts; the
@@ -63,7 +65,7 @@ def checkout_requests(requests: DataFrame, view: DataFrame) -> DataFrame:
     blank = (F.coalesce("license_plate", F.lit("")) == "") | (F.coalesce("location", F.lit("")) == "")
     # requests without a key would all meet in one partition: they do not join at all
     complete = requests.where(~blank).select("request_id", plate, slot)
-    answered = complete.join(found, ["plate_key", "slot_key"], "left").select(
+    answered = lookup(complete, found, ["plate_key", "slot_key"], hot).select(
         "request_id",
         F.col("plate_key").alias("license_plate"),
         F.col("slot_key").alias("location"),

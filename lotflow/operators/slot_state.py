@@ -30,6 +30,7 @@ from lotflow.plans.ordered import (
     unsplit,
 )
 from lotflow.settings import Settings
+from lotflow.sources.slots import slot_dimension
 
 _SLOT = ["location"]
 _STATE = ("license_plate", "status", "enter_unix", "last_update_unix", "parked_seconds", "fee_vnd")
@@ -127,10 +128,29 @@ def slot_fsm_events(events: DataFrame, settings: Settings = Settings(), hot: Hot
     )
 
 
+def since_release(events: DataFrame, settings: Settings = Settings()) -> DataFrame:
+    """Events that can bear on the current state: those from the second of the last EXITING on.
+
+    A release forgets what came before, so most of the history stays out of the shuffle. The
+    broadcast side has at most one row per slot of the configured lot; slots outside of it keep
+    all their events.
+    """
+    lot = F.broadcast(slot_dimension(events.sparkSession, settings).select("location"))
+    rows = known_events(events)
+    released = (
+        rows.where(F.col("status_code") == "EXITING")
+        .join(lot, "location", "left_semi")
+        .groupBy("location")
+        .agg(F.max("timestamp_unix").alias("_released"))
+    )
+    kept = rows.join(F.broadcast(released), "location", "left")
+    return kept.where(F.col("timestamp_unix") >= F.coalesce("_released", F.lit(0).cast("long"))).drop("_released")
+
+
 def slot_fsm_current(events: DataFrame, settings: Settings = Settings(), hot: HotKeys = HotKeys()) -> DataFrame:
     """The state of each slot after its last event; released slots have none."""
     latest = (
-        slot_fsm_events(events, settings, hot)
+        slot_fsm_events(since_release(events, settings), settings, hot)
         .groupBy("location")
         .agg(F.max_by(F.struct(*_STATE), order_key()).alias("state"))
     )

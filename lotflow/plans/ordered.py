@@ -1,11 +1,13 @@
 """Ordered work per key (running totals, neighbours, last known values) that survives a hot key.
 
 A window over one key is one task. Keys with more than ``hot_rows`` rows are therefore cut into
-pieces of ``width`` seconds; each piece is its own window, and what a piece needs from earlier
-ones is carried over from a table with one row per piece. Other keys keep one piece (0) and
-take part in no carry. The pieces follow the event order, so results are the same for any
-threshold. ``_hot`` follows from the key; it stands in every partition and join key so that a
-filter on it reaches the scan, and carry tables are computed from hot rows alone.
+pieces of ``width`` seconds, and a piece that still has more than ``hot_rows`` rows (copies of
+one event, say) is cut on by second, status and a range of event ids. Each piece is its own
+window, and what it needs from earlier ones is carried over from a table with one row per piece.
+Other keys keep one piece and take part in no carry. The pieces follow the event order, so
+results are the same for any threshold. ``_hot`` follows from the key; it stands in every
+partition and join key so that a filter on it reaches the scan, and carry tables are computed
+from hot rows alone.
 """
 
 from __future__ import annotations
@@ -20,27 +22,38 @@ from lotflow.functions.columns import EVENT_ORDER, div
 
 @dataclass(frozen=True)
 class HotKeys:
-    """When a key counts as hot, and how long its pieces are."""
+    """When a key counts as hot, how long its pieces are, and how many event ids a finer one spans."""
 
     hot_rows: int = 1_000_000
     width: int = 300
+    ids: int = 1_000_000
 
 
 def order_key() -> Column:
     return F.struct(*EVENT_ORDER)
 
 
+def heavy_groups(df: DataFrame, keys: list[str], more_than: int, flag: str) -> DataFrame:
+    """Groups of more than so many rows: at most rows / more_than of them, however the rows spread."""
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    return counts.where(F.col("_n") > more_than).select(*keys, F.lit(True).alias(flag))
+
+
 def split_hot(df: DataFrame, keys: list[str], hot: HotKeys = HotKeys()) -> DataFrame:
-    """Adds ``_hot`` and ``_piece``.
-
-    The broadcast side holds the hot keys alone: at most rows / hot_rows of them, a bound that
-    does not depend on how the rows spread over the keys.
-    """
-    heavy = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > hot.hot_rows)
-    marked = df.join(F.broadcast(heavy.select(*keys, F.lit(True).alias("_is_hot"))), keys, "left")
-    is_hot = F.coalesce("_is_hot", F.lit(False))
-    place = F.when(is_hot, div("timestamp_unix", hot.width)).otherwise(F.lit(0).cast("long"))
-    return marked.withColumns({"_hot": is_hot, "_piece": place}).drop("_is_hot")
+    """Adds ``_hot`` and ``_piece``; the broadcast sides are heavy groups alone, so their size is bound."""
+    timed = df.withColumn("_span", div("timestamp_unix", hot.width))
+    heavy = F.broadcast(heavy_groups(timed, keys, hot.hot_rows, "_is_hot"))
+    spans = [*keys, "_span"]
+    crowded = F.broadcast(heavy_groups(timed.join(heavy, keys), spans, hot.hot_rows, "_is_crowded"))
+    marked = timed.join(heavy, keys, "left").join(crowded, spans, "left")
+    is_hot, fine = F.coalesce("_is_hot", F.lit(False)), F.col("_is_crowded")
+    place = F.struct(
+        F.when(is_hot, F.col("_span")).alias("span"),
+        F.when(fine, F.col("timestamp_unix")).alias("second"),
+        F.when(fine, F.col("status_rank")).alias("rank"),
+        F.when(fine, div("event_id", hot.ids)).alias("ids"),
+    )
+    return marked.withColumns({"_hot": is_hot, "_piece": place}).drop("_is_hot", "_is_crowded", "_span")
 
 
 def piece(keys: list[str]) -> list[str]:

@@ -38,7 +38,7 @@ class Settings:
     kafka_bootstrap: str | None = None
     kafka_topic: str | None = None
     starting_offsets: str = "latest"
-    max_offsets_per_trigger: int | None = None
+    max_offsets_per_trigger: int = 5_000_000
     watermark: str = WATERMARK
     window: str = WINDOW
     processing_interval_seconds: int = PROCESSING_INTERVAL_SECONDS

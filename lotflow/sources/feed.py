@@ -13,18 +13,17 @@ from lotflow.settings import Settings
 def kafka_records(spark: SparkSession, settings: Settings) -> DataFrame:
     """Streaming scan of the topic: (value, offset).
 
-    Needs the Kafka connector of the Spark version on the class path. The rate limit belongs
-    on the reader.
+    Needs the Kafka connector of the Spark version on the class path. The rate limit bounds a
+    micro-batch, and with it what one key can hold at a time.
     """
     reader = (
         spark.readStream.format("kafka")
         .option("kafka.bootstrap.servers", settings.kafka_bootstrap)
         .option("subscribe", settings.kafka_topic)
         .option("startingOffsets", settings.starting_offsets)
+        .option("maxOffsetsPerTrigger", settings.max_offsets_per_trigger)
         .option("failOnDataLoss", "false")
     )
-    if settings.max_offsets_per_trigger:
-        reader = reader.option("maxOffsetsPerTrigger", settings.max_offsets_per_trigger)
     return reader.load().select("value", "offset")
 
 

@@ -5,10 +5,11 @@ from pyspark.sql import functions as F
 
 import feeds
 from lotflow.operators import slot_state, transitions, visits
-from lotflow.plans.ordered import HotKeys, split_hot
+from lotflow.plans.lookup import lookup
+from lotflow.plans.ordered import HotKeys, order_key, split_hot
 
 PLAIN = HotKeys(hot_rows=10**9)
-SPLITS = [PLAIN, HotKeys(hot_rows=50, width=200), HotKeys(hot_rows=0, width=7)]
+SPLITS = [PLAIN, HotKeys(hot_rows=50, width=200, ids=10**6), HotKeys(hot_rows=3, width=60, ids=40)]
 
 
 @pytest.fixture(scope="module", params=[1, 2])
@@ -80,6 +81,35 @@ def test_pieces_change_nothing(df, operator, hot):
     assert multiset(operator(df, hot)) == multiset(operator(df, PLAIN))
 
 
+def test_copies_of_one_event_are_cut_by_id(spark):
+    copies = [feeds.row(n, feeds.DAY, "P", "A1", "PARKED") for n in range(300)]
+    rest = [feeds.row(1000, feeds.DAY + 90, "P", "A1", "MOVING"), feeds.row(1001, feeds.DAY + 95, "P", "A1", "EXITING")]
+    df = feeds.events(spark, copies + rest)
+    hot = HotKeys(hot_rows=50, width=300, ids=25)
+    sizes = split_hot(df, ["license_plate"], hot).groupBy("_piece").count()
+    assert sizes.agg(F.max("count")).first()[0] <= 25
+    assert multiset(visits.visits(df, hot)) == multiset(visits.visits(df, PLAIN))
+    assert multiset(slot_state.slot_fsm_events(df, hot=hot)) == multiset(slot_state.slot_fsm_events(df, hot=PLAIN))
+
+
+def test_lookup_with_a_heavy_key(spark):
+    rows = spark.range(1000).select("id", F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).alias("k"))
+    table = spark.createDataFrame([(7, "seven"), (8, "eight"), (5000, "none")], "k long, name string")
+    expected = multiset(rows.join(table, ["k"], "left"))
+    for limit in (0, 50, 10**9):
+        assert multiset(lookup(rows, table, ["k"], HotKeys(hot_rows=limit))) == expected
+
+
+def test_current_state_needs_only_events_since_the_release(df):
+    every = slot_state.slot_fsm_events(df).groupBy("location").agg(
+        F.max_by(F.struct("status", "enter_unix", "fee_vnd"), order_key()).alias("s")
+    )
+    every = every.select("location", "s.*").where("status <> 'EXITING'")
+    current = slot_state.slot_fsm_current(df).select("location", "status", "enter_unix", "fee_vnd")
+    assert multiset(current) == multiset(every)
+    assert slot_state.since_release(df).count() < df.count()
+
+
 def test_audit_and_dwell(df):
     changes = transitions.status_changes(df)
     audit = transitions.transition_audit(changes)
