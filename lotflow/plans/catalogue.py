@@ -135,7 +135,8 @@ def vip_slots(spark, sf):
     listed = dimension.where(F.col("location").isin(*VIP_LISTED))
     vip = slots.vip_slots(dimension, listed)
     counts = quality.valid_events(table_events(spark, sf)).groupBy("location").agg(F.count(F.lit(1)).alias("sightings"))
-    return vip.join(counts, "location", "left").orderBy("location")
+    sightings = F.coalesce("sightings", F.lit(0).cast("long")).alias("sightings")
+    return vip.join(counts, "location", "left").select("location", sightings).orderBy("location")
 
 
 def slot_conflicts(spark, sf):
