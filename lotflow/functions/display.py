@@ -12,7 +12,8 @@ SCREEN_LABELS = {"PARKED": "Đã đỗ", "MOVING": "Di chuyển", "EXITING": "Đ
 FEED_LABELS = {"ENTERING": "Đang vào", "PARKED": "Đã đỗ", "MOVING": "Đang di chuyển", "EXITING": "Đang ra"}
 HOURS_PATTERN = "%dh %dp"
 MINUTES_PATTERN = "%d phút"
-DONG_SUFFIX = " ₫"
+CLOCK_PATTERN = "HH:mm:ss"
+DONG_SUFFIX = "\u00a0₫"
 
 
 def status_label(status: Column, labels: dict[str, str] = SCREEN_LABELS) -> Column:
@@ -33,3 +34,8 @@ def duration_text(minutes: Column) -> Column:
 def amount_text(amount: Column) -> Column:
     """Whole dong, dots between thousands."""
     return F.concat(F.translate(F.format_number(amount, 0), ",", "."), F.lit(DONG_SUFFIX))
+
+
+def clock_text(unix: Column) -> Column:
+    """Time of day of a unix time, in the zone of the session."""
+    return F.date_format(F.timestamp_seconds(unix), CLOCK_PATTERN)

@@ -16,9 +16,9 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from lotflow.operators import checkout, slot_state, slots, views
-from lotflow.schemas import CHECKOUT, HISTORY, LEDGER_ENTRY, SNAPSHOT, TIMESTAMP_PATTERN
+from lotflow.schemas import CHECKOUT, HISTORY, LEDGER_ENTRY, SLOT_ROWS, SNAPSHOT, TIMESTAMP_PATTERN
 from lotflow.session import build_session, prepare, streaming_session
-from lotflow.settings import Settings, from_env
+from lotflow.settings import REALTIME_TABLE, Settings, from_env
 from lotflow.sources.config import load_settings
 from lotflow.sources.feed import kafka_records, parse_records
 from lotflow.sources.slots import slot_dimension
@@ -72,6 +72,18 @@ class Lot:
         changes = tables.read_all(self.spark, f"{self.root}/fees/snapshot_changes", SNAPSHOT)
         return tables.latest_per_key(changes, ["location", "license_plate"])
 
+    def compact(self) -> None:
+        """Folds the update logs; run it now and then beside the jobs."""
+        tables.compact(self.spark, f"{self.root}/fees/snapshot_changes", SNAPSHOT, ["location", "license_plate"])
+        tables.compact(self.spark, f"{self.root}/slots", SLOT_ROWS, ["location"], "seq")
+
+    def register_views(self) -> None:
+        """The tables by name, for SQL."""
+        active = self.snapshot().where(F.col("current_status") != "EXITING")
+        named = {REALTIME_TABLE: active, "lot_status": self.status(), "lot_ledger": self.ledger(), "lot_slots": self.slots()}
+        for name, rows in named.items():
+            rows.createOrReplaceTempView(name)
+
     def ledger(self) -> DataFrame:
         """The log of payments, the latest per (plate, slot)."""
         log = tables.read_all(self.spark, f"{self.root}/ledger", LEDGER_ENTRY).drop("batch_id")
@@ -102,7 +114,7 @@ class Lot:
         return views.of_vehicle(self.status(), plate)
 
     def slot_states(self) -> DataFrame:
-        rows = tables.read_all(self.spark, f"{self.root}/slots", T.StructType.fromDDL(state.SLOT_ROWS))
+        rows = tables.read_all(self.spark, f"{self.root}/slots", SLOT_ROWS)
         return tables.latest_per_key(rows, ["location"], "seq").where(F.col("status") != "EXITING").drop("seq")
 
     def live(self, as_of: int | None = None) -> DataFrame:

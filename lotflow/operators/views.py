@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lotflow.functions.columns import floor_of
-from lotflow.functions.display import amount_text, duration_text, status_label
+from lotflow.functions.display import amount_text, clock_text, duration_text, status_label
 from lotflow.schemas import SNAPSHOT
 from lotflow.settings import Settings
 
@@ -171,5 +171,6 @@ def display_columns(view: DataFrame) -> DataFrame:
         F.coalesce("entry_timestamp", F.lit("-")).alias("entry_text"),
         duration_text(F.col("parked_minutes")).alias("duration_text"),
         amount_text(F.col("total_fee")).alias("fee_text"),
+        clock_text(F.col("last_update")).alias("updated_text"),
         (F.col("current_status") == "EXITING").alias("can_check_out"),
     )

@@ -199,6 +199,7 @@ FROM (SELECT location, abs(CAST(epoch(strptime("timestamp", '%Y-%m-%d %H:%M:%S')
   CASE current_status WHEN 'PARKED' THEN 'Đã đỗ' WHEN 'MOVING' THEN 'Di chuyển' WHEN 'EXITING' THEN 'Đang ra'
        ELSE current_status END AS status_text,
   coalesce(entry_timestamp, '-') AS entry_text, {DURATION} AS duration_text, {AMOUNT} AS fee_text,
+  strftime(make_timestamp(last_update * 1000000), '%H:%M:%S') AS updated_text,
   current_status = 'EXITING' AS can_check_out FROM view_rows""",
     "active_vehicles": _with(LIFE)
     + f"SELECT {SNAPSHOT_COLUMNS} FROM life WHERE entry_time IS NOT NULL AND current_status <> 'EXITING' ORDER BY 1, 2",

@@ -14,7 +14,7 @@ from lotflow.functions.columns import BILLABLE
 from lotflow.operators import lifetime, views, visits
 from lotflow.operators.quality import is_usable
 from lotflow.plans.catalogue import SETTINGS, Query, _fees
-from lotflow.schemas import CHECKOUT, HISTORY, SNAPSHOT
+from lotflow.schemas import CHECKOUT, HISTORY, SLOT_ROWS, SNAPSHOT, VISIT_ROWS
 from lotflow.session import shared_dir, streaming_session
 from lotflow.sources.feed import file_records, parse_records, to_record
 from lotflow.sources.tables import as_sightings, raw_events
@@ -198,7 +198,7 @@ def _slot_rows(spark, sf):
     path = shared_dir(spark, "slots")
     stream = state.slot_states(parse_records(_records(spark, sf)), SETTINGS)
     _run(spark, "slots", stream, sinks.table_sink(path), "update")
-    return tables.read_all(spark, path, T.StructType.fromDDL(state.SLOT_ROWS))
+    return tables.read_all(spark, path, SLOT_ROWS)
 
 
 def stream_slot_fsm(spark, sf):
@@ -214,7 +214,7 @@ def _visit_rows(spark, sf):
     path = shared_dir(spark, "visits")
     stream = state.visit_states(parse_records(_records(spark, sf)))
     _run(spark, "visits", stream, sinks.table_sink(path), "update")
-    rows = tables.read_all(spark, path, T.StructType.fromDDL(state.VISIT_ROWS))
+    rows = tables.read_all(spark, path, VISIT_ROWS)
     return tables.latest_per_key(rows, ["license_plate", "visit_no"])
 
 

@@ -53,6 +53,29 @@ LEDGER_ENTRY = _struct(
 )
 LEDGER_JSON = T.MapType(_text, LEDGER_ENTRY)
 
+# Emitted by the keyed state of slots and of vehicles.
+SLOT_ROWS = _struct(
+    ("location", _text),
+    ("license_plate", _text),
+    ("status", _text),
+    ("enter_unix", _long),
+    ("last_update_unix", _long),
+    ("parked_seconds", _long),
+    ("fee_vnd", _long),
+    ("seq", _long),
+)
+VISIT_ROWS = _struct(
+    ("license_plate", _text),
+    ("visit_no", _long),
+    ("current_status", _text),
+    ("closed", T.BooleanType()),
+    ("entry_time", _long),
+    ("last_update", _long),
+    ("exit_time", _long),
+    ("entry_location", _text),
+    ("last_location", _text),
+)
+
 HISTORY = _struct(
     ("event_id", _text),
     ("event_time_unix", _long),

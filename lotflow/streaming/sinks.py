@@ -98,6 +98,12 @@ def run(stream: DataFrame, writer: BatchWriter, mode: str, checkpoint: str) -> S
     return query
 
 
+def dropped_late_rows(query: StreamingQuery) -> int:
+    """Rows the query's recent batches dropped because they were behind the watermark."""
+    operators = (operator for progress in query.recentProgress for operator in progress["stateOperators"])
+    return sum(operator["numRowsDroppedByWatermark"] for operator in operators)
+
+
 def watch_in_memory(totals: DataFrame, checkpoint: str | None, settings: Settings = Settings(), once: bool = False) -> StreamingQuery:
     """Active vehicles as a table in the driver's memory, for small lots and for debugging."""
     rows = by_slot(active_vehicles(with_fees(totals, settings.price_per_10min)))

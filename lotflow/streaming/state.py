@@ -17,20 +17,13 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from lotflow.functions.columns import EVENT_ORDER
 from lotflow.functions.fees import MINUTES_PER_BLOCK, SECONDS_PER_MINUTE
 from lotflow.operators.quality import billable_events, known_events
+from lotflow.schemas import SLOT_ROWS, VISIT_ROWS
 from lotflow.settings import Settings
 
-SLOT_ROWS = (
-    "location string, license_plate string, status string, enter_unix long, last_update_unix long, "
-    "parked_seconds long, fee_vnd long, seq long"
-)
 _SLOT_STATE = "license_plate string, status string, enter_unix long, parked_seconds long, fee_vnd long, seq long"
 
-VISIT_ROWS = (
-    "license_plate string, visit_no long, current_status string, closed boolean, entry_time long, last_update long, "
-    "exit_time long, entry_location string, last_location string"
-)
 _VISIT_STATE = "visit_no long, entry_time long, entry_location string"
-_Visit = Row(*[field.split()[0] for field in VISIT_ROWS.split(", ")])
+_Visit = Row(*VISIT_ROWS.fieldNames())
 _place = attrgetter(*EVENT_ORDER)
 
 

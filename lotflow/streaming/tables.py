@@ -18,7 +18,11 @@ def write_batch(batch: DataFrame, batch_id: int, path: str, partition_by: str |
     if partition_by:
         writer = writer.partitionBy(partition_by)
     writer.parquet(f"{path}/data/batch_id={batch_id}")
-    done = batch.sparkSession.range(1).select(F.lit(batch_id).cast("long").alias("batch"))
+    _commit(batch.sparkSession, batch_id, path)
+
+
+def _commit(spark: SparkSession, batch_id: int, path: str) -> None:
+    done = spark.range(1).select(F.lit(batch_id).cast("long").alias("batch"))
     done.write.mode("overwrite").parquet(f"{path}/commits/{batch_id:012d}")
 
 
@@ -40,13 +44,34 @@ def read_latest(spark: SparkSession, path: str, schema: T.StructType) -> DataFra
 
 
 def read_all(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """All committed batches of a table that each batch adds to, with ``batch_id``."""
+    """All committed batches of a table that each batch adds to, with ``batch_id``.
+
+    Where the table was compacted, the compacted rows stand for the batches they came from, whose
+    folders are not read.
+    """
     with_id = T.StructType([*schema.fields, T.StructField("batch_id", T.LongType())])
     last = last_commit(spark, path)
     if last is None:
         return spark.createDataFrame([], with_id)
-    rows = spark.read.schema(with_id).option("basePath", f"{path}/data").parquet(f"{path}/data")
-    return rows.where(F.col("batch_id") <= last)
+    batch = F.col("batch_id")
+    rows = spark.read.schema(with_id).option("basePath", f"{path}/data").parquet(f"{path}/data").where(batch <= last)
+    compacted = last_commit(spark, f"{path}/compacted")
+    if compacted is None:
+        return rows
+    base = spark.read.schema(with_id).parquet(f"{path}/compacted/rows/upto={compacted}")
+    return base.unionByName(rows.where(batch > compacted).select(*base.columns))
+
+
+def compact(spark: SparkSession, path: str, schema: T.StructType, keys: list[str], *then: str) -> None:
+    """Folds the update log into one row per key, so that reading it does not grow with its age."""
+    last = last_commit(spark, path)
+    if last is None:
+        return
+    rows = read_all(spark, path, schema)
+    values = [name for name in rows.columns if name not in keys]
+    newest = rows.groupBy(*keys).agg(F.max_by(F.struct(*values), F.struct("batch_id", *then)).alias("row"))
+    newest.select(*keys, "row.*").write.mode("overwrite").parquet(f"{path}/compacted/rows/upto={last}")
+    _commit(spark, last, f"{path}/compacted")
 
 
 def latest_per_key(rows: DataFrame, keys: list[str], *then: str) -> DataFrame:

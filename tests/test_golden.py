@@ -1,12 +1,14 @@
 """Worked examples with known answers."""
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
 import feeds
 from lotflow.functions.display import amount_text, duration_text, status_label
 from lotflow.functions.fees import fee_ceil_minutes, fee_floor_minutes
-from lotflow.operators import checkout, lifetime, quality, slot_state, slots, views, visits
+from lotflow.operators import checkout, lifetime, pricing, quality, slot_state, slots, views, visits
 from lotflow.settings import Settings, from_env
 from lotflow.sources import config
 from lotflow.sources.feed import parse_records
@@ -65,6 +67,24 @@ def test_fee_properties(spark):
     assert fees.where("a > b OR a1 < a OR b1 < b").isEmpty()
 
 
+@pytest.mark.parametrize("count", [0, 3, 500])
+def test_price_in_force(spark, count):
+    dice = random.Random(count)
+    versions = [(dice.randrange(0, 10 * 86400), 1000 + n) for n in range(count)]
+    versions = sorted({start: price for start, price in versions}.items())
+    times = [dice.randrange(0, 12 * 86400) for _ in range(400)] + [start for start, _ in versions[:50]]
+    rows_ = spark.createDataFrame([(n, time) for n, time in enumerate(times)], "n long, t long")
+    listed = spark.createDataFrame(versions, "valid_from long, price long")
+
+    def expected(time):
+        known = [price for start, price in versions if start <= time]
+        return known[-1] if known else None
+
+    want = {n: expected(time) for n, time in enumerate(times)}
+    for method in (pricing.price_asof, pricing.price_asof_join):
+        assert {r.n: r.p for r in method(rows_, listed, "t", "p").collect()} == want
+
+
 def test_slot_sets(spark):
     dimension = slot_dimension(spark)
     used = spark.createDataFrame([("A1",), ("B2",), ("F3",)], "location string")

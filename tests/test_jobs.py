@@ -25,6 +25,12 @@ def test_feed_to_payment(spark):
     assert [(r.location, r.status, r.parked_seconds, r.fee_vnd, r.is_vip) for r in live] == [("A1", "MOVING", 600, 5000, False)]
     assert lot.checkouts().count() == 1 and lot.history().count() == 1
 
+    lot.compact()
+    assert {(r.location, r.total_fee) for r in lot.status().collect()} == {("A1", 5000), ("B5", 10000)}
+    assert [r.location for r in lot.slot_states().collect()] == ["A1"]
+    lot.register_views()
+    assert [r.location for r in spark.sql("SELECT location FROM parking_realtime").collect()] == ["A1"]
+
     asks = spark.createDataFrame([(1, "29a-12345", "b5"), (2, "29A-12345", "A1")], "request_id long, license_plate string, location string")
     assert {r.request_id: r.outcome for r in lot.settle(asks).collect()} == {1: "success", 2: "not_exiting"}
     assert [r.location for r in lot.status().collect()] == ["A1"]

@@ -8,7 +8,7 @@ import pytest
 import feeds
 from lotflow.operators import lifetime, slot_state, visits
 from lotflow.plans.catalogue import BATCH
-from lotflow.sources.feed import typed_events
+from lotflow.sources.feed import parse_records, to_record, typed_events
 
 CORE = ("event_id", "timestamp", "timestamp_unix", "license_plate", "location", "status_code")
 
@@ -55,3 +55,8 @@ def test_ordered_operators_spread_by_piece(stored):
         for line in plan.splitlines():
             if "Window [" in line:
                 assert "_piece" in line
+
+
+def test_json_is_parsed_once(spark, stored):
+    parsed = parse_records(to_record(stored))
+    assert text(lifetime.lifetime_fees(parsed)).count("from_json(") == 1

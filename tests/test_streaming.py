@@ -7,6 +7,7 @@ import pytest
 
 import feeds
 from lotflow.operators import lifetime, slot_state, views, visits
+from lotflow.schemas import CHECKOUT, SLOT_ROWS, SNAPSHOT, VISIT_ROWS
 from lotflow.session import shared_dir, streaming_session
 from lotflow.settings import REALTIME_TABLE, Settings
 from lotflow.sources.feed import file_records, parse_records, to_record
@@ -68,8 +69,6 @@ def test_checkout_appears_once_per_stay(feed):
     for part in (flow_rows(), flow_rows([("00:45", "EXITING", "B5")], first_id=9)):
         feed.add(part)
         sinks.run(pipelines.lifetime_totals(feed.records()), sinks.checkout_sink(path), "update", checkpoint)
-    from lotflow.schemas import CHECKOUT
-
     every = tables.read_all(feed.spark, path, CHECKOUT)
     assert every.count() == 2  # the repeated EXITING shows up again
     assert tables.latest_per_key(every, ["license_plate", "exit_location", "entry_time"]).count() == 1
@@ -94,8 +93,6 @@ def test_a_price_change_reaches_the_running_query(feed):
     versions = lambda: feed.spark.read.schema(schema).parquet(prices)
     feed.spark.createDataFrame([(0, 5000)], schema).write.parquet(prices)
     writer = sinks.snapshot_sink(path, versions=versions)
-    from lotflow.schemas import SNAPSHOT
-
     totals = []
     for part, change in ((flow_rows(), (1, 6000)), (flow_rows([("00:45", "EXITING", "B5")], 9), None)):
         feed.add(part)
@@ -110,8 +107,6 @@ def test_damaged_records_do_not_stop_the_stream(feed):
     feed.add(["garbage", '{"timestamp_unix":"abc","location":"A1"}', '{"timestamp":"never","timestamp_unix":5,"license_plate":"P","location":"A1","status_code":"PARKED"}'])
     path = feed.folder("out")
     sinks.run(pipelines.lifetime_totals(feed.records()), sinks.snapshot_sink(path), "complete", feed.folder("checkpoint"))
-    from lotflow.schemas import SNAPSHOT
-
     assert [r.license_plate for r in tables.read_latest(feed.spark, path, SNAPSHOT).collect()] == ["P"]
 
 
@@ -125,6 +120,33 @@ def test_lifetime_takes_late_rows(feed):
     assert totals.first().entry_time == feeds.clock("00:01")
 
 
+def test_windows_drop_late_rows(feed):
+    late = [feeds.row(50, feeds.clock("00:01"), "29A-12345", "A1", "PARKED")]
+    path, checkpoint = feed.folder("out"), feed.folder("checkpoint")
+    dropped = []
+    for part in (flow_rows([("06:00", "PARKED", "A1")]), flow_rows([("06:10", "MOVING", "A1")], 7), late):
+        feed.add(part)
+        query = sinks.run(pipelines.windowed_fees(feed.records()), sinks.table_sink(path), "update", checkpoint)
+        dropped.append(sinks.dropped_late_rows(query))
+    assert dropped == [0, 0, 1]
+
+
+def test_compaction_changes_nothing(feed):
+    path, checkpoint = feed.folder("out"), feed.folder("checkpoint")
+    keys, seen = ["location", "license_plate"], []
+    writer = sinks.table_sink(path, lambda batch: views.snapshot(sinks.priced(batch, Settings(), None)))
+    for n, step in enumerate([("00:15", "PARKED", "A1"), ("00:25", "MOVING", "A1"), ("00:30", "PARKED", "B5")]):
+        feed.add(flow_rows([step], n))
+        sinks.run(pipelines.lifetime_totals(feed.records()), writer, "update", checkpoint)
+        before = multiset(tables.latest_per_key(tables.read_all(feed.spark, path, SNAPSHOT), keys))
+        if n < 2:
+            tables.compact(feed.spark, path, SNAPSHOT, keys)
+        rows = tables.read_all(feed.spark, path, SNAPSHOT)
+        assert multiset(tables.latest_per_key(rows, keys)) == before
+        seen.append(rows.count())
+    assert seen == [1, 1, 2]
+
+
 @pytest.mark.parametrize("parts", [1, 3])
 def test_keyed_state_equals_batch(spark, feed, parts):
     rows = sorted(feeds.skewed_rows(600, 5), key=lambda r: r[2])
@@ -137,16 +159,14 @@ def test_keyed_state_equals_batch(spark, feed, parts):
         events = parse_records(feed.records())
         sinks.run(state.slot_states(events), sinks.table_sink(slots), "update", marks[0])
         sinks.run(state.visit_states(events), sinks.table_sink(vehicles), "update", marks[1])
-    from pyspark.sql import types as T
-
     batch = feeds.events(spark, rows)
-    got = tables.read_all(spark, slots, T.StructType.fromDDL(state.SLOT_ROWS))
+    got = tables.read_all(spark, slots, SLOT_ROWS)
     current = tables.latest_per_key(got, ["location"], "seq").where("status <> 'EXITING'").drop("seq")
     assert multiset(current) == multiset(slot_state.slot_fsm_current(batch))
     releases = got.where("status = 'EXITING'").drop("seq", "batch_id")
     expected = slot_state.slot_fsm_events(batch).where("status = 'EXITING'")
     assert multiset(releases) == multiset(expected.select(*releases.columns))
-    got = tables.read_all(spark, vehicles, T.StructType.fromDDL(state.VISIT_ROWS))
+    got = tables.read_all(spark, vehicles, VISIT_ROWS)
     assert multiset(tables.latest_per_key(got, ["license_plate", "visit_no"])) == multiset(visits.visits(batch))
 
 
@@ -175,9 +195,7 @@ def test_state_can_expire(feed):
             time.sleep(1)
     finally:
         query.stop()
-    from pyspark.sql import types as T
-
-    assert tables.read_all(feed.spark, path, T.StructType.fromDDL(state.SLOT_ROWS)).count() == 2
+    assert tables.read_all(feed.spark, path, SLOT_ROWS).count() == 2
 
 
 def test_fan_out_skips_an_empty_batch(feed):
