@@ -86,8 +86,7 @@ class Lot:
 
     def ledger(self) -> DataFrame:
         """The log of payments, the latest per (plate, slot)."""
-        log = tables.read_all(self.spark, f"{self.root}/ledger", LEDGER_ENTRY).drop("batch_id")
-        return checkout.ledger_upsert(log, log.limit(0))
+        return checkout.ledger_latest(tables.read_all(self.spark, f"{self.root}/ledger", LEDGER_ENTRY))
 
     def status(self) -> DataFrame:
         return views.status_view(self.snapshot(), self.ledger())

@@ -33,18 +33,22 @@ def as_payments(checkouts: DataFrame, checkout_time: Column | None = None) -> Da
     )
 
 
-def ledger_upsert(ledger: DataFrame, payments: DataFrame, per_stay: bool = False) -> DataFrame:
-    """The latest entry per key of ledger and payments together.
+def ledger_latest(log: DataFrame, per_stay: bool = False) -> DataFrame:
+    """The latest entry per key of a log of payments.
 
     The key is (plate, slot), which hides every later stay too; ``per_stay`` adds the entry time
-    so that only the paid stay counts as paid. One aggregate with map-side combine does it, with
-    no join of the two sides.
+    so that only the paid stay counts as paid.
     """
     keys = ["license_plate", "location", *(["entry_time"] if per_stay else [])]
-    names = [name for name in LEDGER_ENTRY.fieldNames() + (["entry_time"] if per_stay else []) if name not in keys]
-    both = ledger.select(*keys, *names).unionByName(payments.select(*keys, *names))
+    names = [name for name in LEDGER_ENTRY.fieldNames() if name not in keys]
     latest = F.max_by(F.struct(*names), F.struct("checkout_time", "total_fee", "parked_minutes"))
-    return both.groupBy(*keys).agg(latest.alias("entry")).select(*keys, "entry.*")
+    return log.groupBy(*keys).agg(latest.alias("entry")).select(*keys, "entry.*")
+
+
+def ledger_upsert(ledger: DataFrame, payments: DataFrame, per_stay: bool = False) -> DataFrame:
+    """Ledger and payments as one ledger: an aggregate with map-side combine, no join of the two."""
+    names = LEDGER_ENTRY.fieldNames() + (["entry_time"] if per_stay else [])
+    return ledger_latest(ledger.select(*names).unionByName(payments.select(*names)), per_stay)
 
 
 def unpaid_stays(stays: DataFrame, ledger: DataFrame) -> DataFrame:

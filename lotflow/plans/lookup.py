@@ -11,11 +11,12 @@ from lotflow.plans.ordered import HotKeys, heavy_groups
 def lookup(rows: DataFrame, table: DataFrame, keys: list[str], hot: HotKeys = HotKeys()) -> DataFrame:
     """Rows whose key is common stay where they are and meet a broadcast part of the table.
 
-    That part holds at most one row per heavy key, hence at most rows / hot_rows. All other rows
-    are joined by key, with no heavy key left among them.
+    That part holds at most one row per heavy key, hence at most rows / hot_rows; it is cut from
+    the table in place, by a broadcast of the heavy keys. All other rows are joined by key, with
+    no heavy key left among them.
     """
-    heavy = F.broadcast(heavy_groups(rows, keys, hot.hot_rows, "_heavy"))
-    common = heavy.join(table, keys, "left").drop("_heavy")
-    often = rows.join(F.broadcast(common), keys, "inner")
-    rest = rows.join(heavy.drop("_heavy"), keys, "left_anti").join(table, keys, "left")
+    heavy = F.broadcast(heavy_groups(rows, keys, hot.hot_rows, "_heavy").drop("_heavy"))
+    common = F.broadcast(table.join(heavy, keys, "left_semi"))
+    often = rows.join(heavy, keys, "left_semi").join(common, keys, "left")
+    rest = rows.join(heavy, keys, "left_anti").join(table, keys, "left")
     return rest.unionByName(often)
