@@ -11,15 +11,20 @@ from collections.abc import Iterator
 from operator import attrgetter
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Row
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
+import lotflow
 from lotflow.functions.columns import EVENT_ORDER
 from lotflow.functions.fees import MINUTES_PER_BLOCK, SECONDS_PER_MINUTE
 from lotflow.operators.quality import billable_events, known_events
 from lotflow.schemas import SLOT_ROWS, VISIT_ROWS
 from lotflow.settings import Settings
 
+# the state classes travel with the plan, so workers need no copy of the package
+cloudpickle.register_pickle_by_value(lotflow)
+
 _SLOT_STATE = "license_plate string, status string, enter_unix long, parked_seconds long, fee_vnd long, seq long"
 
 _VISIT_STATE = "visit_no long, entry_time long, entry_location string"

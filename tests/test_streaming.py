@@ -1,9 +1,12 @@
 """Streams: sinks, restarts, keyed state, late and damaged input."""
 
+import subprocess
+import sys
 import time
 
 import pandas as pd
 import pytest
+from pyspark import cloudpickle
 
 import feeds
 from lotflow.operators import lifetime, slot_state, views, visits
@@ -170,6 +173,12 @@ def test_keyed_state_equals_batch(spark, feed, parts):
     assert multiset(tables.latest_per_key(got, ["license_plate", "visit_no"])) == multiset(visits.visits(batch))
 
 
+@pytest.mark.parametrize("processor", [state.SlotProcessor(Settings()), state.VisitProcessor()], ids=["slot", "visit"])
+def test_state_classes_need_no_package_on_the_worker(processor):
+    load = "import pickle, sys; pickle.load(sys.stdin.buffer); assert 'lotflow' not in sys.modules"
+    subprocess.run([sys.executable, "-c", load], input=cloudpickle.dumps(processor), cwd="/", check=True)
+
+
 def test_advance_slot_row_by_row():
     rows = feeds.in_order([r for r in feeds.skewed_rows(800, 3) if r[4] == "A1"])
     frame = pd.DataFrame(
