@@ -11,19 +11,15 @@ from collections.abc import Iterator
 from operator import attrgetter
 
 import pandas as pd
-from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Row
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-import lotflow
 from lotflow.functions.columns import EVENT_ORDER
 from lotflow.functions.fees import MINUTES_PER_BLOCK, SECONDS_PER_MINUTE
 from lotflow.operators.quality import billable_events, known_events
 from lotflow.schemas import SLOT_ROWS, VISIT_ROWS
 from lotflow.settings import Settings
-
-# the state classes travel with the plan, so workers need no copy of the package
-cloudpickle.register_pickle_by_value(lotflow)
+from lotflow.shipping import ship
 
 _SLOT_STATE = "license_plate string, status string, enter_unix long, parked_seconds long, fee_vnd long, seq long"
 
@@ -116,6 +112,7 @@ class SlotProcessor(StatefulProcessor):
 
 def slot_states(events: DataFrame, settings: Settings = Settings(), ttl_seconds: int | None = None) -> DataFrame:
     """Update stream of slot states; ``ttl_seconds`` forgets slots that fall silent."""
+    ship(events.sparkSession)
     rows = known_events(events).select("location", "license_plate", "status_code", *EVENT_ORDER)
     return rows.groupBy("location").transformWithStateInPandas(
         statefulProcessor=SlotProcessor(settings, ttl_seconds),
@@ -156,6 +153,7 @@ class VisitProcessor(StatefulProcessor):
 
 def visit_states(events: DataFrame, ttl_seconds: int | None = None) -> DataFrame:
     """Update stream of visits per vehicle; ``ttl_seconds`` forgets vehicles that fall silent."""
+    ship(events.sparkSession)
     rows = billable_events(events).where("license_plate IS NOT NULL")
     return rows.select("license_plate", "location", "status_code", *EVENT_ORDER).groupBy(
         "license_plate"
