@@ -179,21 +179,25 @@ def candidate_edges(places: DataFrame, reps: DataFrame, threshold: float) -> Dat
 def components(edges: DataFrame) -> DataFrame:
     """Rows (node, label): the least node that is tied to it by edges; nodes without an edge are not in it.
 
-    Each round takes the least label among the neighbours and then the label's own label, so long
-    chains shrink by more than half; rounds end when no label changes.
+    Each round every node takes the least label in reach of one edge, and the graph shrinks to the
+    labels and the edges left between different ones; rounds end when no edge is left.
     """
-    both = edges.select(F.col("a").alias("node"), F.col("b").alias("other")).unionAll(edges.select(F.col("b").alias("node"), F.col("a").alias("other")))
-    both = checkpointed(both.where("node <> other").distinct())
-    labels = checkpointed(both.groupBy("node").agg(F.min("other").alias("label")).select("node", F.least("node", "label").alias("label")))
-    while True:
-        near = both.join(labels.select(F.col("node").alias("other"), "label"), "other").groupBy("node").agg(F.min("label").alias("near"))
-        least = labels.join(near, "node").select("node", "label", F.least("label", "near").alias("fresh"))
-        above = labels.select(F.col("node").alias("fresh"), F.col("label").alias("higher"))
-        stepped = checkpointed(least.join(above, "fresh").select("node", F.col("label").alias("old"), F.least("fresh", "higher").alias("label")))
-        changed = stepped.where("label <> old").limit(1).count()
-        labels = stepped.select("node", "label")
-        if not changed:
-            return labels
+    left = checkpointed(edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a <> b").distinct())
+    labels = None
+    while not left.isEmpty():
+        down = left.select(F.col("b").alias("node"), F.col("a").alias("label"))
+        ends = left.select(F.col("a").alias("node"), F.col("a").alias("label"))
+        step = checkpointed(down.unionAll(ends).groupBy("node").agg(F.min("label").alias("label")))
+        if labels is None:
+            labels = step
+        else:
+            onward = step.select(F.col("node").alias("label"), F.col("label").alias("next"))
+            labels = checkpointed(labels.join(onward, "label", "left").select("node", F.coalesce("next", "label").alias("label")))
+        to_a = step.select(F.col("node").alias("a"), F.col("label").alias("new_a"))
+        to_b = step.select(F.col("node").alias("b"), F.col("label").alias("new_b"))
+        moved = left.join(to_a, "a").join(to_b, "b").where("new_a <> new_b")
+        left = checkpointed(moved.select(F.least("new_a", "new_b").alias("a"), F.greatest("new_a", "new_b").alias("b")).distinct())
+    return edges.select(F.col("a").alias("node"), F.col("a").alias("label")).limit(0) if labels is None else labels
 
 
 def _id_map(ids: DataFrame, column: str) -> dict[int, int]:
