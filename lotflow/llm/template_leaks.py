@@ -50,44 +50,66 @@ _UNITS = frozenset(
 _CODES = {NUMBER: np.uint64(0xA24BAED4963EE407), NAME: np.uint64(0x9FB21C651E98DF25), UNIT: np.uint64(0xD6E8FEB86659FD93)}
 
 
-def token_of(chunk: str) -> tuple[tuple[tuple[int, int], ...], bool]:
-    """Tokens of a chunk as (hash of its lower-case text, kind), and whether a sentence ends with it."""
-    ends = chunk[-1] in ".!?:" or chunk[-1] in "\"')]" and len(chunk) > 1 and chunk[-2] in ".!?:"
+# a chunk's code: its hash with the last five bits used for the kind of its token and for these
+_ENDS, _NONE, _TWO, _FLAGS = 4, 8, 16, 31
+_STOPS = frozenset(".!?:")
+
+
+def chunk_code(chunk: str) -> int:
+    """Hash of a chunk's token, its kind, and whether a sentence ends, no token stands or two stand there."""
+    if chunk.isalpha():
+        return _token(chunk, chunk.lower())
+    last = chunk[-1]
+    ends = _ENDS if last in _STOPS or last in "\"')]" and len(chunk) > 1 and chunk[-2] in _STOPS else 0
+    if last in ".,!?:;" and chunk[:-1].isalpha():
+        return _token(chunk, chunk[:-1].lower()) | ends
     bare = _EDGES.sub("", chunk)
     if not bare or not any(mark.isalnum() or mark == "%" for mark in bare):
-        return (), ends
+        return _NONE | ends
     glued = _GLUED.fullmatch(bare)
     if glued and glued.group(2).lower() in _UNITS:
-        return ((_hash(glued.group(1)), NUMBER), (_hash(glued.group(2).lower()), UNIT)), ends
-    low = bare.lower()
-    if _NUMBER.fullmatch(bare) or low in _NUMBER_WORDS:
+        return _TWO | ends
+    if _NUMBER.fullmatch(bare):
+        return _hash(bare.lower()) | NUMBER | ends
+    return _token(bare, bare.lower()) | ends
+
+
+def _token(written: str, low: str) -> int:
+    if low in _NUMBER_WORDS:
         kind = NUMBER
     elif low in _UNITS:
         kind = UNIT
-    elif bare[0].isupper() and bare[1:] == bare[1:].lower():
+    elif written[0].isupper() and written[1:] == written[1:].lower():
         kind = NAME
     else:
         kind = WORD
-    return ((_hash(low), kind),), ends
+    return _hash(low) | kind
+
+
+def _two_codes(chunk: str, ends: int) -> list[int]:
+    glued = _GLUED.fullmatch(_EDGES.sub("", chunk))
+    return [_hash(glued.group(1)) | NUMBER, _hash(glued.group(2).lower()) | UNIT | ends]
 
 
 def _hash(text: str) -> int:
-    return xxhash.xxh64_intdigest(text) | 1
+    return xxhash.xxh64_intdigest(text) & ~_FLAGS
 
 
-def template(text: str | None, tokens: WordCache) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def template(text: str | None, codes: WordCache) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Codes of the template's tokens, their kinds and the hashes of what stood there."""
-    values, kinds, opens, opening = [], [], [], True
-    for found, ends in [tokens[chunk] for chunk in text.split()] if text else ():
-        for value, kind in found:
-            values.append(value)
-            kinds.append(kind)
-            opens.append(opening)
-            opening = False
-        if ends:
-            opening = True
-    value, kind = np.array(values, dtype=np.uint64), np.array(kinds, dtype=np.int8)
-    kind[(kind == NAME) & np.array(opens, dtype=bool)] = WORD  # any word is capitalised where a sentence begins
+    chunks = text.split() if text else []
+    coded = np.array([codes[chunk] for chunk in chunks], dtype=np.uint64)
+    flags = coded.astype(np.int8) & _FLAGS
+    if (flags & _TWO).any():
+        each = [_two_codes(chunk, int(flag) & _ENDS) if flag & _TWO else [int(code)] for chunk, code, flag in zip(chunks, coded, flags)]
+        coded = np.array([code for codes_of in each for code in codes_of], dtype=np.uint64)
+        flags = coded.astype(np.int8) & _FLAGS
+    ends, there = (flags & _ENDS) > 0, np.flatnonzero((flags & _NONE) == 0)
+    value, kind = coded[there] & ~np.uint64(_FLAGS), flags[there] & 3
+    # a sentence opens at the first token, and where one has ended since the token before
+    ended = np.concatenate([[0], np.cumsum(ends)])
+    opens = np.diff(ended[there], prepend=-1) > 0 if len(there) else np.zeros(0, dtype=bool)
+    kind[(kind == NAME) & opens] = WORD  # any word is capitalised where a sentence begins
     after_number = np.concatenate([[False], kind[:-1] == NUMBER]) if len(kind) else np.zeros(0, dtype=bool)
     kind[(kind == UNIT) & ~after_number] = WORD
     code = value.copy()
@@ -96,9 +118,9 @@ def template(text: str | None, tokens: WordCache) -> tuple[np.ndarray, np.ndarra
     return code, kind, value
 
 
-def template_windows(text: str | None, tokens: WordCache) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def template_windows(text: str | None, codes: WordCache) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Hashes and places of a text's windows with enough ordinary words, and the kinds and values of its tokens."""
-    code, kind, value = template(text, tokens)
+    code, kind, value = template(text, codes)
     hashes = window_hashes(code, WIDTH)
     if not len(hashes):
         return hashes, np.zeros(0, dtype=np.int64), kind, value
@@ -117,7 +139,7 @@ def windows(table: DataFrame, id_col: str, text_col: str, bitmap: dict[int, int]
     sent = table.sparkSession.sparkContext.broadcast(bitmap) if bitmap is not None else None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = WordCache(token_of)
+        codes = WordCache(chunk_code)
         bits = None
         if sent is not None:
             bits = np.zeros(BITMAP_BITS // 64, dtype=np.uint64)
@@ -125,7 +147,7 @@ def windows(table: DataFrame, id_col: str, text_col: str, bitmap: dict[int, int]
 
         def rows() -> Iterator[tuple]:
             for number, text in (row for rows in rows_of(batches, "id", "text") for row in rows):
-                hashes, places, kind, value = template_windows(text, tokens)
+                hashes, places, kind, value = template_windows(text, codes)
                 if bits is not None and len(hashes):
                     bit = hashes & np.uint64(BITMAP_BITS - 1)
                     hit = (bits[bit >> np.uint64(6)] >> (bit & np.uint64(63)) & np.uint64(1)).astype(bool)

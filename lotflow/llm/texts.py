@@ -60,7 +60,8 @@ def checkpointed(df: DataFrame) -> DataFrame:
 
 def word_hash(word: str) -> int:
     """Hash of a word in lower case without punctuation at its ends; 0 where nothing is left."""
-    bare = _EDGES.sub("", word.lower())
+    low = word.lower()
+    bare = low if low.isalnum() else low[:-1] if low[:-1].isalnum() and low[-1] in ".,;:!?" else _EDGES.sub("", low)
     return xxhash.xxh64_intdigest(bare) | 1 if bare else 0
 
 
@@ -77,10 +78,11 @@ def window_hashes(words: np.ndarray, width: int) -> np.ndarray:
         return words
     width = min(width, len(words))
     count = len(words) - width + 1
-    total = np.full(count, width, dtype=np.uint64)
-    for place in range(width):
-        total = mix(total + words[place : place + count] * np.uint64(2 * place + 1))
-    return total
+    factors = mix(np.arange(1, width + 2, dtype=np.uint64)) | np.uint64(1)
+    total = words[:count] * factors[0]
+    for place in range(1, width):
+        total += words[place : place + count] * factors[place]
+    return mix(total + factors[width])
 
 
 def shingles(text: str | None, hashes: WordCache, width: int) -> np.ndarray:

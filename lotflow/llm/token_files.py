@@ -14,7 +14,9 @@ a null id sorts first. An empty table gives an empty file and an empty result.
 
 from __future__ import annotations
 
+import sys
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -96,14 +98,20 @@ def _library(path: str) -> tuple[WordCache, str]:
     whole.no_truncation()
     whole.no_padding()
     kind, model, symbols = "<u2" if whole.get_vocab_size() <= 1 << 16 else "<u4", whole.model, byte_symbols()
+    code = "H" if kind == "<u2" else "I"
 
     def encode(chunk: str) -> bytes:
         if is_latin(chunk) and not any(special in chunk for special in SPECIALS):
-            words = ("".join([symbols[byte] for byte in word.encode()]) for word in words_of(chunk))
+            words = words_of(chunk)
+            if not chunk.isascii() or not chunk.isprintable():  # what prints in ASCII stands for its own byte
+                words = ["".join([symbols[byte] for byte in word.encode()]) for word in words]
             ids = [token.id for word in words for token in model.tokenize(word)]
         else:
             ids = whole.encode(chunk, add_special_tokens=False).ids
-        return np.array(ids, dtype=kind).tobytes()
+        coded = array(code, ids)
+        if sys.byteorder == "big":
+            coded.byteswap()
+        return coded.tobytes()
 
     return WordCache(encode), kind
 

@@ -67,6 +67,10 @@ def _plain_words(chunk: str) -> list[str]:
     if not chunk:
         return []
     low = lowered(chunk)
+    if low.isalpha():
+        return [low]
+    if low[-1] in ".,;:!?" and low[:-1].isalpha():
+        return [low[:-1], low[-1]]
     return (_LATIN_WORDS if is_latin(low) else _WORDS).findall(low)
 
 
