@@ -168,12 +168,13 @@ def learn(counts: dict[str, Counter], documents: dict[str, int], pieces: list[st
     return LanguageModel(languages, pieces, probability, np.log(share / share.sum()) if len(share) else share)
 
 
-def train(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", path: str | None = None) -> LanguageModel:
+def train(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", path: str | None = None) -> LanguageModel:
     """Learn from labelled rows: shares from all of them, words from a sample of ``SAMPLE_DOCS``."""
-    rows = labelled.select(F.col(text_col).alias("text"), F.col(lang_col).alias("lang")).where("lang IS NOT NULL AND text IS NOT NULL")
+    rows = labelled.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang")).where("lang IS NOT NULL AND text IS NOT NULL")
     shares = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).collect()
-    # the documents with the smallest hashes, the same ones whatever the partitions
-    sample = rows.select(F.xxhash64("text").alias("place"), "text", "lang").orderBy("place", "lang").limit(SAMPLE_DOCS)
+    # the ids with the smallest hashes, the same ones whatever the partitions, are chosen before any text is moved
+    ids = rows.select("id").distinct().orderBy(F.xxhash64("id"), "id").limit(SAMPLE_DOCS)
+    sample = rows.join(ids, "id", "left_semi")
     words = sample.select("lang", F.explode(F.split(F.lower("text"), r"[^\p{L}]+")).alias("word")).where("word <> ''")
     counted = words.groupBy("lang", "word").count().orderBy(F.desc("count"), "lang", "word").limit(SAMPLE_WORDS * max(1, len(shares)))
     counts: dict[str, Counter] = {}

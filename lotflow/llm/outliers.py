@@ -105,7 +105,10 @@ def _added(moments: DataFrame, *keys: str) -> DataFrame:
 
 def _leaning(moments: DataFrame) -> DataFrame:
     """Centre ``m`` and scatter ``c`` per group, each leaning on the wider group's."""
-    every = _added(moments).select(*[(F.col(f"s{i}") / F.col("n")).alias(f"em{i}") for i in DIMS], *[(F.col(f"p{i}{j}") / F.col("n") - F.col(f"s{i}") * F.col(f"s{j}") / F.col("n") / F.col("n")).alias(f"ec{i}{j}") for i, j in _pairs()], F.lit(1).alias("__one"))
+    total = _added(moments).head()  # one row of sums
+    n = total["n"] or 1.0
+    mean = {i: (total[f"s{i}"] or 0.0) / n for i in DIMS}
+    every = {f"em{i}": F.lit(mean[i]) for i in DIMS} | {f"ec{i}{j}": F.lit((total[f"p{i}{j}"] or 0.0) / n - mean[i] * mean[j]) for i, j in _pairs()}
 
     def lean(rows: DataFrame, wide: str, out: str) -> DataFrame:
         weight = F.col("n") + LEAN
@@ -118,7 +121,7 @@ def _leaning(moments: DataFrame) -> DataFrame:
             scatter.append((own / weight - product / weight / weight).alias(f"{out}c{i}{j}"))
         return rows.select("*", *centre, *scatter)
 
-    by_lang = lean(_added(moments, "g_lang").withColumn("__one", F.lit(1)).join(every, "__one"), "e", "l")
+    by_lang = lean(_added(moments, "g_lang").withColumns(every), "e", "l")
     wide = [f"lm{i}" for i in DIMS] + [f"lc{i}{j}" for i, j in _pairs()]
     groups = lean(moments.join(by_lang.select("g_lang", *wide), "g_lang"), "l", "")
     return groups.select("g_lang", "g_source", *[f"m{i}" for i in DIMS], *[f"c{i}{j}" for i, j in _pairs()])
@@ -164,7 +167,7 @@ def robust_estimates(rows: DataFrame, steps: int = STEPS) -> DataFrame:
         near = _with_distance(rows, groups)
         bounds = near.groupBy("g_lang", "g_source").agg(F.percentile_approx("distance", KEPT_SHARE).alias("bound"))
         inside = near.join(bounds, ["g_lang", "g_source"]).where("distance <= bound")
-        estimate = checkpointed(_leaning(_moments(inside, "g_lang", "g_source")))
+        estimate = checkpointed(_leaning(checkpointed(_moments(inside, "g_lang", "g_source"))))
         groups = checkpointed(_factored(estimate))
     # the nearest rows spread less than all: stretch the scatter until the median distance is that of chi-squared
     stretch = _with_distance(rows, groups).groupBy("g_lang", "g_source").agg(F.percentile_approx("distance", 0.5).alias("middle"))
