@@ -325,7 +325,7 @@ def laid_out(texts: list[str], random: np.random.Generator) -> tuple[str, set[st
     def said(short: bool = False) -> str:
         nonlocal serial
         serial += 1
-        words = pick(texts).split()
+        words = pick(texts).split(maxsplit=60)
         words = words[: int(random.integers(1, 4))] if short else words[: int(random.integers(3, 60))]
         return html.escape(" ".join([*words, f"~{serial}"]))  # the number tells equal texts apart, and is taken off again
 
