@@ -3,7 +3,7 @@
 The base detectors find emails, addresses (ip), card numbers and phone numbers as written. Then a
 chain of transducers rewrites look-alike letters, spelled digits and disguised at and dot signs; each
 output character remembers which source characters it stands for. The same detectors run on the
-rewritten text, and what they find there is mapped back and added where no base span of its kind lies.
+rewritten text, and what they find there is mapped back and added unless a base span of its kind holds it.
 
 A null text counts as empty and has no spans. Places are code points, ends exclusive. Each row gives
 one row; other columns are left aside (``redact`` keeps them).
@@ -222,7 +222,7 @@ def all_spans(text: str | None) -> tuple[list[Span], list[Span]]:
     added = []
     for begin, end, kind in detect(tape.text):
         span = (tape.begins[begin], tape.ends[end - 1], kind)
-        if not any(span[0] < other[1] and other[0] < span[1] for other in taken.get(kind, ())):
+        if not any(other[0] <= span[0] and span[1] <= other[1] for other in taken.get(kind, ())):
             added.append(span)
     return base, in_order(base + added)
 
