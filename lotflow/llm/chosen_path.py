@@ -179,8 +179,9 @@ def candidate_edges(places: DataFrame, reps: DataFrame, threshold: float) -> Dat
 def components(edges: DataFrame) -> DataFrame:
     """Rows (node, label): the least node that is tied to it by edges; nodes without an edge are not in it.
 
-    Each round every node takes the least label in reach of one edge, and the graph shrinks to the
-    labels and the edges left between different ones; rounds end when no edge is left.
+    Each round every node points at the least node in reach of one edge and then follows the pointers
+    to their end; the graph shrinks to these ends and the edges left between different ones, until no
+    edge is left.
     """
     left = checkpointed(edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a <> b").distinct())
     labels = None
@@ -188,6 +189,12 @@ def components(edges: DataFrame) -> DataFrame:
         down = left.select(F.col("b").alias("node"), F.col("a").alias("label"))
         ends = left.select(F.col("a").alias("node"), F.col("a").alias("label"))
         step = checkpointed(down.unionAll(ends).groupBy("node").agg(F.min("label").alias("label")))
+        moving = True
+        while moving:  # each label's own label, until all are ends: chains halve each time
+            onward = step.select(F.col("node").alias("label"), F.col("label").alias("next"))
+            jumped = checkpointed(step.join(onward, "label").select("node", "label", "next"))
+            moving = not jumped.where("label <> next").isEmpty()
+            step = jumped.select("node", F.col("next").alias("label"))
         if labels is None:
             labels = step
         else:
