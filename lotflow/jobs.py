@@ -129,17 +129,25 @@ class Lot:
         return tables.latest_per_key(rows, ["license_plate", "exit_location", "entry_time"])
 
     def history(self) -> DataFrame:
-        return tables.read_all(self.spark, f"{self.root}/history", HISTORY).drop("batch_id")
+        return tables.read_all(self.spark, f"{self.root}/history", HISTORY).select(*HISTORY.fieldNames())
 
     def settle(self, requests: DataFrame) -> DataFrame:
         """Answers payment requests in bulk, and books the ones that succeed.
 
-        Outcomes are written first and payments derived from what was written, so both agree. One
-        caller at a time: each call is one batch of the ledger.
+        Outcomes are written first and payments derived from what was written, so both agree; a stop
+        between the two is made good by the next call, which books the last outcomes first. One caller
+        at a time: each call is one batch of the ledger.
         """
         last = tables.last_commit(self.spark, f"{self.root}/outcomes")
         batch = 0 if last is None else last + 1
+        booked = tables.last_commit(self.spark, f"{self.root}/ledger")
+        if last is not None and (booked is None or booked < last):
+            self._book(last)
         tables.write_batch(checkout.checkout_requests(requests, self.status()), batch, f"{self.root}/outcomes")
+        return self._book(batch)
+
+    def _book(self, batch: int) -> DataFrame:
+        """Write the payments of the last outcomes to the ledger."""
         outcomes = tables.read_latest(self.spark, f"{self.root}/outcomes", _OUTCOME)
         now = F.date_format(F.current_timestamp(), TIMESTAMP_PATTERN)
         tables.write_batch(checkout.payments_of(outcomes, now), batch, f"{self.root}/ledger")

@@ -6,8 +6,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lotflow.operators.quality import valid_events
-from lotflow.plans.lookup import lookup
-from lotflow.plans.ordered import HotKeys
 from lotflow.schemas import CHECKOUT, LEDGER_ENTRY
 
 # Outcomes of a payment request.
@@ -57,27 +55,32 @@ def unpaid_stays(stays: DataFrame, ledger: DataFrame) -> DataFrame:
     return stays.join(ledger.select(*keys), keys, "left_anti")
 
 
-def checkout_requests(requests: DataFrame, view: DataFrame, hot: HotKeys = HotKeys()) -> DataFrame:
+def checkout_requests(requests: DataFrame, view: DataFrame) -> DataFrame:
     """The outcome of each (request_id, license_plate, location), letter case aside.
 
-    Where several rows of the view differ in case alone, the first by (slot, plate) counts; the
-    view is brought to one row per folded key first, so no request meets more than one row.
+    A stay is charged once: of the requests for one that is leaving, the least request_id succeeds and
+    the others find nothing, as if the ledger had hidden it from them. Where several rows of the view
+    differ in case alone, the first by (slot, plate) counts; the view is brought to one row per folded
+    key first, so no request meets more than one row. A success names plate and slot as the view has
+    them, so that what it books hides that very row.
     """
     plate, slot = F.upper("license_plate").alias("plate_key"), F.upper("location").alias("slot_key")
-    first = F.min_by(F.struct("current_status", "total_fee", "parked_minutes"), F.struct("location", "license_plate"))
-    found = view.groupBy(plate, slot).agg(first.alias("found"))
+    own = F.struct("current_status", "total_fee", "parked_minutes", "license_plate", "location")
+    found = view.groupBy(plate, slot).agg(F.min_by(own, F.struct("location", "license_plate")).alias("found"))
     blank = (F.coalesce("license_plate", F.lit("")) == "") | (F.coalesce("location", F.lit("")) == "")
     # requests without a key would all meet in one partition: they do not join at all
     complete = requests.where(~blank).select("request_id", plate, slot)
-    answered = lookup(complete, found, ["plate_key", "slot_key"], hot).select(
+    keys = ["plate_key", "slot_key"]
+    first = complete.groupBy(*keys).agg(F.min("request_id").alias("first_id"))
+    leaving = F.coalesce(F.col("found.current_status") == "EXITING", F.lit(False))
+    late = leaving & (F.col("request_id") != F.col("first_id"))
+    outcome = F.when(F.col("found").isNull() | late, NOT_FOUND).when(~leaving, NOT_EXITING).otherwise(SUCCESS)
+    answered = complete.join(found.join(first, keys), keys, "left").select(
         "request_id",
-        F.col("plate_key").alias("license_plate"),
-        F.col("slot_key").alias("location"),
-        F.when(F.col("found").isNull(), NOT_FOUND)
-        .when(F.coalesce(F.col("found.current_status") != "EXITING", F.lit(True)), NOT_EXITING)
-        .otherwise(SUCCESS)
-        .alias("outcome"),
-        "found",
+        F.when(leaving & ~late, F.col("found.license_plate")).otherwise(F.col("plate_key")).alias("license_plate"),
+        F.when(leaving & ~late, F.col("found.location")).otherwise(F.col("slot_key")).alias("location"),
+        outcome.alias("outcome"),
+        F.when(~late, F.col("found")).alias("found"),
     )
     paid = F.col("outcome") == SUCCESS
     answered = answered.select(

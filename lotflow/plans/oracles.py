@@ -284,11 +284,12 @@ FROM (SELECT * FROM life WHERE entry_time IS NOT NULL) l ASOF JOIN versions v ON
   total_fee, parked_minutes, checkout_time FROM ledger""",
     "checkout_requests": _with(VIEW) + """SELECT r.event_id AS request_id, r.license_plate, r.location,
   CASE WHEN r.location IS NULL THEN 'missing_field' WHEN v.location IS NULL THEN 'not_found'
-       WHEN v.current_status <> 'EXITING' THEN 'not_exiting' ELSE 'success' END AS outcome,
-  v.current_status,
-  CASE WHEN v.current_status = 'EXITING' THEN v.total_fee END AS total_fee,
-  CASE WHEN v.current_status = 'EXITING' THEN v.parked_minutes END AS parked_minutes
-FROM (SELECT event_id, license_plate, CASE WHEN status_code <> 'ENTERING' THEN location END AS location FROM feed) r
+       WHEN v.current_status <> 'EXITING' THEN 'not_exiting' WHEN r.n > 1 THEN 'not_found' ELSE 'success' END AS outcome,
+  CASE WHEN v.current_status <> 'EXITING' OR r.n = 1 THEN v.current_status END AS current_status,
+  CASE WHEN v.current_status = 'EXITING' AND r.n = 1 THEN v.total_fee END AS total_fee,
+  CASE WHEN v.current_status = 'EXITING' AND r.n = 1 THEN v.parked_minutes END AS parked_minutes
+FROM (SELECT *, row_number() OVER (PARTITION BY license_plate, location ORDER BY event_id) AS n
+      FROM (SELECT event_id, license_plate, CASE WHEN status_code <> 'ENTERING' THEN location END AS location FROM feed)) r
 LEFT JOIN view_rows v ON r.license_plate = v.license_plate AND r.location = v.location""",
     "checkout_history": _with() + """SELECT
   sha256(CAST(timestamp_unix AS VARCHAR) || '|' || license_plate || '|' || location || '|' || CAST(event_id AS VARCHAR)) AS event_id,

@@ -139,6 +139,16 @@ def test_requests(spark):
     assert rows(checkout.checkout_requests(requests.limit(1), later), "outcome") == [("not_found",)]
 
 
+def test_a_stay_is_charged_once_and_as_it_is_written(spark):
+    view = spark.createDataFrame([("b5-x", "A1", "EXITING", 10000, 7)], "license_plate string, location string, current_status string, total_fee long, parked_minutes long")
+    requests = spark.createDataFrame([(2, "B5-X", "a1"), (1, "b5-X", "A1"), (3, "b5-x", "A1")], "request_id long, license_plate string, location string")
+    outcomes = checkout.checkout_requests(requests, view)
+    assert rows(outcomes, "request_id", "outcome", "total_fee") == [(1, "success", 10000), (2, "not_found", None), (3, "not_found", None)]
+    paid = checkout.payments_of(outcomes, F.lit("2024-01-02 00:00:00"))
+    assert rows(paid, "license_plate", "location") == [("b5-x", "A1")]
+    assert view.join(paid, ["license_plate", "location"], "left_anti").count() == 0
+
+
 def test_a_paid_stay_does_not_hide_the_next_one(spark):
     keys = "license_plate string, location string, entry_time long"
     stays = spark.createDataFrame([("P", "A1", 1), ("P", "A1", 9)], keys)

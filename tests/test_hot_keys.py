@@ -5,7 +5,6 @@ from pyspark.sql import functions as F
 
 import feeds
 from lotflow.operators import slot_state, transitions, visits
-from lotflow.plans.lookup import lookup
 from lotflow.plans.ordered import HotKeys, order_key, split_hot
 
 PLAIN = HotKeys(hot_rows=10**9)
@@ -92,12 +91,6 @@ def test_copies_of_one_event_are_cut_by_id(spark):
     assert multiset(slot_state.slot_fsm_events(df, hot=hot)) == multiset(slot_state.slot_fsm_events(df, hot=PLAIN))
 
 
-def test_lookup_with_a_heavy_key(spark):
-    rows = spark.range(1000).select("id", F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).alias("k"))
-    table = spark.createDataFrame([(7, "seven"), (8, "eight"), (5000, "none")], "k long, name string")
-    expected = multiset(rows.join(table, ["k"], "left"))
-    for limit in (0, 50, 10**9):
-        assert multiset(lookup(rows, table, ["k"], HotKeys(hot_rows=limit))) == expected
 
 
 def test_current_state_needs_only_events_since_the_release(df):
