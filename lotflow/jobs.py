@@ -34,6 +34,10 @@ _OUTCOME = T.StructType(
 )
 
 
+# A release starts the count of its slot anew, so its time tells it from others with the same number.
+_RELEASE = "CASE WHEN status = 'EXITING' THEN struct(last_update_unix, seq, batch_id) END"
+
+
 def start_jobs(
     records: DataFrame,
     root: str,
@@ -75,7 +79,7 @@ class Lot:
     def compact(self) -> None:
         """Folds the update logs; run it now and then beside the jobs."""
         tables.compact(self.spark, f"{self.root}/fees/snapshot_changes", SNAPSHOT, ["location", "license_plate"])
-        tables.compact(self.spark, f"{self.root}/slots", SLOT_ROWS, ["location"], "seq")
+        tables.compact(self.spark, f"{self.root}/slots", SLOT_ROWS, ["location"], "seq", apart=_RELEASE)
 
     def register_views(self) -> None:
         """The tables by name, for SQL."""
@@ -116,6 +120,11 @@ class Lot:
         rows = tables.read_all(self.spark, f"{self.root}/slots", SLOT_ROWS)
         return tables.latest_per_key(rows, ["location"], "seq").where(F.col("status") != "EXITING").drop("seq")
 
+    def releases(self) -> DataFrame:
+        """Every stay that ended at a slot, with its final fee."""
+        rows = tables.read_all(self.spark, f"{self.root}/slots", SLOT_ROWS)
+        return rows.where("status = 'EXITING'").drop("seq", "batch_id")
+
     def live(self, as_of: int | None = None) -> DataFrame:
         """Slot states at a moment, now unless one is given."""
         moment = F.unix_timestamp(F.current_timestamp()) if as_of is None else as_of

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lotflow.functions.columns import div, is_vip
@@ -16,9 +16,8 @@ from lotflow.functions.fees import (
 )
 from lotflow.settings import Settings
 
-# Up to this many price versions the whole list becomes one expression.
-INLINE_VERSIONS = 64
-_DAY = 86400
+# Pieces in which seconds are put in order: a day, then a thousand days.
+_STEPS = (86_400, 1_000)
 
 
 def vip_tier_fees(fees: DataFrame, settings: Settings = Settings()) -> DataFrame:
@@ -36,39 +35,50 @@ def vip_tier_fees(fees: DataFrame, settings: Settings = Settings()) -> DataFrame
 
 
 def price_asof(rows: DataFrame, versions: DataFrame, time: str, name: str = "price_per_block") -> DataFrame:
-    """Adds the price in force at ``time``: of the latest (valid_from, price) not after it.
+    """Adds the price in force at ``time``: of the version with the latest ``valid_from`` not after it.
 
-    At most ``INLINE_VERSIONS`` + 1 versions are read first. A short list becomes one expression,
-    so the rows are neither joined nor moved; a longer one is joined by day, see
-    ``price_asof_join``.
+    Of versions of one second the greatest price holds. A version without ``valid_from`` never holds;
+    one whose price is null sets no price, so rows under it get null, as do rows before the first
+    version and rows without a time.
+
+    Each second that occurs is priced once and joined back, so the sorted part is as long as the
+    seconds, not the rows, whatever the length of the list.
     """
-    listed = versions.select("valid_from", "price").limit(INLINE_VERSIONS + 1).collect()
-    if len(listed) <= INLINE_VERSIONS:
-        price = F.lit(None).cast("long")
-        for start, amount in sorted(listed):
-            price = F.when(F.col(time) >= start, F.lit(amount).cast("long")).otherwise(price)
-        return rows.withColumn(name, price)
-    return price_asof_join(rows, versions, time, name)
+    seconds = rows.where(F.col(time).isNotNull()).select(
+        F.col(time).cast("long").alias("at"), F.lit(None).cast("long").alias("price"), F.lit(False).alias("changes")
+    )
+    listed = versions.where(F.col("valid_from").isNotNull()).select(
+        F.col("valid_from").cast("long").alias("at"), F.col("price").cast("long").alias("price"), F.lit(True).alias("changes")
+    )
+    marks = (
+        seconds.unionByName(listed)
+        .groupBy("at")
+        .agg(F.max("price").alias("price"), F.max("changes").alias("changes"))
+        .select("at", F.when(F.col("changes"), F.struct("price")).alias("version"))
+    )
+    priced = _with_earlier(marks, _STEPS).select(
+        F.col("at").alias("_priced_at"), F.coalesce("version", "earlier")["price"].alias(name)
+    )
+    return rows.join(priced, rows[time] == priced["_priced_at"], "left").drop("_priced_at")
 
 
-def price_asof_join(rows: DataFrame, versions: DataFrame, time: str, name: str = "price_per_block") -> DataFrame:
-    """As ``price_asof`` for a version list of any length: an equality join on the day.
+def _with_earlier(marks: DataFrame, steps: tuple[int, ...]) -> DataFrame:
+    """Adds ``earlier``, the last version before each mark (at, version); ``at`` is unique.
 
-    Each day that occurs in the rows or the versions gets the array of its own versions and the
-    price it opens with. Only days and versions are sorted into one order, never the rows.
+    Marks are ordered within pieces of ``steps[0]``; what a piece opens with comes from the last
+    versions of the pieces, found the same way. The last level is one order, of years at most.
     """
-    day = lambda column: div(column, _DAY)
-    of_day = versions.groupBy(day("valid_from").alias("day")).agg(
-        F.sort_array(F.collect_list(F.struct("valid_from", "price"))).alias("changes")
+    before = Window.orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
+    if not steps:
+        return marks.withColumn("earlier", F.last("version", ignorenulls=True).over(before))
+    pieces = marks.withColumn("piece", div("at", steps[0]))
+    in_piece = Window.partitionBy("piece").orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
+    closing = pieces.groupBy("piece").agg(F.max_by("version", F.when(F.col("version").isNotNull(), F.col("at"))).alias("version"))
+    opening = _with_earlier(closing.withColumnRenamed("piece", "at"), steps[1:]).select(
+        F.col("at").alias("piece"), F.col("earlier").alias("opening")
     )
-    days = rows.where(F.col(time).isNotNull()).select(day(time).alias("day")).distinct().join(of_day, "day", "full")
-    closing = F.get("changes", F.size("changes") - 1)["price"]
-    before = Window.orderBy("day").rowsBetween(Window.unboundedPreceding, -1)
-    priced = days.select("day", "changes", F.last(closing, ignorenulls=True).over(before).alias("opening"))
-    passed = F.filter(F.col("changes"), lambda version: version["valid_from"] <= F.col(time))
-    latest: Column = F.get(passed, F.size(passed) - 1)["price"]
-    joined = rows.withColumn("day", day(time)).join(priced, "day", "left")
-    return joined.withColumn(name, F.coalesce(latest, "opening")).drop("day", "changes", "opening")
+    near = pieces.withColumn("near", F.last("version", ignorenulls=True).over(in_piece))
+    return near.join(opening, "piece").select("at", "version", F.coalesce("near", "opening").alias("earlier"))
 
 
 def price_asof_fees(fees: DataFrame, versions: DataFrame) -> DataFrame:

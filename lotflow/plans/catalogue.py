@@ -20,7 +20,6 @@ SETTINGS = Settings()
 VIP_LISTED = ("A1",)
 LEDGER_CLOSED = "2024-01-16 00:00:00"  # payments of exits before this are in the ledger
 AS_OF = 1706745600  # 2024-02-01 00:00:00 UTC
-PRICE_VERSIONS = ((0, 5000), (1705276800, 6000), (1706140800, 7000))
 CONFIG_FILE = '{"price": {"price_per_10min": 6000}, "parking": {"total_slots": 60}}'
 LEGACY_FILE = '{"price_per_10min": 7000}'
 
@@ -40,8 +39,13 @@ def _view(spark: SparkSession, sf: str) -> DataFrame:
     return views.status_view(views.snapshot(_fees(spark, sf)), _ledger(spark, sf))
 
 
-def _versions(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(list(PRICE_VERSIONS), "valid_from long, price long")
+def _versions(spark: SparkSession, sf: str) -> DataFrame:
+    """A price list as long as the feed: each PARKED event changes the price; some lack the price or its time."""
+    number = F.col("event_id")
+    return table_events(spark, sf).where("status_code = 'PARKED'").select(
+        F.when(number % 13 != 0, F.col("timestamp_unix")).alias("valid_from"),
+        F.when(number % 17 != 0, 4000 + number % 9 * 500).alias("price"),
+    )
 
 
 def parse_events(spark, sf):
@@ -192,7 +196,7 @@ def vip_tier_fees(spark, sf):
 
 
 def price_asof_fees(spark, sf):
-    return pricing.price_asof_fees(_fees(spark, sf), _versions(spark))
+    return pricing.price_asof_fees(_fees(spark, sf), _versions(spark, sf))
 
 
 def layered_config(spark, sf):

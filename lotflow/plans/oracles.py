@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from lotflow.plans.catalogue import AS_OF, LEDGER_CLOSED, PRICE_VERSIONS, VIP_LISTED
+from lotflow.plans.catalogue import AS_OF, LEDGER_CLOSED, VIP_LISTED
 
 PRICE, VIP_PRICE = 5000, 8000
 BILLABLE = "status_code IN ('PARKED', 'MOVING', 'EXITING')"
@@ -156,7 +156,9 @@ AMOUNT = _AMOUNT.format(a="total_fee")
 SNAPSHOT_COLUMNS = "location, license_plate, current_status, entry_timestamp, parked_minutes, total_fee, last_update"
 LISTED = ", ".join(f"('{name}')" for name in VIP_LISTED)
 IN_LISTED = ", ".join(f"'{name}'" for name in VIP_LISTED)
-VERSIONS = ", ".join(f"({start}, {price})" for start, price in PRICE_VERSIONS)
+VERSIONS = """versions AS (
+  SELECT timestamp_unix AS valid_from, max(CASE WHEN event_id % 17 <> 0 THEN 4000 + event_id % 9 * 500 END) AS price
+  FROM feed WHERE status_code = 'PARKED' AND event_id % 13 <> 0 GROUP BY timestamp_unix)"""
 
 
 def _with(*parts: str) -> str:
@@ -275,9 +277,9 @@ WHERE d IS NOT NULL GROUP BY status_code""",
   {_ceil_fee('parked_seconds', 'price_per_block')} AS fee_vnd
 FROM (SELECT *, CASE WHEN is_vip THEN {VIP_PRICE} ELSE {PRICE} END AS price_per_block
       FROM (SELECT *, location LIKE 'F%' OR location IN ({IN_LISTED}) AS is_vip FROM life WHERE entry_time IS NOT NULL))""",
-    "price_asof_fees": _with(LIFE, f"versions(valid_from, price) AS (VALUES {VERSIONS})") + """
+    "price_asof_fees": _with(LIFE, VERSIONS) + """
 SELECT location, license_plate, last_update, fee_blocks, price AS price_per_block, fee_blocks * price AS total_fee
-FROM (SELECT * FROM life WHERE entry_time IS NOT NULL) l ASOF JOIN versions v ON l.last_update >= v.valid_from""",
+FROM (SELECT * FROM life WHERE entry_time IS NOT NULL) l ASOF LEFT JOIN versions v ON l.last_update >= v.valid_from""",
     "layered_config": _with(LIFE) + """SELECT location, license_plate, fee_blocks, fee_blocks * 5000 AS fee_default,
   fee_blocks * 6000 AS fee_file, fee_blocks * 7000 AS fee_legacy FROM life""",
     "ledger_rows": _with(LEDGER) + """SELECT license_plate || '_' || location AS ledger_key, license_plate, location,

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from lotflow.operators.lifetime import lifetime, window_fees
 from lotflow.operators.quality import valid_events
@@ -29,6 +30,10 @@ def windowed_fees(records: DataFrame, settings: Settings = Settings()) -> DataFr
 
 
 def deduplicated(records: DataFrame, settings: Settings = Settings()) -> DataFrame:
-    """Each sighting once, where its repeats arrive within the watermark delay."""
-    rows = valid_events(watermarked(records, settings)).where("event_time IS NOT NULL")
-    return rows.dropDuplicatesWithinWatermark(DEDUP_KEYS)
+    """Each sighting once, where its repeats arrive within the watermark delay.
+
+    Where the text time does not parse, the unix time stands for it, so no usable row is lost.
+    """
+    time = F.coalesce("event_time", F.timestamp_seconds("timestamp_unix"))
+    rows = valid_events(parse_records(records)).withColumn("event_time", time)
+    return rows.withWatermark("event_time", settings.watermark).dropDuplicatesWithinWatermark(DEDUP_KEYS)

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -21,13 +22,27 @@ BatchWriter = Callable[[DataFrame, int], None]
 def priced(totals: DataFrame, settings: Settings, versions: Callable[[], DataFrame] | None) -> DataFrame:
     """Fees at the set price, or at the price in force at the last sighting.
 
-    ``versions`` is called for every batch, so a price change reaches the running query.
+    ``versions`` is called for every batch, so a price change reaches the running query. With
+    versions the totals are read twice: keep them before (``kept``).
     """
     if versions is None:
         return with_fees(totals, settings.price_per_10min)
     return with_fees(price_asof(totals, versions(), "last_update"), F.col("price_per_block")).drop("price_per_block")
 
 
+@contextmanager
+def kept(rows: DataFrame, keep: bool = True) -> Iterator[DataFrame]:
+    """Rows of a batch that are read more than once, held while the block runs."""
+    if not keep:
+        yield rows
+        return
+    held = rows.persist()
+    try:
+        yield held
+    finally:
+        held.unpersist()
+
+
 def table_sink(path: str, transform: Callable[[DataFrame], DataFrame] | None = None) -> BatchWriter:
     """Writes each batch, transformed, as a version of a table."""
 
@@ -37,14 +52,22 @@ def table_sink(path: str, transform: Callable[[DataFrame], DataFrame] | None = N
     return write
 
 
+def _priced_sink(path: str, transform: Callable[[DataFrame], DataFrame], settings: Settings, versions) -> BatchWriter:
+    def write(batch: DataFrame, batch_id: int) -> None:
+        with kept(batch, versions is not None) as totals:
+            write_batch(transform(priced(totals, settings, versions)), batch_id, path)
+
+    return write
+
+
 def snapshot_sink(path: str, settings: Settings = Settings(), versions=None) -> BatchWriter:
     """All (slot, vehicle) rows, anew in every version; for complete mode."""
-    return table_sink(path, lambda batch: snapshot(priced(batch, settings, versions)))
+    return _priced_sink(path, snapshot, settings, versions)
 
 
 def checkout_sink(path: str, settings: Settings = Settings(), versions=None) -> BatchWriter:
     """Rows that are EXITING; a stay that shows up again is read once, by its key."""
-    return table_sink(path, lambda batch: checkout_records(priced(batch, settings, versions)))
+    return _priced_sink(path, checkout_records, settings, versions)
 
 
 def history_sink(path: str) -> BatchWriter:
@@ -65,16 +88,14 @@ def fan_out_sink(root: str, settings: Settings = Settings(), versions=None) -> B
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        fees = priced(batch, settings, versions).persist()
-        try:
-            if fees.isEmpty():
+        with kept(batch) as totals:
+            if totals.isEmpty():
                 return
+            fees = priced(totals, settings, versions)
             write_batch(snapshot(fees), batch_id, f"{root}/snapshot_changes")
             write_batch(checkout_records(fees), batch_id, f"{root}/checkouts")
-            counts = fees.agg(F.count(F.lit(1)).alias("changed_rows"))
+            counts = totals.agg(F.count(F.lit(1)).alias("changed_rows"))
             write_batch(counts, batch_id, f"{root}/counts")
-        finally:
-            fees.unpersist()
 
     return write
 

@@ -62,14 +62,20 @@ def read_all(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     return base.unionByName(rows.where(batch > compacted).select(*base.columns))
 
 
-def compact(spark: SparkSession, path: str, schema: T.StructType, keys: list[str], *then: str) -> None:
-    """Folds the update log into one row per key, so that reading it does not grow with its age."""
+def compact(
+    spark: SparkSession, path: str, schema: T.StructType, keys: list[str], *then: str, apart: str | None = None
+) -> None:
+    """Folds the update log into one row per key, so that reading it does not grow with its age.
+
+    Rows for which the expression ``apart`` has a value are results in their own right: one is kept per key and value.
+    """
     last = last_commit(spark, path)
     if last is None:
         return
     rows = read_all(spark, path, schema)
     values = [name for name in rows.columns if name not in keys]
-    newest = rows.groupBy(*keys).agg(F.max_by(F.struct(*values), F.struct("batch_id", *then)).alias("row"))
+    groups = keys if apart is None else [*keys, F.expr(apart).alias("_apart")]
+    newest = rows.groupBy(*groups).agg(F.max_by(F.struct(*values), F.struct("batch_id", *then)).alias("row"))
     newest.select(*keys, "row.*").write.mode("overwrite").parquet(f"{path}/compacted/rows/upto={last}")
     _commit(spark, last, f"{path}/compacted")
 

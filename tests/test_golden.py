@@ -81,8 +81,15 @@ def test_price_in_force(spark, count):
         return known[-1] if known else None
 
     want = {n: expected(time) for n, time in enumerate(times)}
-    for method in (pricing.price_asof, pricing.price_asof_join):
-        assert {r.n: r.p for r in method(rows_, listed, "t", "p").collect()} == want
+    assert {r.n: r.p for r in pricing.price_asof(rows_, listed, "t", "p").collect()} == want
+
+
+def test_prices_without_time_or_amount(spark):
+    schema = "valid_from long, price long"
+    listed = spark.createDataFrame([(0, 5000), (None, 1), (10, None), (20, 7000), (20, 6000), (20, None), (90_000_000, 1)], schema)
+    rows_ = spark.createDataFrame([(-5,), (0,), (9,), (10,), (19,), (20,), (89_999_999,), (90_000_001,), (None,)], "t long")
+    got = {r.t: r.p for r in pricing.price_asof(rows_, listed, "t", "p").collect()}
+    assert got == {-5: None, 0: 5000, 9: 5000, 10: None, 19: None, 20: 7000, 89_999_999: 7000, 90_000_001: 1, None: None}
 
 
 def test_slot_sets(spark):

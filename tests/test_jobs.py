@@ -25,7 +25,11 @@ def test_feed_to_payment(spark):
     assert [(r.location, r.status, r.parked_seconds, r.fee_vnd, r.is_vip) for r in live] == [("A1", "MOVING", 600, 5000, False)]
     assert lot.checkouts().count() == 1 and lot.history().count() == 1
 
+    released = lot.releases().collect()
+    assert [(r.location, r.fee_vnd) for r in released] == [("B5", 10000)]
+
     lot.compact()
+    assert lot.releases().collect() == released
     assert {(r.location, r.total_fee) for r in lot.status().collect()} == {("A1", 5000), ("B5", 10000)}
     assert [r.location for r in lot.slot_states().collect()] == ["A1"]
     lot.register_views()

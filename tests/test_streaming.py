@@ -106,6 +106,16 @@ def test_a_price_change_reaches_the_running_query(feed):
     assert totals == [{"A1": 5000, "B5": 10000}, {"A1": 6000, "B5": 12000}]
 
 
+def test_repeats_without_a_text_time_come_out_once(feed):
+    lines = [f'{{"timestamp":{text},"timestamp_unix":5,"license_plate":"{plate}","location":"A1","status_code":"PARKED"}}'
+             for text, plate in (('"never"', "P"), ('"never"', "P"), ("null", "Q"))]
+    feed.add(lines)
+    path = feed.folder("once")
+    rows = pipelines.deduplicated(feed.records()).select(*pipelines.DEDUP_KEYS)
+    sinks.run(rows, sinks.table_sink(path), "append", feed.folder("checkpoint"))
+    assert sorted(r.license_plate for r in tables.read_all(feed.spark, path, rows.schema).collect()) == ["P", "Q"]
+
+
 def test_damaged_records_do_not_stop_the_stream(feed):
     feed.add(["garbage", '{"timestamp_unix":"abc","location":"A1"}', '{"timestamp":"never","timestamp_unix":5,"license_plate":"P","location":"A1","status_code":"PARKED"}'])
     path = feed.folder("out")
