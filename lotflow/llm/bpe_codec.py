@@ -13,8 +13,8 @@ from functools import lru_cache
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from lotflow.llm.texts import CACHE_ENTRIES, WordCache, batch_of, rows_of
-from lotflow.llm.word_bpe import chunks, prefix_encoder, words_of
+from lotflow.llm.texts import WordCache, batch_of, rows_of
+from lotflow.llm.word_bpe import prefix_encoder, text_words
 from lotflow.shipping import ship
 
 
@@ -25,15 +25,15 @@ def default_path() -> str:
 
 
 @lru_cache(maxsize=2)
-def _chunk_codes(path: str) -> WordCache:
-    """Chunk -> (ids as text, tokens as text, number of ids)."""
+def _word_codes(path: str) -> WordCache:
+    """Word -> (ids as text, tokens as text); both are joined by single blanks."""
     encoder = prefix_encoder(path)
 
-    def code(chunk: str) -> tuple[str, str, int]:
-        ids = [number for word in words_of(chunk) for number in encoder.encode_word(word)]
-        return " ".join(map(str, ids)), encoder.decode(ids), len(ids)
+    def code(word: str) -> tuple[str, str]:
+        ids = encoder.encode_word(word)
+        return " ".join(map(str, ids)), encoder.decode(ids)
 
-    return WordCache(code, CACHE_ENTRIES // 2)
+    return WordCache(code)
 
 
 def bpe_digests(docs: DataFrame, path: str | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -42,16 +42,18 @@ def bpe_digests(docs: DataFrame, path: str | None = None, id_col: str = "doc_id"
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codes = _chunk_codes(path)
+        codes = _word_codes(path)
         schema = None
         for batch in batches:
             schema = schema or pa.schema([(name, batch.column(0).type), ("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string())])
             out = []
-            for [(number, text)] in ([row] for rows in rows_of([batch], "__id", "__text") for row in rows):
-                parts = [codes[chunk] for chunk in chunks(text)]
-                ids = " ".join([part[0] for part in parts])
-                decoded = " ".join([part[1] for part in parts])
-                out.append((number, sum([part[2] for part in parts]), hashlib.sha256(ids.encode()).hexdigest(), hashlib.sha256(decoded.encode()).hexdigest()))
+            for rows in rows_of([batch], "__id", "__text"):
+                for number, text in rows:
+                    parts = [codes[word] for word in text_words(text)]
+                    ids = " ".join([part[0] for part in parts])
+                    decoded = " ".join([part[1] for part in parts])
+                    n_tokens = ids.count(" ") + 1 if ids else 0
+                    out.append((number, n_tokens, hashlib.sha256(ids.encode()).hexdigest(), hashlib.sha256(decoded.encode()).hexdigest()))
             yield batch_of(out, schema)
 
     ship(docs.sparkSession)

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from lotflow.llm.bpe_codec import default_path
 from lotflow.llm.texts import WordCache, batch_of, rows_of, sized
-from lotflow.llm.word_bpe import SPECIALS, byte_symbols, chunks, is_latin, words_of
+from lotflow.llm.word_bpe import SPECIALS, byte_symbols, text_words
 from lotflow.session import shared_dir
 from lotflow.shipping import ship
 
@@ -91,7 +91,7 @@ class EliasFano:
 
 @lru_cache(maxsize=2)
 def _library(path: str) -> tuple[WordCache, str]:
-    """Chunk -> ids as bytes, by the tokenizers library, and the ids' type."""
+    """Word -> ids as bytes, by the tokenizers library, and the ids' type."""
     from tokenizers import Tokenizer
 
     whole = Tokenizer.from_file(path)
@@ -100,14 +100,13 @@ def _library(path: str) -> tuple[WordCache, str]:
     kind, model, symbols = "<u2" if whole.get_vocab_size() <= 1 << 16 else "<u4", whole.model, byte_symbols()
     code = "H" if kind == "<u2" else "I"
 
-    def encode(chunk: str) -> bytes:
-        if is_latin(chunk) and not any(special in chunk for special in SPECIALS):
-            words = words_of(chunk)
-            if not chunk.isascii() or not chunk.isprintable():  # what prints in ASCII stands for its own byte
-                words = ["".join([symbols[byte] for byte in word.encode()]) for word in words]
-            ids = [token.id for word in words for token in model.tokenize(word)]
+    def encode(word: str) -> bytes:
+        if word in SPECIALS:
+            ids = [whole.token_to_id(word)]
         else:
-            ids = whole.encode(chunk, add_special_tokens=False).ids
+            if not (word.isascii() and word.isprintable()):  # what prints in ASCII stands for its own byte
+                word = "".join([symbols[byte] for byte in word.encode("utf-8", "surrogatepass")])
+            ids = [token.id for token in model.tokenize(word)]
         coded = array(code, ids)
         if sys.byteorder == "big":
             coded.byteswap()
@@ -148,7 +147,7 @@ def write_tokens(docs: DataFrame, target: str, path: str | None = None, end_id:
 
             held = 0
             for number, text in (row for rows in rows_of(batches, "id", "text") for row in rows):
-                coded = b"".join([codes[chunk] for chunk in chunks(text)]) + end
+                coded = b"".join([codes[word] for word in text_words(text)]) + end
                 numbers.append(number)
                 pieces.append(coded)
                 sizes.append(len(coded) // width)

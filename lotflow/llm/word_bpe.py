@@ -41,15 +41,29 @@ def chunks(text: str | None) -> list[str]:
     return text.split()
 
 
-def is_latin(chunk: str) -> bool:
-    return chunk.isascii() or max(chunk) < "Ā"
+def is_latin(text: str) -> bool:
+    """Whether all characters lie below U+0100."""
+    try:
+        return text.isascii() or bool(text.encode("latin-1"))
+    except UnicodeEncodeError:
+        return False
 
 
-def lowered(chunk: str) -> str:
+def lowered(text: str) -> str:
     """Composed and in lower case, letter by letter (so that a final sigma is like any other)."""
-    if is_latin(chunk):
-        return chunk.lower()
-    return "".join(letter.lower() for letter in unicodedata.normalize("NFC", chunk))
+    if is_latin(text):
+        return text.lower()
+    return unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
+
+
+def text_words(text: str | None) -> list[str]:
+    """Words of a whole text in order; a text without special strings is cut in one go."""
+    if not text:
+        return []
+    if "<|" in text:
+        return [word for chunk in chunks(text) for word in words_of(chunk)]
+    low = lowered(text)
+    return (_LATIN_WORDS if is_latin(low) else _WORDS).findall(low)
 
 
 def words_of(chunk: str) -> list[str]:
@@ -109,11 +123,16 @@ class SuffixAutomaton:
             for symbol in text:
                 state = self.moves[state][symbol]
             self.token[state] = token
-        # tokens on a state's chain of links with their lengths, longest first; the state's own comes first
-        self.chain: list[tuple[tuple[int, int], ...]] = [()] * len(self.link)
+        # what a search needs of each state: moves, length, tokens on its chain of links with their lengths (longest
+        # first, the state's own before all), the same from its link on, and the link's node
+        self.nodes: list[tuple] = [()] * len(self.link)
+        self.nodes[0] = ({}, 0, (), (), None)
         for state in sorted(range(1, len(self.link)), key=self.length.__getitem__):
+            link = self.nodes[self.link[state]]
             own = ((self.token[state], self.length[state]),) if self.token[state] >= 0 else ()
-            self.chain[state] = own + self.chain[self.link[state]]
+            self.nodes[state] = ({}, self.length[state], own + link[2], link[2], link)
+        for (moves, *_), following in zip(self.nodes, self.moves):
+            moves.update((symbol, self.nodes[state]) for symbol, state in following.items())
 
     def _new(self, length: int, moves: dict[str, int], link: int) -> int:
         self.moves.append(moves)
@@ -168,6 +187,7 @@ class PrefixEncoder:
             data = json.load(file)
         model, self.special = data["model"], {t["content"]: t["id"] for t in data["added_tokens"]}
         self.text = {number: text for text, number in model["vocab"].items()}
+        self.spoken = {**self.text, **{number: text for text, number in self.special.items()}}
         self.symbols = byte_symbols()
         ids = model["vocab"]
         self.merged: dict[tuple[int, int], int] = {}
@@ -213,41 +233,41 @@ class PrefixEncoder:
     def encode_word(self, word: str) -> list[int]:
         if word in self.special:
             return [self.special[word]]
-        spelled = "".join([self.symbols[byte] for byte in word.encode("utf-8", "surrogatepass")])
-        spelled = spelled[:-1] + chr(ord(spelled[-1]) + _END)
-        automaton, pairs = self.automaton, self.pairs
-        moves, link, length, chain = automaton.moves, automaton.link, automaton.length, automaton.chain
-        last = [0] * (len(spelled) + 1)
-        begins = [0] * (len(spelled) + 1)
-        state = matched = 0
-        for end, symbol in enumerate(spelled, 1):
-            following = moves[state].get(symbol)
+        if not (word.isascii() and word.isprintable()):  # what prints in ASCII stands for its own byte
+            word = "".join([self.symbols[byte] for byte in word.encode("utf-8", "surrogatepass")])
+        spelled = word[:-1] + chr(ord(word[-1]) + _END)
+        pairs, node = self.pairs, self.automaton.nodes[0]
+        last = [0] * (len(spelled) + 1)  # ids shifted, ready to be the first of a pair
+        begins = last.copy()
+        end = matched = 0
+        for symbol in spelled:
+            following = node[0].get(symbol)
             while following is None:  # every symbol is a token, so the empty state has a move
-                state = link[state]
-                matched = length[state]
-                following = moves[state].get(symbol)
-            state = following
+                node = node[4]
+                matched = node[1]
+                following = node[0].get(symbol)
+            node = following
             matched += 1
+            end += 1
             # a class's longest string may reach back further than the text matched
-            for token, size in chain[state if length[state] <= matched else link[state]]:
+            for token, size in node[2] if node[1] <= matched else node[3]:
                 begin = end - size
-                if not begin or pairs[last[begin] << 20 | token]:
-                    last[end], begins[end] = token, begin
+                if not begin or pairs[last[begin] | token]:
+                    last[end], begins[end] = token << 20, begin
                     break
         ids = []
-        end = len(spelled)
         while end:
-            ids.append(last[end])
+            ids.append(last[end] >> 20)
             end = begins[end]
         return ids[::-1]
 
     def encode(self, text: str | None) -> list[int]:
-        return [number for chunk in chunks(text) for word in words_of(chunk) for number in self.encode_word(word)]
+        return [number for word in text_words(text) for number in self.encode_word(word)]
 
     def decode(self, ids: list[int]) -> str:
         """The tokens' own text, one blank between two, as a vocabulary without a decoder gives it."""
-        special = {number: text for text, number in self.special.items()}
-        return " ".join(special.get(number) or self.text[number] for number in ids if number in self.text or number in special)
+        known = map(self.spoken.get, ids)
+        return " ".join([text for text in known if text is not None])
 
 
 @lru_cache(maxsize=2)
