@@ -16,7 +16,8 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from lotflow.operators import checkout, slot_state, slots, views
-from lotflow.schemas import CHECKOUT, HISTORY, LEDGER_ENTRY, SLOT_ROWS, SNAPSHOT, TIMESTAMP_PATTERN
+from lotflow.operators.lifetime import with_fees
+from lotflow.schemas import CHECKOUT_LOG, HISTORY, LEDGER_ENTRY, QUARANTINE, SLOT_ROWS, SNAPSHOT, TIMESTAMP_PATTERN, VISIT_ROWS, WINDOW_FEES
 from lotflow.session import build_session, prepare, streaming_session
 from lotflow.settings import REALTIME_TABLE, Settings, from_env
 from lotflow.sources.config import load_settings
@@ -45,20 +46,26 @@ def start_jobs(
     versions: Callable[[], DataFrame] | None = None,
     once: bool = False,
 ) -> list[StreamingQuery]:
-    """Starts the three queries over a record stream, each with its own checkpoint.
+    """Starts the queries over a record stream, each with its own checkpoint.
 
     fees: changed (slot, vehicle) rows, checkouts and counts, from one keyed aggregate.
     slots: the state of each slot, and its releases with their fee. history: EXITING events.
+    visits: each stay of a vehicle, and beside them its late events. windows: fees per 30 seconds.
+    quarantine: events that are booked nowhere, with their fault.
     """
     events = parse_records(records)
     plan = {
         "fees": (pipelines.lifetime_totals(records, settings), sinks.fan_out_sink(f"{root}/fees", settings, versions), "update"),
         "slots": (state.slot_states(events, settings), sinks.table_sink(f"{root}/slots"), "update"),
         "history": (events, sinks.history_sink(f"{root}/history"), "append"),
+        "visits": (state.visit_states(events), sinks.visit_sink(f"{root}/visits"), "update"),
+        "windows": (pipelines.windowed_fees(records, settings), sinks.table_sink(f"{root}/windows"), "update"),
+        "quarantine": (sinks.quarantine(events), sinks.table_sink(f"{root}/quarantine"), "append"),
     }
+    checkpoints = settings.checkpoint_dir or f"{root}/checkpoints"
     interval = None if once else settings.processing_interval_seconds
     return [
-        sinks.start(stream, writer, mode, f"{root}/checkpoints/{name}", interval, name)
+        sinks.start(stream, writer, mode, f"{checkpoints}/{name}", interval, name)
         for name, (stream, writer, mode) in plan.items()
     ]
 
@@ -134,9 +141,26 @@ class Lot:
         return slots.free_slots(self.slots(), self.slot_states()).orderBy("location")
 
     def checkouts(self) -> DataFrame:
-        rows = tables.read_all(self.spark, f"{self.root}/fees/checkouts", CHECKOUT)
+        rows = tables.read_all(self.spark, f"{self.root}/fees/checkouts", CHECKOUT_LOG)
         return tables.latest_per_key(rows, ["license_plate", "exit_location", "entry_time"])
 
+    def visits(self) -> DataFrame:
+        """Every stay of every vehicle with its fee; an open one as last seen."""
+        rows = tables.read_all(self.spark, f"{self.root}/visits", VISIT_ROWS)
+        return with_fees(tables.latest_per_key(rows, ["license_plate", "visit_no"]), self.settings.price_per_10min)
+
+    def late_events(self) -> DataFrame:
+        """Events that came after the visit they belong to was closed."""
+        schema = "license_plate string, status_code string, timestamp_unix long, location string"
+        return tables.read_all(self.spark, f"{self.root}/visits_late", T.StructType.fromDDL(schema)).drop("batch_id")
+
+    def windows(self) -> DataFrame:
+        rows = tables.read_all(self.spark, f"{self.root}/windows", WINDOW_FEES)
+        return tables.latest_per_key(rows, ["window_start", "location", "license_plate"])
+
+    def quarantine(self) -> DataFrame:
+        return tables.read_all(self.spark, f"{self.root}/quarantine", QUARANTINE).drop("batch_id")
+
     def history(self) -> DataFrame:
         return tables.read_all(self.spark, f"{self.root}/history", HISTORY).select(*HISTORY.fieldNames())
 
@@ -168,7 +192,7 @@ def main(root: str) -> None:
     settings = from_env(os.environ)
     if "LOT_CONFIG" in os.environ:
         settings = load_settings(spark, os.environ["LOT_CONFIG"], os.environ.get("LOT_LEGACY_PRICE", ""), settings)
-    start_jobs(kafka_records(streaming_session(spark), settings), root, settings)
+    start_jobs(kafka_records(streaming_session(spark, settings.state_partitions), settings), root, settings)
     sinks.wait_for_any(spark)
 
 

@@ -53,9 +53,9 @@ def lifetime(events: DataFrame) -> DataFrame:
 def lifetime_entering(events: DataFrame, window: str | None = None) -> DataFrame:
     """The older form: the clock starts at ENTERING and every status counts, known or not.
 
-    With ``window`` the key also holds the tumbling window of the event time. On batch data the
-    status is first a grouping key, which keeps the large step on the hash path; on a stream,
-    where aggregates do not chain, one step does it all.
+    With ``window`` the key also holds the tumbling window of the event time; a window holds an event
+    or two, so one step with one shuffle does it all. Without it the status is first a grouping key on
+    batch data, which keeps the large step on the hash path; on a stream aggregates do not chain.
     """
     rows = valid_events(events)
     keys: list[Column] = [F.col(name) for name in KEYS]
@@ -63,7 +63,7 @@ def lifetime_entering(events: DataFrame, window: str | None = None) -> DataFrame
         rows = rows.where(F.col("event_time").isNotNull())
         keys = [F.window("event_time", window).alias("window"), *keys]
     entering = F.col("status_code") == "ENTERING"
-    if rows.isStreaming:
+    if window or rows.isStreaming:
         totals = rows.groupBy(*keys).agg(
             F.max_by("status_code", F.struct("timestamp_unix", "status_rank", "status_code")).alias("current_status"),
             F.min(F.when(entering, F.col("timestamp_unix"))).alias("entry_time"),
@@ -76,8 +76,7 @@ def lifetime_entering(events: DataFrame, window: str | None = None) -> DataFrame
             F.max("timestamp_unix").alias("last_unix"),
             F.min("event_time").alias("first_at"),
         )
-        names = (["window"] if window else []) + list(KEYS)
-        totals = by_status.groupBy(*names).agg(
+        totals = by_status.groupBy(*KEYS).agg(
             F.max_by("status_code", F.struct("last_unix", status_rank("status_code"), "status_code")).alias("current_status"),
             F.min(F.when(entering, F.col("first_unix"))).alias("entry_time"),
             F.min(F.when(entering, F.col("first_at"))).alias("entry_at"),

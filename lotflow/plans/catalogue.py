@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lotflow.operators import checkout, lifetime, pricing, quality, slot_state, slots, transitions, views, visits
-from lotflow.schemas import EVENT_JSON
+from lotflow.schemas import EVENT_JSON, TIMESTAMP_PATTERN
 from lotflow.settings import Settings
 from lotflow.sources import config, ledger
 from lotflow.sources.feed import parse_records, to_record
@@ -66,7 +66,11 @@ def billable_events(spark, sf):
 
 
 def clock_check(spark, sf):
-    return quality.clock_check(table_events(spark, sf))
+    """Records whose text clock drifts at the exit, by -90 to 90 seconds."""
+    events = table_events(spark, sf)
+    drift = F.when(F.col("status_code") == "EXITING", F.pmod("event_id", F.lit(7)) * 30 - 90).otherwise(0)
+    text = F.date_format(F.timestamp_seconds(F.unix_timestamp("event_time") + drift), TIMESTAMP_PATTERN)
+    return quality.clock_check(parse_records(to_record(events.withColumn("timestamp", text))))
 
 
 def lifetime_fees(spark, sf):

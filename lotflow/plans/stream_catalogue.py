@@ -14,10 +14,10 @@ from lotflow.functions.columns import BILLABLE
 from lotflow.operators import lifetime, views, visits
 from lotflow.operators.quality import is_usable
 from lotflow.plans.catalogue import SETTINGS, Query, _fees
-from lotflow.schemas import CHECKOUT, HISTORY, SLOT_ROWS, SNAPSHOT, VISIT_ROWS
+from lotflow.schemas import CHECKOUT, HISTORY, QUARANTINE, SLOT_ROWS, SNAPSHOT, VISIT_ROWS, WINDOW_FEES
 from lotflow.session import shared_dir, streaming_session
 from lotflow.sources.feed import file_records, parse_records, to_record
-from lotflow.sources.tables import as_sightings, raw_events
+from lotflow.sources.tables import as_sightings, noisy_records, raw_events
 from lotflow.streaming import pipelines, sinks, state, tables
 
 # The parts of the feed: before the first cut, between the cuts, and the rest.
@@ -155,16 +155,13 @@ def stream_restart(spark, sf):
 
 
 _WINDOW_KEYS = ["window_start", "location", "license_plate"]
-_WINDOW_FEES = T.StructType(
-    [T.StructField("window_start", T.LongType()), *[f for f in _FEES.fields if f.name != "exit_timestamp"]]
-)
 
 
 def _windowed(spark, sf, order):
     path = shared_dir(spark, "windows")
     fees = pipelines.windowed_fees(_records(spark, sf, order), SETTINGS)
     _run(spark, "windows", fees, sinks.table_sink(path), "update")
-    return tables.latest_per_key(tables.read_all(spark, path, _WINDOW_FEES), _WINDOW_KEYS)
+    return tables.latest_per_key(tables.read_all(spark, path, WINDOW_FEES), _WINDOW_KEYS)
 
 
 def stream_window_update(spark, sf):
@@ -213,7 +210,7 @@ def stream_slot_releases(spark, sf):
 def _visit_rows(spark, sf):
     path = shared_dir(spark, "visits")
     stream = state.visit_states(parse_records(_records(spark, sf)))
-    _run(spark, "visits", stream, sinks.table_sink(path), "update")
+    _run(spark, "visits", stream, sinks.visit_sink(path), "update")
     rows = tables.read_all(spark, path, VISIT_ROWS)
     return tables.latest_per_key(rows, ["license_plate", "visit_no"])
 
@@ -226,6 +223,24 @@ def stream_park_exit_pairs(spark, sf):
     return visits.park_exit_pairs(_visit_rows(spark, sf))
 
 
+def stream_late_rows(spark, sf):
+    """The first part of the feed arrives last: its events that belong to visits closed by then, as a table."""
+    path = shared_dir(spark, "visits")
+    stream = state.visit_states(parse_records(_records(spark, sf, (1, 2, 0))))
+    _run(spark, "late-rows", stream, sinks.visit_sink(path), "update")
+    late = T.StructType.fromDDL("license_plate string, status_code string, timestamp_unix long, location string")
+    return tables.read_all(spark, f"{path}_late", late).drop("batch_id")
+
+
+def stream_quarantine(spark, sf):
+    """Damaged records of the feed that are booked nowhere."""
+    source, path = shared_dir(spark, "noisy"), shared_dir(spark, "quarantine")
+    noisy_records(spark, sf).write.parquet(source)
+    events = parse_records(file_records(streaming_session(spark), source))
+    _run(spark, "quarantine", sinks.quarantine(events), sinks.table_sink(path), "append")
+    return tables.read_all(spark, path, QUARANTINE).drop("batch_id")
+
+
 def stream_history(spark, sf):
     path = shared_dir(spark, "history")
     _run(spark, "history", parse_records(_records(spark, sf)), sinks.history_sink(path), "append")
@@ -249,5 +264,7 @@ STREAMS: dict[str, Query] = {
     "stream_slot_releases": stream_slot_releases,
     "stream_visits": stream_visits,
     "stream_park_exit_pairs": stream_park_exit_pairs,
+    "stream_late_rows": stream_late_rows,
+    "stream_quarantine": stream_quarantine,
     "stream_history": stream_history,
 }

@@ -22,7 +22,7 @@ EVENT_JSON = _struct(
 )
 
 # What the engine uses of a Kafka record; also the layout of a replayed feed on files.
-FEED_RECORD = _struct(("value", T.BinaryType()), ("offset", _long))
+FEED_RECORD = _struct(("value", T.BinaryType()), ("partition", T.IntegerType()), ("offset", _long))
 
 SNAPSHOT = _struct(
     ("location", _text),
@@ -44,6 +44,9 @@ CHECKOUT = _struct(
     ("total_fee", _long),
 )
 
+# As the sinks write it: with the wall clock of the batch.
+CHECKOUT_LOG = T.StructType([*CHECKOUT.fields, T.StructField("processed_time", T.TimestampType())])
+
 LEDGER_ENTRY = _struct(
     ("license_plate", _text),
     ("location", _text),
@@ -76,6 +79,23 @@ VISIT_ROWS = _struct(
     ("last_location", _text),
 )
 
+WINDOW_FEES = _struct(
+    ("window_start", _long),
+    ("location", _text),
+    ("license_plate", _text),
+    ("current_status", _text),
+    ("entry_timestamp", _text),
+    ("entry_time", _long),
+    ("last_update", _long),
+    ("parked_seconds", _long),
+    ("parked_minutes", _long),
+    ("fee_blocks", _long),
+    ("total_fee", _long),
+)
+
+# Events set aside, with their first fault.
+QUARANTINE = T.StructType([T.StructField("event_id", _long), *EVENT_JSON.fields, T.StructField("reason", _text)])
+
 HISTORY = _struct(
     ("event_id", _text),
     ("event_time_unix", _long),

@@ -21,6 +21,8 @@ WATERMARK = "2 minutes"
 WINDOW = "30 seconds"
 PROCESSING_INTERVAL_SECONDS = 5
 CONSOLE_INTERVAL_SECONDS = 10
+# Partitions of keyed state; a checkpoint keeps the number it began with, whatever the cluster's size.
+STATE_PARTITIONS = 200
 REALTIME_TABLE = "parking_realtime"
 
 
@@ -43,6 +45,8 @@ class Settings:
     window: str = WINDOW
     processing_interval_seconds: int = PROCESSING_INTERVAL_SECONDS
     console_interval_seconds: int = CONSOLE_INTERVAL_SECONDS
+    state_partitions: int = STATE_PARTITIONS
+    checkpoint_dir: str | None = None
 
 
 def _names(text: str | None) -> tuple[str, ...]:
@@ -52,6 +56,7 @@ def _names(text: str | None) -> tuple[str, ...]:
 def from_env(env: Mapping[str, str], base: Settings = Settings()) -> Settings:
     """Settings with the environment variables of the service laid over ``base``."""
     changes: dict[str, object] = {}
+    # The names of the environment variables.
     for field, variable, convert in (
         ("price_per_10min", "PRICE_PER_10MIN_BLOCK", int),
         ("vip_price_per_10min", "VIP_PRICE_PER_10MIN_BLOCK", int),

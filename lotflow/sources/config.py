@@ -31,11 +31,14 @@ _FIELDS = {
 
 
 def json_text(spark: SparkSession, path: str) -> DataFrame:
-    """One row (value) with the whole document, or no row where the file does not exist."""
+    """One row (value) with the whole document, or no row where there is no such file; other faults are raised."""
     try:
-        return spark.read.text(path, wholetext=True)
-    except AnalysisException:
-        return spark.createDataFrame([], "value string")
+        if path:
+            return spark.read.text(path, wholetext=True)
+    except AnalysisException as fault:
+        if fault.getCondition() != "PATH_NOT_FOUND":
+            raise
+    return spark.createDataFrame([], "value string")
 
 
 def config_layer(documents: DataFrame, priority: int) -> DataFrame:
@@ -81,6 +84,8 @@ def settings_from(effective: DataFrame, base: Settings = Settings()) -> Settings
         "topic": "kafka_topic",
         "starting_offsets": "starting_offsets",
         "watermark_duration": "watermark",
+        "shuffle_partitions": "state_partitions",
+        "checkpoint_dir": "checkpoint_dir",
         "processing_interval_seconds": "processing_interval_seconds",
         "console_interval_seconds": "console_interval_seconds",
     }

@@ -12,6 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 from lotflow.operators.checkout import checkout_history, checkout_records
 from lotflow.operators.lifetime import with_fees
 from lotflow.operators.pricing import price_asof
+from lotflow.operators.quality import malformed_events
 from lotflow.operators.views import active_vehicles, by_slot, snapshot
 from lotflow.settings import REALTIME_TABLE, Settings
 from lotflow.streaming.tables import write_batch
@@ -65,9 +66,34 @@ def snapshot_sink(path: str, settings: Settings = Settings(), versions=None) ->
     return _priced_sink(path, snapshot, settings, versions)
 
 
+def _checkouts_now(fees: DataFrame) -> DataFrame:
+    return checkout_records(fees, processed=True)
+
+
 def checkout_sink(path: str, settings: Settings = Settings(), versions=None) -> BatchWriter:
     """Rows that are EXITING; a stay that shows up again is read once, by its key."""
-    return _priced_sink(path, checkout_records, settings, versions)
+    return _priced_sink(path, _checkouts_now, settings, versions)
+
+
+def visit_sink(path: str) -> BatchWriter:
+    """Changed visits, and beside them (``<path>_late``) the events that came too late for theirs."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        with kept(batch) as rows:
+            write_batch(rows.where("NOT late").drop("late"), batch_id, path)
+            write_batch(late_rows(rows), batch_id, f"{path}_late")
+
+    return write
+
+
+def late_rows(rows: DataFrame) -> DataFrame:
+    names = {"license_plate": "license_plate", "current_status": "status_code", "last_update": "timestamp_unix", "last_location": "location"}
+    return rows.where("late").select(*[F.col(name).alias(as_name) for name, as_name in names.items()])
+
+
+def quarantine(events: DataFrame) -> DataFrame:
+    """Events that are booked nowhere, with their first fault."""
+    return malformed_events(events).where("set_aside").drop("set_aside")
 
 
 def history_sink(path: str) -> BatchWriter:
@@ -93,7 +119,7 @@ def fan_out_sink(root: str, settings: Settings = Settings(), versions=None) -> B
                 return
             fees = priced(totals, settings, versions)
             write_batch(snapshot(fees), batch_id, f"{root}/snapshot_changes")
-            write_batch(checkout_records(fees), batch_id, f"{root}/checkouts")
+            write_batch(_checkouts_now(fees), batch_id, f"{root}/checkouts")
             counts = totals.agg(F.count(F.lit(1)).alias("changed_rows"))
             write_batch(counts, batch_id, f"{root}/counts")
 

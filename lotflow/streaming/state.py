@@ -12,6 +12,7 @@ from operator import attrgetter
 
 import pandas as pd
 from pyspark.sql import DataFrame, Row
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from lotflow.functions.columns import EVENT_ORDER
@@ -23,8 +24,12 @@ from lotflow.shipping import ship
 
 _SLOT_STATE = "license_plate string, status string, enter_unix long, parked_seconds long, fee_vnd long, seq long"
 
-_VISIT_STATE = "visit_no long, entry_time long, entry_location string"
-_Visit = Row(*VISIT_ROWS.fieldNames())
+_VISIT_STATE = (
+    "visit_no long, entry_time long, entry_location string, "
+    "exit_unix long, exit_rank long, exit_id long, last_unix long, last_rank long, last_id long, last_status string, last_location string"
+)
+_VISIT_OUTPUT = T.StructType([*VISIT_ROWS.fields, T.StructField("late", T.BooleanType())])
+_Visit = Row(*_VISIT_OUTPUT.fieldNames())
 _place = attrgetter(*EVENT_ORDER)
 
 
@@ -123,7 +128,12 @@ def slot_states(events: DataFrame, settings: Settings = Settings(), ttl_seconds:
 
 
 class VisitProcessor(StatefulProcessor):
-    """Emits each visit that ends, and at the end of the batch the open one, if it has begun to cost."""
+    """Emits each visit that ends, and at the end of the batch the open one, if it has begun to cost.
+
+    An event at or before the vehicle's last exit belongs to a visit that is closed and booked, and so does
+    an exit before the open visit's entry: both are emitted as ``late`` and change nothing. A PARKED event
+    that precedes the open visit's entry moves the entry back.
+    """
 
     def __init__(self, ttl_seconds: int | None = None):
         self.ttl_ms = ttl_seconds * 1000 if ttl_seconds else None
@@ -132,20 +142,25 @@ class VisitProcessor(StatefulProcessor):
         self.visit = handle.getValueState("visit", _VISIT_STATE, self.ttl_ms)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        visit_no, entry, entry_location = self.visit.get() or (0, None, None)
-        ordered = sorted(rows, key=_place)
-        for row in ordered:
-            time, closed = row.timestamp_unix, row.status_code == "EXITING"
-            if entry is None and row.status_code == "PARKED":
-                entry, entry_location = time, row.location
-            if entry is not None and (closed or row is ordered[-1]):
-                yield _Visit(
-                    key[0], visit_no, row.status_code, closed, entry, time, time if closed else None,
-                    entry_location, row.location,
-                )
+        visit_no, entry, entry_location, *rest = self.visit.get() or (0, *[None] * 10)
+        left, last = tuple(rest[:3]), tuple(rest[3:])  # places of the last exit and of the newest row since, with its status and slot
+        for row in sorted(rows, key=_place):
+            place, time, status, location = _place(row), row.timestamp_unix, row.status_code, row.location
+            closed = status == "EXITING"
+            if (left[0] is not None and place <= left) or (closed and entry is not None and time < entry):
+                yield _Visit(key[0], None, status, False, None, time, None, None, location, True)
+                continue
+            if status == "PARKED" and (entry is None or time < entry):
+                entry, entry_location = time, location
             if closed:
-                visit_no, entry, entry_location = visit_no + 1, None, None
-        self.visit.update((visit_no, entry, entry_location))
+                if entry is not None:
+                    yield _Visit(key[0], visit_no, status, True, entry, time, time, entry_location, location, False)
+                visit_no, entry, entry_location, left, last = visit_no + 1, None, None, place, (None,) * 5
+            elif last[0] is None or place > last[:3]:
+                last = (*place, status, location)
+        if entry is not None:
+            yield _Visit(key[0], visit_no, last[3], False, entry, last[0], None, entry_location, last[4], False)
+        self.visit.update((visit_no, entry, entry_location, *left, *last))
 
     def close(self) -> None:
         pass
@@ -159,7 +174,7 @@ def visit_states(events: DataFrame, ttl_seconds: int | None = None) -> DataFrame
         "license_plate"
     ).transformWithState(
         statefulProcessor=VisitProcessor(ttl_seconds),
-        outputStructType=VISIT_ROWS,
+        outputStructType=_VISIT_OUTPUT,
         outputMode="Update",
         timeMode="ProcessingTime" if ttl_seconds else "None",
     )

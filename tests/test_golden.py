@@ -255,3 +255,11 @@ def test_views_add_up(spark, sf_dir):
     assert used + c.free_slots(spark, sf_dir).count() == 60
     exact, rough = views.summary_stats(view).first(), views.summary_stats(view, approximate=True).first()
     assert abs(exact.unique_vehicles - rough.unique_vehicles) <= max(1, 0.1 * exact.unique_vehicles)
+
+
+def test_equal_offsets_of_two_partitions(spark):
+    body = '{"timestamp_unix": 60, "license_plate": "P", "location": "A1", "status_code": "EXITING"}'
+    records = spark.createDataFrame([(body.encode(), n, 7) for n in (0, 1)], "value binary, partition int, offset long")
+    parsed = parse_records(records)
+    assert {r.event_id for r in parsed.collect()} == {7, (1 << 44) + 7}
+    assert checkout.checkout_history(parsed).select("event_id").distinct().count() == 2

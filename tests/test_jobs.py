@@ -8,7 +8,8 @@ from lotflow.sources.feed import file_records, to_record
 
 def test_feed_to_payment(spark):
     source, root = shared_dir(spark, "job-feed"), shared_dir(spark, "job-root")
-    to_record(feeds.flow(spark)).coalesce(1).write.parquet(source)
+    damaged = spark.sql("SELECT CAST('{' AS BINARY) AS value, 0 AS partition, 900L AS offset")
+    to_record(feeds.flow(spark)).unionByName(damaged).coalesce(1).write.parquet(source)
     queries = start_jobs(file_records(streaming_session(spark, 2), source), root, once=True)
     for query in queries:
         query.awaitTermination()
@@ -25,6 +26,11 @@ def test_feed_to_payment(spark):
     assert [(r.location, r.status, r.parked_seconds, r.fee_vnd, r.is_vip) for r in live] == [("A1", "MOVING", 600, 5000, False)]
     assert lot.checkouts().count() == 1 and lot.history().count() == 1
 
+    assert lot.checkouts().where("processed_time IS NOT NULL").count() == 1
+    assert [(r.event_id, r.reason) for r in lot.quarantine().collect()] == [(900, "not_json")]
+    assert [(r.entry_location, r.last_location, r.total_fee) for r in lot.visits().where("closed").collect()] == [("A1", "B5", 15000)]
+    assert lot.late_events().count() == 0 and lot.windows().count() > 0
+
     released = lot.releases().collect()
     assert [(r.location, r.fee_vnd) for r in released] == [("B5", 10000)]
 

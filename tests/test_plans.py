@@ -60,3 +60,7 @@ def test_ordered_operators_spread_by_piece(stored):
 def test_json_is_parsed_once(spark, stored):
     parsed = parse_records(to_record(stored))
     assert text(lifetime.lifetime_fees(parsed)).count("from_json(") == 1
+
+
+def test_window_form_takes_one_shuffle(stored):
+    assert text(lifetime.window_fees(stored)).count("Exchange ") == 1

@@ -171,7 +171,7 @@ def test_keyed_state_equals_batch(spark, feed, parts):
         feed.add([r for r in rows if low <= r[2] < high])
         events = parse_records(feed.records())
         sinks.run(state.slot_states(events), sinks.table_sink(slots), "update", marks[0])
-        sinks.run(state.visit_states(events), sinks.table_sink(vehicles), "update", marks[1])
+        sinks.run(state.visit_states(events), sinks.visit_sink(vehicles), "update", marks[1])
     batch = feeds.events(spark, rows)
     got = tables.read_all(spark, slots, SLOT_ROWS)
     current = tables.latest_per_key(got, ["location"], "seq").where("status <> 'EXITING'").drop("seq")
@@ -183,6 +183,25 @@ def test_keyed_state_equals_batch(spark, feed, parts):
     assert multiset(tables.latest_per_key(got, ["license_plate", "visit_no"])) == multiset(visits.visits(batch))
 
 
+def test_late_rows_open_no_ghost_visit(spark, feed):
+    vehicles, mark = feed.folder("late-vehicles"), feed.folder("late-mark")
+    clock = feeds.clock
+    rows = lambda first, *marks: [feeds.row(first + n, clock(at), plate, "A1", status) for n, (at, plate, status) in enumerate(marks)]
+    for part in (
+        rows(0, ("00:10", "P1", "PARKED"), ("00:40", "P1", "EXITING"), ("00:20", "P2", "PARKED"), ("00:30", "P2", "MOVING")),
+        rows(10, ("00:05", "P1", "PARKED"), ("00:15", "P2", "PARKED"), ("00:02", "P2", "EXITING")),
+    ):
+        feed.add(part)
+        sinks.run(state.visit_states(parse_records(feed.records())), sinks.visit_sink(vehicles), "update", mark)
+    got = tables.latest_per_key(tables.read_all(spark, vehicles, VISIT_ROWS), ["license_plate", "visit_no"]).collect()
+    assert {(r.license_plate, r.closed, r.entry_time, r.last_update) for r in got} == {
+        ("P1", True, clock("00:10"), clock("00:40")),
+        ("P2", False, clock("00:15"), clock("00:30")),
+    }
+    late = spark.createDataFrame([], "license_plate string, timestamp_unix long").schema
+    assert {tuple(r)[:2] for r in tables.read_all(spark, f"{vehicles}_late", late).collect()} == {("P1", clock("00:05")), ("P2", clock("00:02"))}
+
+
 @pytest.mark.parametrize("processor", [state.SlotProcessor(Settings()), state.VisitProcessor()], ids=["slot", "visit"])
 def test_state_classes_need_no_package_on_the_worker(processor):
     load = "import pickle, sys; pickle.load(sys.stdin.buffer); assert 'lotflow' not in sys.modules"
