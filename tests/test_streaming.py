@@ -6,13 +6,14 @@ import time
 
 import pandas as pd
 import pytest
-from pyspark import cloudpickle
+from pyspark import SparkFiles, cloudpickle
 
 import feeds
 from lotflow.operators import lifetime, slot_state, views, visits
 from lotflow.schemas import CHECKOUT, SLOT_ROWS, SNAPSHOT, VISIT_ROWS
 from lotflow.session import shared_dir, streaming_session
 from lotflow.settings import REALTIME_TABLE, Settings
+from lotflow.shipping import ship
 from lotflow.sources.feed import file_records, parse_records, to_record
 from lotflow.streaming import pipelines, sinks, state, tables
 
@@ -203,9 +204,11 @@ def test_late_rows_open_no_ghost_visit(spark, feed):
 
 
 @pytest.mark.parametrize("processor", [state.SlotProcessor(Settings()), state.VisitProcessor()], ids=["slot", "visit"])
-def test_state_classes_need_no_package_on_the_worker(processor):
-    load = "import pickle, sys; pickle.load(sys.stdin.buffer); assert 'lotflow' not in sys.modules"
-    subprocess.run([sys.executable, "-c", load], input=cloudpickle.dumps(processor), cwd="/", check=True)
+def test_state_classes_load_from_the_shipped_package(spark, processor):
+    ship(spark)
+    load = "import pickle, sys; sys.path.insert(0, sys.argv[1]); pickle.load(sys.stdin.buffer); import lotflow; assert 'lotflow.zip' in lotflow.__file__"
+    package = SparkFiles.get("lotflow.zip")
+    subprocess.run([sys.executable, "-c", load, package], input=cloudpickle.dumps(processor), cwd="/", check=True)
 
 
 def test_advance_slot_row_by_row():
