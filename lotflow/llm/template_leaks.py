@@ -1,14 +1,17 @@
 """Finds benchmark items in documents, also with other numbers, names and units.
 
-Every text is read as a template: numbers, names (capitalised words inside a sentence) and units
-(known words after a number) become typed placeholders, other words stay in lower case. Windows of
+Every text is read as a template: numbers, names (capitalised words) and units (known words after a
+number) become typed placeholders, other words stay in lower case. A capitalised word that opens a
+sentence may be a name or not and has both readings: its windows stand there once in each, and a place
+is covered by any of them. Windows of
 ``WIDTH`` template tokens of the benchmark are hash-joined with those of the documents. Within one
 alignment of a document with an item the slots must be consistent: the same benchmark value has the
 same value in the document throughout. An item leaks into a document if the windows of consistent
 alignments hold at least ``COVERAGE`` of the item's windows.
 
 Windows with fewer than ``LITERALS`` ordinary words say nothing and are left out on both sides; an
-item without any other window, a null and an empty text match nothing. An item shorter than the width
+item without any other window, a null and an empty text match nothing. An item's window needs them in every
+reading, if the item has such a window at all. An item shorter than the width
 is one window and matches documents that are as short. Rows that share an id are one text to the
 result; repeated rows change nothing. The document side of the join is thinned in the tasks by a
 bitmap of fixed size over the benchmark's window hashes; what it lets through by chance, the join removes.
@@ -17,7 +20,8 @@ bitmap of fixed size over the benchmark's window hashes; what it lets through by
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -25,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lotflow.llm.texts import WordCache, rows_of, sized, window_hashes
+from lotflow.llm.texts import WordCache, mix, rows_of, sized, window_hashes
 from lotflow.shipping import ship
 
 WIDTH, LITERALS, COVERAGE = 5, 2, 0.8
@@ -52,6 +56,8 @@ _CODES = {NUMBER: np.uint64(0xA24BAED4963EE407), NAME: np.uint64(0x9FB21C651E98D
 
 # a chunk's code: its hash with the last five bits used for the kind of its token and for these
 _ENDS, _NONE, _TWO, _FLAGS = 4, 8, 16, 31
+_ALL = (1 << 64) - 1
+_ONES = np.array([bin(bits).count("1") for bits in range(1 << WIDTH)])
 _STOPS = frozenset(".!?:")
 
 
@@ -95,8 +101,8 @@ def _hash(text: str) -> int:
     return xxhash.xxh64_intdigest(text) & ~_FLAGS
 
 
-def template(text: str | None, codes: WordCache) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Codes of the template's tokens, their kinds and the hashes of what stood there."""
+def template(text: str | None, codes: WordCache) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Codes of the template's tokens, their kinds, the hashes of what stood there, and which words may be names where a sentence opens."""
     chunks = text.split() if text else []
     coded = np.array([codes[chunk] for chunk in chunks], dtype=np.uint64)
     flags = coded.astype(np.int8) & _FLAGS
@@ -109,18 +115,19 @@ def template(text: str | None, codes: WordCache) -> tuple[np.ndarray, np.ndarray
     # a sentence opens at the first token, and where one has ended since the token before
     ended = np.concatenate([[0], np.cumsum(ends)])
     opens = np.diff(ended[there], prepend=-1) > 0 if len(there) else np.zeros(0, dtype=bool)
-    kind[(kind == NAME) & opens] = WORD  # any word is capitalised where a sentence begins
+    either = (kind == NAME) & opens  # any word is capitalised where a sentence begins
+    kind[either] = WORD
     after_number = np.concatenate([[False], kind[:-1] == NUMBER]) if len(kind) else np.zeros(0, dtype=bool)
     kind[(kind == UNIT) & ~after_number] = WORD
     code = value.copy()
     for slot, sign in _CODES.items():
         code[kind == slot] = sign
-    return code, kind, value
+    return code, kind, value, either
 
 
 def template_windows(text: str | None, codes: WordCache) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Hashes and places of a text's windows with enough ordinary words, and the kinds and values of its tokens."""
-    code, kind, value = template(text, codes)
+    """Hashes and places of a text's windows with enough ordinary words, sentence openers among them, and the kinds and values of its tokens."""
+    code, kind, value, _ = template(text, codes)
     hashes = window_hashes(code, WIDTH)
     if not len(hashes):
         return hashes, np.zeros(0, dtype=np.int64), kind, value
@@ -130,6 +137,62 @@ def template_windows(text: str | None, codes: WordCache) -> tuple[np.ndarray, np
     return hashes[places], places, kind, value
 
 
+_FACTORS = mix(np.arange(1, WIDTH + 2, dtype=np.uint64)) | np.uint64(1)  # as in window_hashes
+Test = Callable[[np.ndarray], np.ndarray]
+
+
+def readings(text: str | None, codes: WordCache, hit: Test | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes, places and slots (a bit a token) of a text's windows in every reading of the sentence openers, and the tokens' values.
+
+    Of a document only the windows whose hashes pass the test ``hit`` are given; without a test the text is an item.
+    """
+    code, kind, value, either = template(text, codes)
+    if not len(code):
+        return code, np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64), value
+    width = min(WIDTH, len(code))
+    count, least = len(code) - width + 1, min(LITERALS, width)
+    total = code[:count] * _FACTORS[0]
+    for place in range(1, width):
+        total += code[place : place + count] * _FACTORS[place]
+    word = kind == WORD
+    summed = np.concatenate([[0], np.cumsum(word)])
+    words = summed[width:] - summed[:-width]
+    opening = np.flatnonzero(either)
+    found = [(total, np.arange(count), np.zeros(count, dtype=np.int64))]
+    if len(opening):
+        # a window that holds one opener: the sum with a name's code in its place; ``named`` has a bit a token read so
+        places = (opening[:, None] - np.arange(width)).ravel()
+        named = np.tile(1 << np.arange(width), len(opening))
+        change = ((_CODES[NAME] - code[opening])[:, None] * _FACTORS[:width]).ravel()
+        inside = (places >= 0) & (places < count)
+        places, named, change = places[inside], named[inside], change[inside]
+        found.append((total[places] + change, places, named))
+        openers = np.bincount(places, minlength=count)
+        if openers.max(initial=0) > 1:
+            held: dict[int, list[tuple[int, int]]] = {}
+            for place, bit, by in zip(places.tolist(), named.tolist(), change.tolist()):
+                if openers[place] > 1:
+                    held.setdefault(place, []).append((bit, by))
+            more = [(int(total[place]) + sum(by for _, by in chosen) & _ALL, place, sum(bit for bit, _ in chosen)) for place, marks in held.items() for size in range(2, len(marks) + 1) for chosen in combinations(marks, size)]
+            sums, at, bits = zip(*more)
+            found.append((np.array(sums, dtype=np.uint64), np.array(at), np.array(bits)))
+    else:
+        openers = np.zeros(count, dtype=np.int64)
+    sums, places, named = (np.concatenate(part) for part in zip(*found)) if len(found) > 1 else found[0]
+    hashes = mix(sums + _FACTORS[width])
+    kept = words[places] - _ONES[named] >= least
+    if hit is not None:
+        kept &= hit(hashes)
+    else:
+        firm = words - openers >= least
+        kept &= firm[places] if firm.any() else True
+    hashes, places, named = hashes[kept], places[kept], named[kept]
+    slots = named
+    for offset in range(width):
+        slots = slots | np.where(word[places + offset], 0, 1 << offset)
+    return hashes, places, slots, value
+
+
 _WINDOW = "id long, hash long, place int, slots array<long>"
 _WINDOW_ARROW = pa.schema([("id", pa.int64()), ("hash", pa.int64()), ("place", pa.int32()), ("slots", pa.list_(pa.int64()))])
 
@@ -145,16 +208,16 @@ def windows(table: DataFrame, id_col: str, text_col: str, bitmap: dict[int, int]
             bits = np.zeros(BITMAP_BITS // 64, dtype=np.uint64)
             bits[list(sent.value)] = np.array([word & (1 << 64) - 1 for word in sent.value.values()], dtype=np.uint64)
 
+        def hit(hashes: np.ndarray) -> np.ndarray:
+            bit = hashes & np.uint64(BITMAP_BITS - 1)
+            return (bits[bit >> np.uint64(6)] >> (bit & np.uint64(63)) & np.uint64(1)).astype(bool)
+
         def rows() -> Iterator[tuple]:
             for number, text in (row for rows in rows_of(batches, "id", "text") for row in rows):
-                hashes, places, kind, value = template_windows(text, codes)
-                if bits is not None and len(hashes):
-                    bit = hashes & np.uint64(BITMAP_BITS - 1)
-                    hit = (bits[bit >> np.uint64(6)] >> (bit & np.uint64(63)) & np.uint64(1)).astype(bool)
-                    hashes, places = hashes[hit], places[hit]
-                for hashed, place in zip(hashes.view(np.int64).tolist(), places.tolist()):
-                    part = slice(place, place + WIDTH)
-                    yield number, hashed, place, value[part][kind[part] != WORD].view(np.int64).tolist()
+                hashes, places, masks, value = readings(text, codes, None if bits is None else hit)
+                values = value.view(np.int64)
+                for hashed, place, mask in zip(hashes.view(np.int64).tolist(), places.tolist(), masks.tolist()):
+                    yield number, hashed, place, [int(values[place + k]) for k in range(WIDTH) if mask >> k & 1]
 
         yield from sized(rows(), _WINDOW_ARROW)
 
@@ -177,7 +240,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE, id_
     sizes = items.groupBy(F.col("id").alias(item_col)).agg(F.countDistinct("place").alias("n_windows"))
     of_items = items.select(F.col("id").alias(item_col), "hash", F.col("place").alias("item_place"), F.col("slots").alias("item_slots")).distinct()
     met = hits.join(of_items, "hash").withColumn("shift", F.col("place") - F.col("item_place"))
-    # an alignment has one window per place of the item, so what is gathered here is no longer than an item
+    # an alignment has the readings of one window per place of the item, so what is gathered here is bounded by an item
     aligned = met.groupBy(id_col, item_col, "shift").agg(
         F.collect_set("item_place").alias("places"),
         F.array_distinct(F.flatten(F.collect_set(F.arrays_zip(F.col("item_slots").alias("item"), F.col("slots").alias("doc"))))).alias("pairs"),
