@@ -5,14 +5,17 @@ number) become typed placeholders, other words stay in lower case. A capitalised
 sentence may be a name or not and has both readings: its windows stand there once in each, and a place
 is covered by any of them. Windows of
 ``WIDTH`` template tokens of the benchmark are hash-joined with those of the documents. Within one
-alignment of a document with an item the slots must be consistent: the same benchmark value has the
-same value in the document throughout. An item leaks into a document if the windows of consistent
-alignments hold at least ``COVERAGE`` of the item's windows.
-
-Windows with fewer than ``LITERALS`` ordinary words say nothing and are left out on both sides; an
-item without any other window, a null and an empty text match nothing. An item's window needs them in every
+alignment of a document with an item the slots must be consistent: where one benchmark value has several
+values in the document, the one at most places counts, and windows with another are left out. An item
+leaks into a document if the windows that are left hold at least ``COVERAGE`` of the item's windows.
+
+Windows with fewer than ``LITERALS`` ordinary words say nothing and are left out on both sides. An item
+without any other window, or shorter than the width, is found as it is written (but for case and marks)
+anywhere in a document: its whole run of tokens is one hash, joined at its own length; where it has five
+tokens or more the documents hash only at places where its first five stand. A null and an empty text
+match nothing. An item's window needs them in every
 reading, if the item has such a window at all. An item shorter than the width
-is one window and matches documents that are as short. Rows that share an id are one text to the
+is also one template window and matches documents that are as short. Rows that share an id are one text to the
 result; repeated rows change nothing. The document side of the join is thinned in the tasks by a
 bitmap of fixed size over the benchmark's window hashes; what it lets through by chance, the join removes.
 """
@@ -193,12 +196,60 @@ def readings(text: str | None, codes: WordCache, hit: Test | None = None) -> tup
     return hashes, places, slots, value
 
 
-_WINDOW = "id long, hash long, place int, slots array<long>"
-_WINDOW_ARROW = pa.schema([("id", pa.int64()), ("hash", pa.int64()), ("place", pa.int32()), ("slots", pa.list_(pa.int64()))])
+class Runs:
+    """Hashes of runs of tokens of any length, from sums over the text up to each place."""
+
+    _STEP = 0x9E3779B97F4A7C15
+    _STEPS = np.ones(1, dtype=np.uint64), np.ones(1, dtype=np.uint64)
+
+    def __init__(self, value: np.ndarray):
+        if len(value) >= len(Runs._STEPS[0]):
+            steps = np.ones((2, 2 * len(value) + 1), dtype=np.uint64)
+            steps[:, 1:] = np.array([[Runs._STEP], [pow(Runs._STEP, -1, 1 << 64)]], dtype=np.uint64)
+            Runs._STEPS = tuple(np.cumprod(steps, axis=1, dtype=np.uint64))
+        self.size = len(value)
+        self.sums = np.concatenate([np.zeros(1, dtype=np.uint64), np.cumsum(mix(value) * Runs._STEPS[0][: len(value)], dtype=np.uint64)])
+
+    def hashes(self, length: int, places: np.ndarray | None = None, sign: int = 1) -> np.ndarray:
+        """Of the runs of a length at all places or at those given, which must leave room for it."""
+        places = np.arange(self.size - length + 1) if places is None else places
+        sums = (self.sums[places + length] - self.sums[places]) * Runs._STEPS[1][places]
+        return mix(mix(sums + np.uint64(length)) + np.uint64(sign))
+
+    def starts(self) -> np.ndarray:
+        """Of the first tokens of long runs, apart from the hashes of whole runs as short."""
+        return self.hashes(WIDTH, sign=2)
+
+
+def literal_hits(value: np.ndarray, lengths: list[int], hit: Test) -> Iterator[tuple[int, int]]:
+    """Hash and first place of each run of one of the lengths that passes the test."""
+    runs, starts = Runs(value), None
+    for length in lengths:
+        if length > len(value):
+            continue
+        places = np.arange(len(value) - length + 1)
+        if length >= WIDTH:
+            starts = np.flatnonzero(hit(runs.starts())) if starts is None else starts
+            places = starts[starts + length <= len(value)]
+        hashes = runs.hashes(length, places)
+        passed = hit(hashes)
+        each, first = np.unique(hashes[passed], return_index=True)
+        yield from zip(each.view(np.int64).tolist(), places[passed][first].tolist())
+
+
+_WINDOW = "id long, hash long, place int, slots array<long>, filled int, length int, start long"
+_WINDOW_ARROW = pa.schema(
+    [("id", pa.int64()), ("hash", pa.int64()), ("place", pa.int32()), ("slots", pa.list_(pa.int64()))]
+    + [("filled", pa.int32()), ("length", pa.int32()), ("start", pa.int64())]
+)
+
 
+def windows(table: DataFrame, id_col: str, text_col: str, bitmap: dict[int, int] | None = None, lengths: list[int] | None = None) -> DataFrame:
+    """Rows of all windows of items, or of those of documents whose hash is in the bitmap.
 
-def windows(table: DataFrame, id_col: str, text_col: str, bitmap: dict[int, int] | None = None) -> DataFrame:
-    """Rows (id, hash, place, slots) of all windows, or of those whose hash is in the bitmap."""
+    ``filled`` has a bit for each token that is a slot. Runs joined as they are written have none; an item's
+    has its ``length`` and, if it is a long one, the hash of its first tokens, ``start``.
+    """
     sent = table.sparkSession.sparkContext.broadcast(bitmap) if bitmap is not None else None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -217,7 +268,14 @@ def windows(table: DataFrame, id_col: str, text_col: str, bitmap: dict[int, int]
                 hashes, places, masks, value = readings(text, codes, None if bits is None else hit)
                 values = value.view(np.int64)
                 for hashed, place, mask in zip(hashes.view(np.int64).tolist(), places.tolist(), masks.tolist()):
-                    yield number, hashed, place, [int(values[place + k]) for k in range(WIDTH) if mask >> k & 1]
+                    yield number, hashed, place, [int(values[place + k]) for k in range(WIDTH) if mask >> k & 1], mask, None, None
+                if bits is not None:
+                    for hashed, place in literal_hits(value, lengths, hit) if lengths and len(value) else ():
+                        yield number, hashed, place, [], 0, None, None
+                elif len(value) and (len(value) < WIDTH or not len(hashes)):
+                    runs = Runs(value)
+                    start = int(runs.starts().view(np.int64)[0]) if len(value) >= WIDTH else None
+                    yield number, int(runs.hashes(len(value)).view(np.int64)[0]), 0, [], 0, len(value), start
 
         yield from sized(rows(), _WINDOW_ARROW)
 
@@ -228,27 +286,57 @@ def windows(table: DataFrame, id_col: str, text_col: str, bitmap: dict[int, int]
 
 def window_bitmap(items: DataFrame) -> dict[int, int]:
     """Words of the bitmap over the windows' hashes that are not zero; bounded by the bitmap's size."""
-    bit = items.select(F.expr(f"hash & {BITMAP_BITS - 1}").alias("bit"))
+    hashes = items.select(F.explode(F.array_compact(F.array("hash", "start"))).alias("hash"))
+    bit = hashes.select(F.expr(f"hash & {BITMAP_BITS - 1}").alias("bit"))
     words = bit.groupBy(F.expr("CAST(bit >> 6 AS INT)").alias("word")).agg(F.expr("bit_or(shiftleft(1L, CAST(bit & 63 AS INT)))").alias("bits"))
     return {row["word"]: row["bits"] for row in words.collect()}
 
 
+def agreed(held: list[dict]) -> tuple[set[int], bool]:
+    """Places of an alignment's windows that agree on what each value of the item became, and whether all values stayed.
+
+    A value that became several is taken for the one at most places, of equal ones for itself, and else for the least.
+    """
+    became: dict[int, dict[int, set[int]]] = {}
+    for window in held:
+        spots = [window["place"] + k for k in range(WIDTH) if window["filled"] >> k & 1]
+        for at, item, doc in zip(spots, window["item"], window["doc"]):
+            became.setdefault(item, {}).setdefault(doc, set()).add(at)
+    chosen = {item: max(by, key=lambda doc: (len(by[doc]), doc == item, -doc)) for item, by in became.items()}  # noqa: B023
+    places = {window["place"] for window in held if all(chosen[item] == doc for item, doc in zip(window["item"], window["doc"]))}
+    return places, all(set(by) == {item} for item, by in became.items())
+
+
+def covered_places(aligned: DataFrame, id_col: str, item_col: str) -> DataFrame:
+    """Rows (id, item id, place, same) of alignments with their windows."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def rows() -> Iterator[tuple]:
+            for batch in batches:
+                for begin in range(0, batch.num_rows, 128):
+                    for number, item, held in next(rows_of([batch.slice(begin, 128)], id_col, item_col, "windows")):
+                        places, same = agreed(held)
+                        for place in sorted(places):
+                            yield number, item, place, same
+
+        yield from sized(rows(), pa.schema([(id_col, pa.int64()), (item_col, pa.int64()), ("place", pa.int32()), ("same", pa.bool_())]))
+
+    ship(aligned.sparkSession)
+    return aligned.mapInArrow(run, f"`{id_col}` long, `{item_col}` long, place int, same boolean")
+
+
 def leaks(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text") -> DataFrame:
     """Pairs (id, item id, coverage, same_values): items found in documents; ``same_values`` where no slot was changed."""
     items = windows(benchmark, item_col, item_text)
-    hits = windows(docs, id_col, text_col, window_bitmap(items)).withColumnRenamed("id", id_col)
+    lengths = sorted(row["length"] for row in items.select("length").where("length IS NOT NULL").distinct().collect())
+    hits = windows(docs, id_col, text_col, window_bitmap(items), lengths).select(F.col("id").alias(id_col), "hash", "place", "slots")
     sizes = items.groupBy(F.col("id").alias(item_col)).agg(F.countDistinct("place").alias("n_windows"))
-    of_items = items.select(F.col("id").alias(item_col), "hash", F.col("place").alias("item_place"), F.col("slots").alias("item_slots")).distinct()
+    of_items = items.select(F.col("id").alias(item_col), "hash", F.col("place").alias("item_place"), F.col("slots").alias("item_slots"), "filled").distinct()
     met = hits.join(of_items, "hash").withColumn("shift", F.col("place") - F.col("item_place"))
     # an alignment has the readings of one window per place of the item, so what is gathered here is bounded by an item
-    aligned = met.groupBy(id_col, item_col, "shift").agg(
-        F.collect_set("item_place").alias("places"),
-        F.array_distinct(F.flatten(F.collect_set(F.arrays_zip(F.col("item_slots").alias("item"), F.col("slots").alias("doc"))))).alias("pairs"),
-    )
-    meant = F.array_distinct(F.transform("pairs", lambda pair: pair["item"]))
-    aligned = aligned.where(F.size(meant) == F.size("pairs"))
-    same = F.forall("pairs", lambda pair: pair["item"] == pair["doc"])
-    covered = aligned.select(id_col, item_col, F.explode("places").alias("place"), same.alias("same"))
+    window = F.struct(F.col("item_place").alias("place"), "filled", F.col("item_slots").alias("item"), F.col("slots").alias("doc"))
+    aligned = met.groupBy(id_col, item_col, "shift").agg(F.collect_set(window).alias("windows"))
+    covered = covered_places(aligned.select(id_col, item_col, "windows"), id_col, item_col)
     found = covered.groupBy(id_col, item_col).agg(F.countDistinct("place").alias("n"), F.bool_and("same").alias("same_values"))
     share = F.col("n") / F.col("n_windows")
     return found.join(sizes, item_col).where(share >= coverage).select(id_col, item_col, share.alias("coverage"), "same_values")

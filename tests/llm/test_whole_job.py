@@ -16,3 +16,21 @@ def test_names_that_open_a_sentence(spark):
     texts = [STORY, STORY.replace("John", "Mary"), inside, "They tell how Mary" + STORY[4:].replace("John", "Mary"), "The story has no apples at all."]
     got = leaked(spark, texts, [STORY])
     assert got == {(0, 0): (1.0, True), (1, 0): (1.0, False), (2, 0): (1.0, True), (3, 0): (1.0, False)}
+
+
+LONG_ITEM = "Anna met the old baker near the mill and they spoke of bread for a while. Later that day the baker gave Anna two loaves and a small jar of honey to take home, because the road was long and it had begun to rain again."
+
+
+def test_one_altered_value_leaves_the_other_windows(spark):
+    torn = LONG_ITEM.replace("gave Anna", "gave Eva")
+    got = leaked(spark, [torn, torn.replace("Anna", "Ida"), LONG_ITEM], [LONG_ITEM])
+    assert set(got) == {(0, 0), (1, 0), (2, 0)}
+    assert 0.8 <= got[0, 0][0] < 1 and not got[0, 0][1] and got[2, 0] == (1.0, True)
+
+
+def test_items_without_ordinary_windows(spark):
+    items = ["1 2 3 5 8 13 21", "Anna Berta Clara Dora Emma Frida", "what is love", "7 7"]
+    texts = [f"So it goes: {item}, and then the rest of the text goes on." for item in items]
+    other = ["1 2 3 5 8 14 21 and what love is", "Anna Berta Clara Dora Emma, Gerda", "7 8", ""]
+    got = leaked(spark, texts + [" ".join(items)] + other, [*items, "", None])
+    assert got == {(n, n): (1.0, True) for n in range(4)} | {(4, n): (1.0, True) for n in range(4)}
