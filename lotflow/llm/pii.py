@@ -105,9 +105,10 @@ _FENCED = re.compile(rf"\s?[\[({{<]\s?(?:({_AT_WORDS}|@)|({_DOT_WORDS}|\.))\s?[\
 _NAME = r"[A-Za-z0-9_%+-]"
 _SPOKEN = re.compile(rf"(?<!{_NAME}){_NAME}{{1,64}}(?:(?: (?:{_DOT_WORDS}) |\.){_NAME}{{1,64}}){{0,4}}(?: (?:{_AT_WORDS}) |@){_NAME}{{1,64}}(?:(?: (?:{_DOT_WORDS}) |\.){_NAME}{{1,64}}){{1,6}}", re.I)
 _SPOKEN_PART = re.compile(rf" (?:({_AT_WORDS})|({_DOT_WORDS})) ", re.I)
-_SIGNS = tuple(f"{fence}{word}" for fence in "[({<" for word in ("at", " at", "@", "dot", " dot", ".", "arroba", "arobase", "ät", "punkt", "punto", "point"))
 _SPOKEN_DOTS = tuple(f" {word} " for word in _DOT_WORDS.split("|"))
-_RARE_DIGITS = tuple(word for word in _DIGIT_WORDS if word not in ("un", "uno", "dos", "oh", "null", "one"))
+# a spelled run holds one of these: words that hold a shorter one ("uno", "un") need no search of their own
+_SPELLED_SIGNS = tuple(word for word in ("plus", *_DIGIT_WORDS) if not any(other != word and other in word for other in _DIGIT_WORDS))
+
 
 
 class Tape:
@@ -199,9 +200,9 @@ def undisguised(text: str) -> Tape | None:
     if odd:
         tape = _letters(tape)
         low = tape.text.lower()
-    if sum(word in low for word in _RARE_DIGITS) >= 2:
+    if any(word in low for word in _SPELLED_SIGNS):
         tape = _digits(tape)
-    if any(sign in low for sign in _SIGNS):
+    if any(fence in tape.text for fence in "[({<"):
         tape = _fences(tape)
     if any(word in low for word in _SPOKEN_DOTS):
         tape = _spoken(tape)

@@ -1,6 +1,8 @@
 """Cases in which operators once did less than the whole job."""
 
-from lotflow.llm import template_leaks
+import pytest
+
+from lotflow.llm import pii, template_leaks
 
 STORY = "John has 5 apples and buys 7 more at the shop. John then gives 3 apples to a friend."
 
@@ -34,3 +36,19 @@ def test_items_without_ordinary_windows(spark):
     other = ["1 2 3 5 8 14 21 and what love is", "Anna Berta Clara Dora Emma, Gerda", "7 8", ""]
     got = leaked(spark, texts + [" ".join(items)] + other, [*items, "", None])
     assert got == {(n, n): (1.0, True) for n in range(4)} | {(4, n): (1.0, True) for n in range(4)}
+
+
+@pytest.mark.parametrize(
+    ("text", "kind"),
+    [
+        ("Ring +1 five five five 0 1 0 2 0 3 0 now", "PHONE"),
+        ("+1 5 5 5 zero 1 zero 2 zero 3 zero", "PHONE"),
+        ("+4 4 2 oh 7 9 4 6 oh 9 5 8", "PHONE"),
+        ("tel plus 49 30 1234567 x", "PHONE"),
+        ("juan [ arroba ] sitio.com", "EMAIL"),
+        ("max [ @ ] seite.de", "EMAIL"),
+        ("x@host [ punkt ] de", "EMAIL"),
+    ],
+)
+def test_disguises_with_few_signs(text, kind):
+    assert f"<{kind}>" in pii.redacted(text)
