@@ -3,8 +3,10 @@
 For each text four counts are taken (see ``text_counts``). Fixed base rules fail texts that are too
 short or repeat themselves. The others are judged by a vector of four transformed statistics: per
 language and source the minimum-covariance-determinant estimate of centre and scatter is found by
-concentration steps (start at the medians, keep the three quarters of the rows that are nearest, take
-their mean and covariance, again), and a text is rejected whose Mahalanobis distance is too large.
+concentration steps (start at quartiles, keep the half of the rows that is nearest, take its mean and
+covariance, again until the means settle). Of the starts the one with the least determinant counts. It is
+stretched, then taken anew from all rows near it, and a text is rejected whose Mahalanobis distance is
+too large. Junk that is less than half of a group does not pull the estimate to it.
 
 A group's estimate leans on its language's, and that on the estimate of all rows, with the weight of
 ``LEAN`` rows, so small groups need no rule of their own. A null text has no words; null and empty
@@ -19,15 +21,18 @@ from pyspark.sql import functions as F
 from lotflow.llm.texts import checkpointed
 
 MIN_WORDS, MAX_REPEATED_PCT = 50, 50
-#: Share of a group that the concentration keeps, number of steps, and rows' worth of the wider group's estimate.
-KEPT_SHARE, STEPS, LEAN = 0.75, 4, 100
-#: 0.999 quantile of chi-squared with four degrees of freedom, and its median.
-CUTOFF, CHI2_MEDIAN = 18.467, 3.357
+#: Share of a group that the concentration keeps, most steps, and rows' worth of the wider group's estimate.
+KEPT_SHARE, STEPS, LEAN = 0.5, 20, 100
+#: Quantiles at which the concentration starts, and the move of a mean, in least deviations, below which it has settled.
+STARTS, SETTLED = (0.5, 0.25, 0.75), 0.01
+#: 0.999 quantile of chi-squared with four degrees of freedom, its median, and the 0.975 quantile up to which rows are taken anew.
+CUTOFF, CHI2_MEDIAN, NEAR = 18.467, 3.357, 11.143
 #: Least standard deviations: differences below them are no news in any group.
 FLOORS = (0.08, 0.06, 0.25, 0.20)
 _SPACE = " \t\n\x0b\x0c\r"
 _SYMBOLS = "#*$%&|<>"
 DIMS = range(4)
+_GROUP, _KEYS = ["g_lang", "g_source"], ["g_lang", "g_source", "g_start"]
 
 
 def text_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
@@ -104,11 +109,15 @@ def _added(moments: DataFrame, *keys: str) -> DataFrame:
 
 
 def _leaning(moments: DataFrame) -> DataFrame:
-    """Centre ``m`` and scatter ``c`` per group, each leaning on the wider group's."""
-    total = _added(moments).head()  # one row of sums
-    n = total["n"] or 1.0
-    mean = {i: (total[f"s{i}"] or 0.0) / n for i in DIMS}
-    every = {f"em{i}": F.lit(mean[i]) for i in DIMS} | {f"ec{i}{j}": F.lit((total[f"p{i}{j}"] or 0.0) / n - mean[i] * mean[j]) for i, j in _pairs()}
+    """Centre ``m`` and scatter ``c`` per group and start, each leaning on the wider group's."""
+    every: dict[str, Column] = {}
+    for total in _added(moments, "g_start").collect():  # a row of sums for each start
+        n = total["n"] or 1.0
+        mean = {i: (total[f"s{i}"] or 0.0) / n for i in DIMS}
+        values = {f"em{i}": mean[i] for i in DIMS} | {f"ec{i}{j}": (total[f"p{i}{j}"] or 0.0) / n - mean[i] * mean[j] for i, j in _pairs()}
+        here = F.col("g_start") == total["g_start"]
+        every = {name: every[name].when(here, value) if every else F.when(here, F.lit(value)) for name, value in values.items()}
+    every = every or {name: F.lit(0.0) for name in [f"em{i}" for i in DIMS] + [f"ec{i}{j}" for i, j in _pairs()]}
 
     def lean(rows: DataFrame, wide: str, out: str) -> DataFrame:
         weight = F.col("n") + LEAN
@@ -121,10 +130,10 @@ def _leaning(moments: DataFrame) -> DataFrame:
             scatter.append((own / weight - product / weight / weight).alias(f"{out}c{i}{j}"))
         return rows.select("*", *centre, *scatter)
 
-    by_lang = lean(_added(moments, "g_lang").withColumns(every), "e", "l")
+    by_lang = lean(_added(moments, "g_lang", "g_start").withColumns(every), "e", "l")
     wide = [f"lm{i}" for i in DIMS] + [f"lc{i}{j}" for i, j in _pairs()]
-    groups = lean(moments.join(by_lang.select("g_lang", *wide), "g_lang"), "l", "")
-    return groups.select("g_lang", "g_source", *[f"m{i}" for i in DIMS], *[f"c{i}{j}" for i, j in _pairs()])
+    groups = lean(moments.join(by_lang.select("g_lang", "g_start", *wide), ["g_lang", "g_start"]), "l", "")
+    return groups.select(*_KEYS, *[f"m{i}" for i in DIMS], *[f"c{i}{j}" for i, j in _pairs()])
 
 
 def _factored(groups: DataFrame, scale: Column | float = 1.0) -> DataFrame:
@@ -135,11 +144,12 @@ def _factored(groups: DataFrame, scale: Column | float = 1.0) -> DataFrame:
         inner = lambda i: sum((F.col(f"l{i}{k}") * F.col(f"l{j}{k}") for k in range(j)), F.lit(0.0))  # noqa: E731, B023
         rows = rows.withColumn(f"l{j}{j}", F.sqrt(F.greatest(F.col(f"a{j}{j}") - inner(j), F.lit(FLOORS[j] ** 2 / 16))))
         rows = rows.withColumns({f"l{i}{j}": (F.col(f"a{i}{j}") - inner(i)) / F.col(f"l{j}{j}") for i in DIMS if i > j}) if j < 3 else rows
-    return rows.select("g_lang", "g_source", *[f"m{i}" for i in DIMS], *[f"l{i}{j}" for i, j in _pairs()])
+    keys = [key for key in _KEYS if key in groups.columns]
+    return rows.select(*keys, *[f"m{i}" for i in DIMS], *[f"l{i}{j}" for i, j in _pairs()])
 
 
 def _with_distance(rows: DataFrame, groups: DataFrame) -> DataFrame:
-    """Rows with the squared Mahalanobis distance from their group's centre."""
+    """Rows with the squared Mahalanobis distance from their group's centre, once for each start."""
     solved: list[Column] = []
     for i in DIMS:
         rest = F.col(f"x{i}") - F.col(f"m{i}")
@@ -147,32 +157,55 @@ def _with_distance(rows: DataFrame, groups: DataFrame) -> DataFrame:
             rest = rest - F.col(f"l{i}{k}") * solved[k]
         solved.append(rest / F.col(f"l{i}{i}"))
     distance = sum((part * part for part in solved[1:]), solved[0] * solved[0])
-    return rows.join(groups, ["g_lang", "g_source"]).select(*rows.columns, distance.alias("distance"))
+    starts = [key for key in ("g_start",) if key in groups.columns]
+    return rows.join(groups, _GROUP).select(*rows.columns, *starts, distance.alias("distance"))
 
 
 def _start(rows: DataFrame) -> DataFrame:
-    """Medians as centres and squared scaled deviations from them as a diagonal scatter."""
-    medians = rows.groupBy("g_lang", "g_source").agg(*[F.percentile_approx(f"x{i}", 0.5).alias(f"m{i}") for i in DIMS])
-    off = rows.join(medians, ["g_lang", "g_source"]).groupBy("g_lang", "g_source").agg(
-        *[F.percentile_approx(F.abs(F.col(f"x{i}") - F.col(f"m{i}")), 0.5).alias(f"d{i}") for i in DIMS]
+    """Quartiles as centres, one start each, and squared scaled deviations from the medians as a diagonal scatter."""
+    centres = rows.groupBy(*_GROUP).agg(*[F.percentile_approx(f"x{i}", list(STARTS)).alias(f"q{i}") for i in DIMS])
+    off = rows.join(centres, _GROUP).groupBy(*_GROUP).agg(
+        *[F.percentile_approx(F.abs(F.col(f"x{i}") - F.col(f"q{i}")[0]), 0.5).alias(f"d{i}") for i in DIMS]
     )
     scatter = [(F.pow(F.col(f"d{i}") * 1.4826, 2) if i == j else F.lit(0.0)).alias(f"c{i}{j}") for i, j in _pairs()]
-    return medians.join(off, ["g_lang", "g_source"]).select("g_lang", "g_source", *[f"m{i}" for i in DIMS], *scatter)
+    started = centres.join(off, _GROUP).withColumn("g_start", F.explode(F.array(*map(F.lit, range(len(STARTS))))))
+    return started.select(*_KEYS, *[F.col(f"q{i}")[F.col("g_start")].alias(f"m{i}") for i in DIMS], *scatter)
+
+
+def _moved(before: DataFrame, after: DataFrame) -> float:
+    """The farthest that a group's mean went between two steps, in least standard deviations."""
+    old, new = (moments.select(*_KEYS, *[(F.col(f"s{i}") / F.col("n")).alias(f"{name}{i}") for i in DIMS]) for name, moments in (("o", before), ("w", after)))
+    far = F.greatest(*[F.abs(F.col(f"o{i}") - F.col(f"w{i}")) / FLOORS[i] for i in DIMS])
+    return old.join(new, _KEYS).agg(F.max(far).alias("far")).head()["far"] or 0.0
+
+
+def _stretched(estimate: DataFrame, near: DataFrame) -> DataFrame:
+    """Centres and factors with the scatter stretched until the median distance of the rows is that of chi-squared, if it is below."""
+    middle = near.groupBy(*_GROUP).agg(F.percentile_approx("distance", 0.5).alias("middle"))
+    return checkpointed(_factored(estimate.join(middle, _GROUP), F.greatest(F.col("middle") / CHI2_MEDIAN, F.lit(1.0))))
 
 
 def robust_estimates(rows: DataFrame, steps: int = STEPS) -> DataFrame:
     """Centre and scatter's factor per language and source of rows with g_lang, g_source and x0 to x3."""
-    groups = checkpointed(_factored(_start(rows)))
+    groups, before = checkpointed(_factored(_start(rows))), None
     for _ in range(steps):
         near = _with_distance(rows, groups)
-        bounds = near.groupBy("g_lang", "g_source").agg(F.percentile_approx("distance", KEPT_SHARE).alias("bound"))
-        inside = near.join(bounds, ["g_lang", "g_source"]).where("distance <= bound")
-        estimate = checkpointed(_leaning(checkpointed(_moments(inside, "g_lang", "g_source"))))
-        groups = checkpointed(_factored(estimate))
-    # the nearest rows spread less than all: stretch the scatter until the median distance is that of chi-squared
-    stretch = _with_distance(rows, groups).groupBy("g_lang", "g_source").agg(F.percentile_approx("distance", 0.5).alias("middle"))
-    scaled = estimate.join(stretch, ["g_lang", "g_source"])
-    return checkpointed(_factored(scaled, F.greatest(F.col("middle") / CHI2_MEDIAN, F.lit(1.0))))
+        bounds = near.groupBy(*_KEYS).agg(F.percentile_approx("distance", KEPT_SHARE).alias("bound"))
+        moments = checkpointed(_moments(near.join(bounds, _KEYS).where("distance <= bound"), *_KEYS))
+        estimate = checkpointed(_leaning(moments))
+        groups = _factored(estimate)
+        if before is not None and _moved(before, moments) < SETTLED:
+            break
+        before = moments
+    size = sum((F.log(f"l{i}{i}") for i in DIMS), F.lit(0.0))
+    best = groups.groupBy(*_GROUP).agg(F.min(F.struct(size.alias("size"), "g_start"))["g_start"].alias("g_start"))
+    estimate = checkpointed(estimate.join(best, _KEYS).drop("g_start"))
+    # the nearest half spreads less than all rows
+    groups = _stretched(estimate, _with_distance(rows, _factored(estimate)))
+    inside = _with_distance(rows, groups).where(F.col("distance") <= NEAR).drop("distance")
+    moments = checkpointed(_moments(inside.withColumn("g_start", F.lit(0)), *_KEYS))
+    estimate = checkpointed(_leaning(moments).drop("g_start"))
+    return _stretched(estimate, _with_distance(inside, _factored(estimate)))
 
 
 def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", source_col: str = "source") -> DataFrame:

@@ -1,8 +1,9 @@
 """Cases in which operators once did less than the whole job."""
 
+import numpy as np
 import pytest
 
-from lotflow.llm import pii, template_leaks
+from lotflow.llm import outliers, pii, template_leaks
 
 STORY = "John has 5 apples and buys 7 more at the shop. John then gives 3 apples to a friend."
 
@@ -52,3 +53,14 @@ def test_items_without_ordinary_windows(spark):
 )
 def test_disguises_with_few_signs(text, kind):
     assert f"<{kind}>" in pii.redacted(text)
+
+
+@pytest.mark.parametrize("spread", [0.0, 0.01])
+def test_a_third_of_a_group_is_junk(spark, spread):
+    draw = np.random.default_rng(5)
+    good = draw.normal(0, (0.15, 0.1, 0.4, 0.3), (1200, 4))
+    junk = np.array([3.0, 2.0, 4.0, 4.0]) + draw.normal(0, 1, (700, 4)) * spread
+    rows = spark.createDataFrame([("en", "s", number < 1200, *map(float, x)) for number, x in enumerate([*good, *junk])], "g_lang string, g_source string, good boolean, x0 double, x1 double, x2 double, x3 double")
+    got = outliers._with_distance(rows, outliers.robust_estimates(rows)).collect()
+    assert sum(row.distance <= outliers.CUTOFF for row in got if row.good) >= 0.98 * 1200
+    assert not any(row.distance <= outliers.CUTOFF for row in got if not row.good)
