@@ -16,6 +16,7 @@ from __future__ import annotations
 import html
 import re
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -37,12 +38,17 @@ _TAG = re.compile(r"""<(?:!--.*?(?:-->|\Z)|[!?][^>]*(?:>|\Z)|(/?)([a-zA-Z][^\s/>
 _NAMES = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _NAME_WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 # How HTML's elements behave.
-_RAW = frozenset("script style noscript template textarea title iframe svg math select option button object canvas audio video head".split()) - {"head"}
+_RAW = frozenset("script style noscript template textarea title iframe".split())
+# elements with tags inside, whose text is not the page's; the first two may close themselves
+_FOREIGN = frozenset("svg math".split())
+_SILENT = _FOREIGN | frozenset("select option button object canvas audio video datalist".split())
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _BLOCK = frozenset(
     "address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 "
     "head header hgroup hr html legend li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul caption".split()
 )
+# in these a foreign element holds the page's own kind of tags; elsewhere a block that begins in one ends it
+_HOLDS_HTML = frozenset("foreignobject desc title annotation-xml".split())
 _CLOSES = {"li": ("ul", "ol", "menu"), "dt": ("dl",), "dd": ("dl",), "tr": ("table",), "td": ("tr",), "th": ("tr",)}
 
 
@@ -74,28 +80,41 @@ def blocks_of(page: str | None, with_names: bool = False) -> list[Block]:
     stack: list[tuple[str, tuple[int, ...], frozenset[str]]] = []
     open_path = np.zeros(PATH_SIZE, dtype=np.int32)
     pieces: list[str] = []
+    opened: dict[str, list[int]] = {}  # places in the stack by tag
+    blocks_open: list[int] = []
+    silent_open: list[int] = []
+    open_words: Counter[str] = Counter()
     linked = total = links = at = 0
 
     def flush() -> None:
         nonlocal linked, total
         text = " ".join(html.unescape("".join(pieces)).split()) if pieces else ""
         if text:
-            leaf = next((tag for tag, _, _ in reversed(stack[-64:]) if tag in _BLOCK), "body")
-            names = frozenset().union(*(words for _, _, words in stack[-64:])) if with_names else frozenset()
+            leaf = stack[blocks_open[-1]][0] if blocks_open else "body"
+            names = frozenset(open_words)
             found.append(Block(text, np.minimum(open_path, 1).astype(np.float32), leaf, linked / max(1, total), names))
         pieces.clear()
         linked = total = 0
 
     def close(down_to: int) -> None:
         nonlocal links
-        for tag, places, _ in stack[down_to:]:
+        for tag, places, words in reversed(stack[down_to:]):
             open_path[list(places)] -= 1
             links -= tag == "a"
+            opened[tag].pop()
+            if with_names:
+                open_words.subtract(words)
+                for word in words:
+                    if not open_words[word]:
+                        del open_words[word]
         del stack[down_to:]
+        for held in (blocks_open, silent_open):
+            while held and held[-1] >= down_to:
+                held.pop()
 
     def add(text: str) -> None:
         nonlocal linked, total
-        if text:
+        if text and not silent_open:
             pieces.append(text)
             total += len(text)
             linked += len(text) * (links > 0)
@@ -110,15 +129,27 @@ def blocks_of(page: str | None, with_names: bool = False) -> list[Block]:
         name = (tag.group(2) or "").lower()
         if not name:
             continue
-        if name in _BLOCK:
-            flush()
-        elif name == "br":
-            pieces.append(" ")
         if tag.group(1):
-            depth = next((n for n in range(len(stack) - 1, max(-1, len(stack) - 513), -1) if stack[n][0] == name), None)
+            depth = opened[name][-1] if opened.get(name) else None
+            if name in _BLOCK and (not silent_open or depth is not None and depth < silent_open[0]):
+                flush()
+            elif name == "br" and not silent_open:
+                pieces.append(" ")
             if depth is not None:
                 close(depth)
             continue
+        foreign = max((opened[outer][-1] for outer in _FOREIGN if opened.get(outer)), default=-1)
+        if foreign >= 0 and name in _BLOCK and max((opened[inner][-1] for inner in _HOLDS_HTML if opened.get(inner)), default=-1) < foreign:
+            close(min(opened[outer][0] for outer in _FOREIGN if opened.get(outer)))
+            foreign = -1
+        if (name in _FOREIGN or foreign >= 0) and (tag.group(3) or "").endswith("/"):
+            continue
+        if stack and stack[-1][0] == "option" and (name in _BLOCK or name in ("option", "optgroup")):
+            close(len(stack) - 1)
+        if name in _BLOCK and not silent_open:
+            flush()
+        elif name == "br" and not silent_open:
+            pieces.append(" ")
         if name in _RAW:
             end = re.compile(rf"</{re.escape(name)}[\s/>]", re.I).search(page, at)
             closing = page.find(">", end.start()) if end else -1
@@ -126,15 +157,19 @@ def blocks_of(page: str | None, with_names: bool = False) -> list[Block]:
             continue
         if name in _VOID:
             continue
-        if name in _BLOCK:  # an open paragraph ends where a block begins, an open item where the next one does
-            for n in range(len(stack) - 1, max(-1, len(stack) - 65), -1):
-                inner = stack[n][0]
-                if inner == "p" or inner == name and name in _CLOSES or {inner, name} <= {"dt", "dd"} or {inner, name} <= {"td", "th"}:
-                    close(n)
-                    break
-                if inner in _BLOCK:
-                    break
+        if name in _BLOCK and blocks_open and (not silent_open or blocks_open[-1] > silent_open[-1]):
+            # an open paragraph ends where a block begins, an open item where the next one does
+            inner = stack[blocks_open[-1]][0]
+            if inner == "p" or inner == name and name in _CLOSES or {inner, name} <= {"dt", "dd"} or {inner, name} <= {"td", "th"}:
+                close(blocks_open[-1])
         places, words = _signature(name, tag.group(3) or "")
+        opened.setdefault(name, []).append(len(stack))
+        if name in _BLOCK:
+            blocks_open.append(len(stack))
+        if name in _SILENT:
+            silent_open.append(len(stack))
+        if with_names:
+            open_words.update(words)
         stack.append((name, places, words))
         open_path[list(places)] += 1
         links += name == "a"

@@ -3,7 +3,7 @@
 import numpy as np
 import pytest
 
-from lotflow.llm import outliers, pii, template_leaks
+from lotflow.llm import html_text, outliers, pii, template_leaks
 
 STORY = "John has 5 apples and buys 7 more at the shop. John then gives 3 apples to a friend."
 
@@ -64,3 +64,16 @@ def test_a_third_of_a_group_is_junk(spark, spread):
     got = outliers._with_distance(rows, outliers.robust_estimates(rows)).collect()
     assert sum(row.distance <= outliers.CUTOFF for row in got if row.good) >= 0.98 * 1200
     assert not any(row.distance <= outliers.CUTOFF for row in got if not row.good)
+
+
+def test_pages_with_elements_left_open():
+    cut = lambda page: [block.text for block in html_text.blocks_of(page)]
+    assert cut('<p>a <svg class="i"/> b<p>c <math/> d') == ["a b", "c d"]
+    assert cut("<p>a <svg><title>t</title><path d='x'/><text>no</text></svg> b") == ["a b"]
+    assert cut("<p>a <svg><path> b<p>c") == ["a", "c"]
+    assert cut("<div><datalist><option value=x><option value=y>no</datalist>a</div><p>b") == ["a", "b"]
+    assert cut("<div><select><option>no<option>no</select> a</div><p>b <button>no</button> c") == ["a", "b c"]
+    assert cut("<p>a <object><p>no</p></object> b</p>") == ["a b"]
+    deep = html_text.blocks_of("<article>" + "<b>" * 600 + "a</article><p>b")
+    assert [(block.text, block.leaf) for block in deep] == [("a", "article"), ("b", "p")]
+    assert not deep[1].path[list(html_text._signature("article", "")[0])].any()
