@@ -19,15 +19,15 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lotflow.llm.texts import WordCache, batch_of, rows_of
 from lotflow.shipping import ship
 
 UNDETERMINED = "und"
-#: Bounds of the training sample: labelled documents, the distinct words of a language counted in them, languages.
-SAMPLE_DOCS, SAMPLE_WORDS, MAX_LANGUAGES = 4000, 20_000, 500
+#: Bounds of the training sample, each for a language: labelled documents, and the distinct words counted in them.
+SAMPLE_DOCS, SAMPLE_WORDS = 4000, 20_000
 ROUNDS, ADDED_COUNT, UNKNOWN_LETTER = 4, 0.05, 1e-7
 _LETTERS = re.compile(r"[^\W\d_]+")
 #: Longer words are scored in scaled steps, so that no product underflows.
@@ -169,14 +169,19 @@ def learn(counts: dict[str, Counter], documents: dict[str, int], pieces: list[st
 
 
 def train(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", path: str | None = None) -> LanguageModel:
-    """Learn from labelled rows: shares from all of them, words from a sample of ``SAMPLE_DOCS``."""
-    rows = labelled.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang")).where("lang IS NOT NULL AND text IS NOT NULL")
-    shares = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).collect()
-    # the ids with the smallest hashes, the same ones whatever the partitions, are chosen before any text is moved
-    ids = rows.select("id").distinct().orderBy(F.xxhash64("id"), "id").limit(SAMPLE_DOCS)
-    sample = rows.join(ids, "id", "left_semi")
+    """Learn from labelled rows: shares from all of them, words from a sample of ``SAMPLE_DOCS`` for each language."""
+    rows = labelled.select(F.xxhash64(id_col, text_col).alias("key"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang")).where("lang IS NOT NULL AND text IS NOT NULL")
+    shares = rows.groupBy("lang").count().orderBy("lang").collect()
+    # the smallest keys of each language, the same ones whatever the partitions, are chosen before any text is moved; only those
+    # below a bound under which about twice as many lie are put in order
+    keys = rows.select("lang", "key").distinct()
+    reach = F.lit(-(2.0**63)) + F.least(F.lit(1.0), (2 * SAMPLE_DOCS + 100) / F.col("n")) * 2.0**64
+    small = keys.join(F.broadcast(keys.groupBy("lang").agg(F.count("*").alias("n"))), "lang").where(F.col("key") <= reach)
+    nth = lambda *order: F.row_number().over(Window.partitionBy("lang").orderBy(*order))
+    last = small.withColumn("nth", nth("key")).where(F.col("nth") <= SAMPLE_DOCS).groupBy("lang").agg(F.max("key").alias("last"))
+    sample = rows.join(F.broadcast(last), "lang").where("key <= last")
     words = sample.select("lang", F.explode(F.split(F.lower("text"), r"[^\p{L}]+")).alias("word")).where("word <> ''")
-    counted = words.groupBy("lang", "word").count().orderBy(F.desc("count"), "lang", "word").limit(SAMPLE_WORDS * max(1, len(shares)))
+    counted = words.groupBy("lang", "word").count().withColumn("nth", nth(F.desc("count"), "word")).where(F.col("nth") <= SAMPLE_WORDS)
     counts: dict[str, Counter] = {}
     for row in counted.collect():
         counts.setdefault(row["lang"], Counter())[row["word"]] = row["count"]

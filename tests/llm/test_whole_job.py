@@ -3,7 +3,7 @@
 import numpy as np
 import pytest
 
-from lotflow.llm import html_text, outliers, pii, template_leaks
+from lotflow.llm import html_text, language_id, outliers, pii, template_leaks
 
 STORY = "John has 5 apples and buys 7 more at the shop. John then gives 3 apples to a friend."
 
@@ -77,3 +77,15 @@ def test_pages_with_elements_left_open():
     deep = html_text.blocks_of("<article>" + "<b>" * 600 + "a</article><p>b")
     assert [(block.text, block.leaf) for block in deep] == [("a", "article"), ("b", "p")]
     assert not deep[1].path[list(html_text._signature("article", "")[0])].any()
+
+
+def test_every_language_is_learned(spark, monkeypatch):
+    monkeypatch.setattr(language_id, "SAMPLE_DOCS", 20)
+    monkeypatch.setattr(language_id, "SAMPLE_WORDS", 30)
+    many = [(n, " ".join(f"the house of {a}{b}" for a in "abcd" for b in "efgh"), "en") for n in range(3000)]
+    few = [(None, "das ist nicht unser haus", "de"), (None, "und wir sind nicht zu hause", "de")]
+    single = [(n, "casa", f"x{n}") for n in range(600)]
+    model = language_id.train(spark.createDataFrame(many + few + single, "doc_id long, text string, lang string"))
+    assert len(model.languages) == 602
+    spread = np.ptp(model.probability, axis=0)
+    assert (spread > 0).all()
