@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lotflow.llm import bpe_codec, chosen_path, html_text, language_id, outliers, pii, quality_pu, template_leaks, token_files, url_filter
+from lotflow.llm import (
+    bpe_codec, chosen_path, html_text, language_id, merkle, outliers, pii, quality_pu, role_repair, simhash, sql, template_leaks, token_files, url_filter,
+)
 from lotflow.llm.texts import fold, table
 
 RULES = [("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/")]
@@ -63,11 +65,24 @@ def op10_chosen_path(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chosen_path.similarity_classes(table(spark, sf_dir, "documents"))
 
 
+def op11_role_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return role_repair.repairs(role_repair.damaged(table(spark, sf_dir, "conversations"))).drop("system")
+
+
+def op12_simhash_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op13_merkle_proofs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.tamper_check(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
     for query in (
         op1_template_leaks, op2_quality_pu, op3_language_pieces, op4_url_bloom, op5_pii_spans,
         op6_robust_outliers, op7_bpe_prefixes, op8_html_lstm, op9_token_files, op10_chosen_path,
+        op11_role_repair, op12_simhash_parts, op13_merkle_proofs,
     )
 }
 
@@ -78,6 +93,8 @@ _PLACES = ", ".join(
 )
 
 ORACLES: dict[str, str] = {
+    "op11_role_repair": sql.ROLE_REPAIR,
+    "op13_merkle_proofs": sql.MANIFEST,
     "op4_url_bloom": rf"""
         WITH places(verdict, rule, p_host, p_path) AS (VALUES {_PLACES}),
         parts AS (
