@@ -321,8 +321,13 @@ def similarity_classes(
 
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Documents with all their columns, one of each class: the one with the least id (any one of equal ids)."""
-    classes = similarity_classes(docs, id_col=id_col, text_col=text_col)
-    kept = classes.where(F.col(id_col) == F.col("class_id")).select(F.col(id_col).alias("__kept")).distinct()
-    chosen = docs.join(kept, docs[id_col] == kept["__kept"], "left_semi").dropDuplicates([id_col])
-    return chosen.unionAll(docs.where(F.col(id_col).isNull()))
+    """Documents with all their columns, one of each class: one with the least id (null only if there is no other).
+
+    Rows are told apart by id and text, so null ids and different texts under one id are documents like any others.
+    """
+    key = F.xxhash64(id_col, text_col)
+    rows = docs.withColumn("__row", key)
+    classes = similarity_classes(rows, id_col="__row", text_col=text_col).select("__row", "class_id").distinct()
+    first = F.min(F.struct(F.col(id_col).isNull().alias("unnamed"), F.col(id_col).alias("id"), F.col("__row").alias("row")))
+    kept = rows.select(id_col, "__row").join(classes, "__row").groupBy("class_id").agg(first.alias("first")).select(F.col("first.row").alias("__kept"))
+    return rows.join(kept, rows["__row"] == kept["__kept"], "left_semi").dropDuplicates(["__row"]).drop("__row")

@@ -3,6 +3,7 @@
 import itertools
 import math
 import re
+import unicodedata
 
 import numpy as np
 import pytest
@@ -144,3 +145,39 @@ def test_scores_do_not_see_labels(spark):
     plain = hard_docs(spark).select("doc_id", "text")
     one = quality_pu.quality_scores(plain, None).columns
     assert one == ["doc_id", "score", "predicted"]
+
+
+def test_only_letters_make_words():
+    signs = [chr(code) for code in range(0x110000) if unicodedata.category(chr(code)) in ("Nd", "Nl", "No")]
+    assert language_id.words_in(" ".join(signs)) == [] and language_id.words_in("a½b x_y") == ["a", "b", "x", "y"]
+
+
+def test_fit_against_all_segmentations():
+    """One round of expected counts, also of words past the bound for plain products."""
+    pieces = ["▁", "▁a", "a", "b", "ab", "ba", "bab"]
+    words, counts = ["ab", "abab", "b", "c", "ab" * 3], [3, 1, 2, 1, 1]
+
+    def ways(rest):
+        if not rest:
+            yield []
+        for end in range(1, len(rest) + 1):
+            options = ([rest[:end]] if rest[:end] in pieces else []) + ([None] if end == 1 else [])
+            yield from ([option, *more] for option in options for more in ways(rest[end:]))
+
+    expected = dict.fromkeys(pieces, language_id.ADDED_COUNT)
+    for word, count in zip(words, counts):
+        cuts = list(ways("▁" + word))
+        weights = [np.prod([1 / len(pieces) if piece else language_id.UNKNOWN_LETTER for piece in cut]) for cut in cuts]
+        for cut, weight in zip(cuts, weights):
+            for piece in filter(None, cut):
+                expected[piece] += count * weight / sum(weights)
+    wanted = np.array([expected[piece] for piece in pieces]) / sum(expected.values())
+    matcher = language_id.Matcher(pieces)
+    assert np.allclose(language_id.fit(words, counts, matcher, len(pieces), 1), wanted)
+    short = language_id.fit(["ab" * 20], [1], matcher, len(pieces), 3)
+    held, language_id.LONG_WORD = language_id.LONG_WORD, 3
+    try:
+        assert np.allclose(language_id.fit(words, counts, matcher, len(pieces), 1), wanted)
+        assert np.allclose(language_id.fit(["ab" * 20], [1], matcher, len(pieces), 3), short)
+    finally:
+        language_id.LONG_WORD = held

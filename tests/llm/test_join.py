@@ -6,7 +6,7 @@ import pytest
 
 import corpus_pipeline
 from cases import empty_docs, hard_docs, hard_rows
-from lotflow.llm import chosen_path
+from lotflow.llm import chosen_path, template_leaks
 from lotflow.llm.texts import WordCache, shingles, table, word_hash
 
 
@@ -99,3 +99,27 @@ def test_pipeline_result(spark, sf_dir):
     assert len(kept) == len(rows) and kept <= firsts
     leaked = {row.doc_id for row in __import__("lotflow.llm.catalogue", fromlist=["op1_template_leaks"]).op1_template_leaks(spark, sf_dir).collect()}
     assert firsts - leaked == kept
+
+
+STORY = " ".join(f"word{n}" for n in range(40))
+
+
+def test_rows_are_kept_and_dropped_by_their_own_text(spark):
+    """Null and repeated ids lose no text and hide none."""
+    other = " ".join(f"other{n}" for n in range(40))
+    rows = [(7, STORY), (7, other), (8, other + " end"), (None, STORY + " end"), (None, "a third text of its own"), (None, None), (9, "")]
+    docs = spark.createDataFrame([(*row, "c") for row in rows], "doc_id long, text string, class_id string")
+    kept = {(row.doc_id, row.text) for row in chosen_path.one_of_each(docs).collect()}
+    assert kept == {(7, STORY), (7, other), (None, "a third text of its own"), (None, None), (9, "")}
+
+    items = spark.createDataFrame([(1, STORY)], "item_id long, text string")
+    clean = {(row.doc_id, row.text) for row in template_leaks.without_leaks(docs, items).collect()}
+    assert clean == {(7, other), (8, other + " end"), (None, "a third text of its own"), (None, None), (9, "")}
+
+
+def test_language_stage_judges_each_row(spark, sf_dir):
+    good = table(spark, sf_dir, "documents").where("lang IS NOT NULL").limit(60).collect()
+    rows = [(row.doc_id, row.text, row.lang) for row in good] + [(None, "½ ² ①", None), (None, good[0].text, None), (good[0].doc_id, "12 34", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    kept = [(row.doc_id, row.text) for row in corpus_pipeline.keep_known_languages(spark, docs, sf_dir).collect()]
+    assert set(kept) == {(row.doc_id, row.text) for row in good} | {(None, good[0].text)} and len(kept) == 61

@@ -81,7 +81,6 @@ def test_pages_with_elements_left_open():
 
 def test_every_language_is_learned(spark, monkeypatch):
     monkeypatch.setattr(language_id, "SAMPLE_DOCS", 20)
-    monkeypatch.setattr(language_id, "SAMPLE_WORDS", 30)
     many = [(n, " ".join(f"the house of {a}{b}" for a in "abcd" for b in "efgh"), "en") for n in range(3000)]
     few = [(None, "das ist nicht unser haus", "de"), (None, "und wir sind nicht zu hause", "de")]
     single = [(n, "casa", f"x{n}") for n in range(600)]
