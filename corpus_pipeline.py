@@ -14,12 +14,11 @@ SURE_LANGUAGE = 0.5
 
 
 def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rejects texts without a letter and those whose language stays unsure. Rows that share an id share their fate."""
+    """Rejects texts without a letter and those whose language stays unsure, row by row."""
     model = language_id.train(docs.where(fold("doc_id", 3) != 1))
-    found = language_id.predict(docs.select("doc_id", "text"), model)
-    unsure = (F.col("lang_pred") == language_id.UNDETERMINED) | (F.col("score") < SURE_LANGUAGE)
-    rejected = found.where(unsure).select(F.col("doc_id").alias("__rejected")).distinct()
-    return docs.join(rejected, docs["doc_id"].eqNullSafe(rejected["__rejected"]), "left_anti")
+    found = language_id.with_language(docs, model)
+    sure = (F.col("__lang_pred") != language_id.UNDETERMINED) & (F.col("__lang_score") >= SURE_LANGUAGE)
+    return found.where(sure).select(*docs.columns)
 
 
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
