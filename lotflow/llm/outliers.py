@@ -23,6 +23,8 @@ from lotflow.llm.texts import checkpointed
 MIN_WORDS, MAX_REPEATED_PCT = 50, 50
 #: Share of a group that the concentration keeps, most steps, and rows' worth of the wider group's estimate.
 KEPT_SHARE, STEPS, LEAN = 0.5, 20, 100
+#: Rows of a partition during the concentration; a row of statistics takes less than 100 bytes.
+ROWS_TOGETHER = 1_000_000
 #: Quantiles at which the concentration starts, and the move of a mean, in least deviations, below which it has settled.
 STARTS, SETTLED = (0.5, 0.25, 0.75), 0.01
 #: 0.999 quantile of chi-squared with four degrees of freedom, its median, and the 0.975 quantile up to which rows are taken anew.
@@ -208,6 +210,11 @@ def robust_estimates(rows: DataFrame, steps: int = STEPS) -> DataFrame:
     return _stretched(estimate, _with_distance(inside, _factored(estimate)))
 
 
+def _gathered(rows: DataFrame) -> DataFrame:
+    """Few large partitions instead of many small ones: each sends a row for each group and start in every step."""
+    return rows.coalesce(max(rows.sparkSession.sparkContext.defaultParallelism, rows.count() // ROWS_TOGETHER + 1))
+
+
 def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", source_col: str = "source") -> DataFrame:
     """Per row: id, the counts, base_failed, kept, distance (squared; none where the base rules fail)."""
     slim = docs.select(
@@ -215,7 +222,7 @@ def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     )
     counts = text_counts(slim, text_col)
     vector = counts.select("*", base_failed().alias("base_failed"), *[x.alias(f"x{i}") for i, x in enumerate(_vector())])
-    rows = checkpointed(vector)
+    rows = _gathered(checkpointed(vector))
     estimates = robust_estimates(rows.where("NOT base_failed"))
     shown = [id_col, "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
     passed = _with_distance(rows.where("NOT base_failed"), estimates)
