@@ -17,13 +17,14 @@ from pyspark.sql.streaming import StreamingQuery
 
 from lotflow.operators import checkout, slot_state, slots, views
 from lotflow.operators.lifetime import with_fees
-from lotflow.schemas import CHECKOUT_LOG, HISTORY, LEDGER_ENTRY, QUARANTINE, SLOT_ROWS, SNAPSHOT, TIMESTAMP_PATTERN, VISIT_ROWS, WINDOW_FEES
+from lotflow.operators.records import islands
+from lotflow.schemas import CHECKOUT_LOG, HISTORY, LATE_EVENTS, LEDGER_ENTRY, QUARANTINE, SLOT_ROWS, SNAPSHOT, TIMESTAMP_PATTERN, VISIT_ROWS, WINDOW_FEES
 from lotflow.session import build_session, prepare, streaming_session
 from lotflow.settings import REALTIME_TABLE, Settings, from_env
 from lotflow.sources.config import load_settings
 from lotflow.sources.feed import kafka_records, parse_records
 from lotflow.sources.slots import slot_dimension
-from lotflow.streaming import pipelines, sinks, state, tables
+from lotflow.streaming import ordered_state, pipelines, sinks, state, tables
 
 _OUTCOME = T.StructType(
     [
@@ -35,6 +36,9 @@ _OUTCOME = T.StructType(
 )
 
 
+_STAY_OUTCOME = T.StructType([*[f for f in _OUTCOME.fields if f.name != "current_status"], T.StructField("entry_time", T.LongType())])
+_STAY_ENTRY = T.StructType([*LEDGER_ENTRY.fields, T.StructField("entry_time", T.LongType())])
+
 # A release starts the count of its slot anew, so its time tells it from others with the same number.
 _RELEASE = "CASE WHEN status = 'EXITING' THEN struct(last_update_unix, seq, batch_id) END"
 
@@ -49,7 +53,8 @@ def start_jobs(
     """Starts the queries over a record stream, each with its own checkpoint.
 
     fees: changed (slot, vehicle) rows, checkouts and counts, from one keyed aggregate.
-    slots: the state of each slot, and its releases with their fee. history: EXITING events.
+    slots: the state of each slot as events arrive, and its releases with their fee. slots_in_order: the same once the
+    watermark has passed, in event order, and beside it the late events. records: runs of offsets, which show gaps. history: EXITING events.
     visits: each stay of a vehicle, and beside them its late events. windows: fees per 30 seconds.
     quarantine: events that are booked nowhere, with their fault.
     """
@@ -57,6 +62,8 @@ def start_jobs(
     plan = {
         "fees": (pipelines.lifetime_totals(records, settings), sinks.fan_out_sink(f"{root}/fees", settings, versions), "update"),
         "slots": (state.slot_states(events, settings), sinks.table_sink(f"{root}/slots"), "update"),
+        "slots_in_order": (ordered_state.slots_in_order(events, settings), sinks.slot_sink(f"{root}/slots_in_order"), "update"),
+        "records": (records.select("partition", "offset"), sinks.table_sink(f"{root}/records", islands), "append"),
         "history": (events, sinks.history_sink(f"{root}/history"), "append"),
         "visits": (state.visit_states(events), sinks.visit_sink(f"{root}/visits"), "update"),
         "windows": (pipelines.windowed_fees(records, settings), sinks.table_sink(f"{root}/windows"), "update"),
@@ -149,6 +156,28 @@ class Lot:
         rows = tables.read_all(self.spark, f"{self.root}/visits", VISIT_ROWS)
         return with_fees(tables.latest_per_key(rows, ["license_plate", "visit_no"]), self.settings.price_per_10min)
 
+    def unpaid(self) -> DataFrame:
+        """Stays that no payment names by plate, slot and entry time, so that a vehicle that paid and came back is here again."""
+        stays = self.visits().withColumnRenamed("last_location", "location")
+        return checkout.unpaid_stays(stays, self.stay_ledger())
+
+    def stay_ledger(self) -> DataFrame:
+        """Payments stay by stay."""
+        return checkout.ledger_latest(tables.read_all(self.spark, f"{self.root}/stay_ledger", _STAY_ENTRY), per_stay=True)
+
+    def settled_slots(self) -> DataFrame:
+        """The state of each slot after all events up to the watermark, in event order."""
+        rows = tables.read_all(self.spark, f"{self.root}/slots_in_order", SLOT_ROWS)
+        return tables.latest_per_key(rows, ["location"], "seq").where(F.col("status") != "EXITING").drop("seq")
+
+    def late_at_slots(self) -> DataFrame:
+        """Events that came after the watermark had passed them; they changed no slot."""
+        return tables.read_all(self.spark, f"{self.root}/slots_in_order_late", LATE_EVENTS).drop("batch_id")
+
+    def record_gaps(self) -> DataFrame:
+        """Offsets that never came from the topic."""
+        return sinks.record_gaps(self.spark, f"{self.root}/records")
+
     def late_events(self) -> DataFrame:
         """Events that came after the visit they belong to was closed."""
         schema = "license_plate string, status_code string, timestamp_unix long, location string"
@@ -165,26 +194,36 @@ class Lot:
         return tables.read_all(self.spark, f"{self.root}/history", HISTORY).select(*HISTORY.fieldNames())
 
     def settle(self, requests: DataFrame) -> DataFrame:
-        """Answers payment requests in bulk, and books the ones that succeed.
+        """Answers payment requests in bulk by (plate, slot), and books the ones that succeed.
 
         Outcomes are written first and payments derived from what was written, so both agree; a stop
         between the two is made good by the next call, which books the last outcomes first. One caller
         at a time: each call is one batch of the ledger.
         """
-        last = tables.last_commit(self.spark, f"{self.root}/outcomes")
+        return self._settled(lambda: checkout.checkout_requests(requests, self.status()), "outcomes", "ledger", _OUTCOME)
+
+    def settle_stays(self, requests: DataFrame) -> DataFrame:
+        """The same stay by stay; a request is for the stay under way at ``requested_unix``, now unless the requests bring one."""
+        now = F.unix_timestamp(F.current_timestamp())
+        asked = requests if "requested_unix" in requests.columns else requests.withColumn("requested_unix", now)
+        answers = lambda: checkout.stay_requests(asked, self.visits(), self.stay_ledger())
+        return self._settled(answers, "stay_outcomes", "stay_ledger", _STAY_OUTCOME)
+
+    def _settled(self, answers: Callable[[], DataFrame], outcomes: str, ledger: str, schema: T.StructType) -> DataFrame:
+        last = tables.last_commit(self.spark, f"{self.root}/{outcomes}")
         batch = 0 if last is None else last + 1
-        booked = tables.last_commit(self.spark, f"{self.root}/ledger")
+        booked = tables.last_commit(self.spark, f"{self.root}/{ledger}")
         if last is not None and (booked is None or booked < last):
-            self._book(last)
-        tables.write_batch(checkout.checkout_requests(requests, self.status()), batch, f"{self.root}/outcomes")
-        return self._book(batch)
+            self._book(last, outcomes, ledger, schema)
+        tables.write_batch(answers(), batch, f"{self.root}/{outcomes}")
+        return self._book(batch, outcomes, ledger, schema)
 
-    def _book(self, batch: int) -> DataFrame:
+    def _book(self, batch: int, outcomes: str, ledger: str, schema: T.StructType) -> DataFrame:
         """Write the payments of the last outcomes to the ledger."""
-        outcomes = tables.read_latest(self.spark, f"{self.root}/outcomes", _OUTCOME)
+        answered = tables.read_latest(self.spark, f"{self.root}/{outcomes}", schema)
         now = F.date_format(F.current_timestamp(), TIMESTAMP_PATTERN)
-        tables.write_batch(checkout.payments_of(outcomes, now), batch, f"{self.root}/ledger")
-        return outcomes
+        tables.write_batch(checkout.payments_of(answered, now), batch, f"{self.root}/{ledger}")
+        return answered
 
 
 def main(root: str) -> None:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lotflow.operators import checkout, lifetime, pricing, quality, slot_state, slots, transitions, views, visits
+from lotflow.operators import checkout, lifetime, pricing, quality, records, slot_state, slots, transitions, views, visits
 from lotflow.schemas import EVENT_JSON, TIMESTAMP_PATTERN
 from lotflow.settings import Settings
 from lotflow.sources import config, ledger
@@ -258,6 +258,40 @@ def checkout_requests(spark, sf):
     return checkout.checkout_requests(requests, _view(spark, sf))
 
 
+def checkout_repeats(spark, sf):
+    """The same with ids that two requests share or that are missing, and every request sent twice."""
+    events = table_events(spark, sf)
+    requests = events.select(
+        F.when(F.col("event_id") % 11 != 0, F.expr("event_id div 2")).alias("request_id"), "license_plate", "location"
+    )
+    return checkout.checkout_requests(requests.unionAll(requests), _view(spark, sf))
+
+
+def checkout_stays(spark, sf):
+    """Every event asks to pay, when it happens, for the stay of its vehicle; stays over by a day are paid already."""
+    stays = visits.visit_fees(table_events(spark, sf), SETTINGS)
+    paid = visits.visit_fees(table_events(spark, sf, LEDGER_CLOSED), SETTINGS).where("closed")
+    paid = paid.select("license_plate", F.col("last_location").alias("location"), "entry_time")
+    requests = table_events(spark, sf).select(
+        F.col("event_id").alias("request_id"),
+        F.lower("license_plate").alias("license_plate"),
+        "location",
+        F.when(F.col("event_id") % 7 != 0, F.col("timestamp_unix")).alias("requested_unix"),
+    )
+    return checkout.stay_requests(requests, stays, paid)
+
+
+def torn_records(records: DataFrame) -> DataFrame:
+    """Records over four partitions, with ranges of offsets taken out."""
+    kept = records.where("offset div 97 % 5 <> 0")
+    return kept.select((F.col("offset") % 4).cast("int").alias("partition"), F.expr("offset div 4").alias("offset"))
+
+
+def record_gaps(spark, sf):
+    """Ranges of offsets that never came."""
+    return records.gaps(records.islands(torn_records(to_record(table_events(spark, sf)))))
+
+
 def checkout_history(spark, sf):
     return checkout.checkout_history(table_events(spark, sf))
 
@@ -303,6 +337,9 @@ BATCH: dict[str, Query] = {
     "ledger_upsert": ledger_upsert,
     "ledger_per_stay": ledger_per_stay,
     "unpaid_stays": unpaid_stays,
+    "checkout_repeats": checkout_repeats,
+    "checkout_stays": checkout_stays,
+    "record_gaps": record_gaps,
     "checkout_requests": checkout_requests,
     "checkout_history": checkout_history,
 }

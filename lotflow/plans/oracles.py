@@ -6,6 +6,7 @@ from lotflow.plans.catalogue import AS_OF, LEDGER_CLOSED, VIP_LISTED
 
 PRICE, VIP_PRICE = 5000, 8000
 BILLABLE = "status_code IN ('PARKED', 'MOVING', 'EXITING')"
+CUT_1, CUT_2 = "2024-01-11 00:00:00", "2024-01-21 00:00:00"
 KNOWN = "status_code IN ('ENTERING', 'PARKED', 'MOVING', 'EXITING')"
 ORDER = "timestamp_unix, status_rank, event_id"
 ORDER_DESC = "timestamp_unix DESC, status_rank DESC, event_id DESC"
@@ -314,6 +315,53 @@ WHERE closed AND (license_plate, last_location, entry_time) NOT IN
   (SELECT (license_plate, last_location, entry_time) FROM paid WHERE closed)"""
 
 
+ORACLES["checkout_repeats"] = _with(VIEW) + """SELECT r.request_id, r.license_plate, r.location,
+  CASE WHEN r.request_id IS NULL THEN 'missing_field' WHEN v.location IS NULL THEN 'not_found'
+       WHEN v.current_status <> 'EXITING' THEN 'not_exiting' WHEN r.n > 1 THEN 'not_found' ELSE 'success' END AS outcome,
+  CASE WHEN r.request_id IS NOT NULL AND (v.current_status <> 'EXITING' OR r.n = 1) THEN v.current_status END AS current_status,
+  CASE WHEN r.request_id IS NOT NULL AND v.current_status = 'EXITING' AND r.n = 1 THEN v.total_fee END AS total_fee,
+  CASE WHEN r.request_id IS NOT NULL AND v.current_status = 'EXITING' AND r.n = 1 THEN v.parked_minutes END AS parked_minutes
+FROM (SELECT *, row_number() OVER (PARTITION BY license_plate, location ORDER BY request_id NULLS LAST) AS n
+      FROM (SELECT CASE WHEN event_id % 11 <> 0 THEN event_id // 2 END AS request_id, license_plate, location
+            FROM feed, (VALUES (1), (2)) twice(copy))) r
+LEFT JOIN view_rows v ON r.license_plate = v.license_plate AND r.location = v.location"""
+ORACLES["checkout_stays"] = _with(_visits(), _visits("paid", f"ts < TIMESTAMP '{LEDGER_CLOSED}'")) + """
+SELECT request_id, license_plate, location, outcome, CASE WHEN outcome = 'success' THEN entry_time END AS entry_time,
+  CASE WHEN outcome = 'success' THEN total_fee END AS total_fee,
+  CASE WHEN outcome = 'success' THEN parked_minutes END AS parked_minutes
+FROM (SELECT *, CASE WHEN asked IS NULL THEN 'missing_field' WHEN entry_time IS NULL OR is_paid OR (is_over AND turn > 1) THEN 'not_found'
+                     WHEN NOT is_over THEN 'not_exiting' ELSE 'success' END AS outcome
+      FROM (SELECT *, row_number() OVER (PARTITION BY license_plate, location, entry_time, is_over, asked IS NULL ORDER BY asked, request_id) AS turn
+            FROM (SELECT r.*, s.entry_time, s.total_fee, s.parked_minutes, coalesce(s.exit_time <= r.asked, FALSE) AS is_over,
+                         (r.license_plate, r.location, s.entry_time) IN (SELECT (license_plate, last_location, entry_time) FROM paid WHERE closed) AS is_paid
+                  FROM (SELECT event_id AS request_id, license_plate, location, CASE WHEN event_id % 7 <> 0 THEN timestamp_unix END AS asked FROM feed) r
+                  ASOF LEFT JOIN visits s ON r.license_plate = s.license_plate AND r.location = s.last_location AND r.asked >= s.entry_time)))"""
+ORACLES["record_gaps"] = """
+SELECT partition, reached + 1 AS first_missing, place - 1 AS last_missing, place - 1 - reached AS missing
+FROM (SELECT partition, place, lag(place) OVER (PARTITION BY partition ORDER BY place) AS reached
+      FROM (SELECT DISTINCT CAST(event_id % 4 AS INT) AS partition, event_id // 4 AS place FROM events WHERE event_id // 97 % 5 <> 0))
+WHERE place > reached + 1"""
+ORACLES["stream_record_gaps"] = ORACLES["record_gaps"]
+
+
+def _straggling(where: str) -> str:
+    """The feed whose every fifth event comes a part late, parted by the watermark of two minutes before each part."""
+    part = f"CASE WHEN ts < TIMESTAMP '{CUT_1}' THEN 0 WHEN ts < TIMESTAMP '{CUT_2}' THEN 1 ELSE 2 END"
+    return FEED.replace("feed AS (", "whole AS (") + f""",
+arrivals AS (SELECT *, least({part} + CASE WHEN event_id % 5 = 0 THEN 1 ELSE 0 END, 2) AS part FROM whole WHERE {where}),
+marks AS (SELECT p.part, max(timestamp_unix) FILTER (WHERE a.part < p.part) - 120 AS passed, max(timestamp_unix) - 120 AS at_end
+          FROM arrivals a, (SELECT DISTINCT part FROM arrivals) p GROUP BY p.part),
+parted AS (SELECT a.*, coalesce(timestamp_unix <= passed, FALSE) AS late, timestamp_unix <= at_end AS ripe
+           FROM arrivals a JOIN marks m ON a.part = m.part),
+feed AS (SELECT * FROM parted WHERE ripe AND NOT late)"""
+
+
+_SLOW = f"WITH {_straggling(KNOWN)}"
+ORACLES["stream_slots_in_order"] = f"{_SLOW}, {FSM} SELECT * FROM current_state"
+ORACLES["stream_slot_releases_in_order"] = f"{_SLOW}, {FSM} SELECT * EXCLUDE (from_end, event_id) FROM fsm WHERE status = 'EXITING'"
+ORACLES["stream_late_at_slots"] = f"{_SLOW} SELECT license_plate, status_code, timestamp_unix, location FROM parted WHERE late"
+ORACLES["stream_visits_in_order"] = f"WITH {_straggling(BILLABLE)}, {_visits()} SELECT {VISIT_COLUMNS} FROM visits"
+
 # streams give what their batch forms give
 ORACLES["snapshot_roundtrip"] = ORACLES["snapshot_all"]
 ORACLES["stream_snapshot"] = ORACLES["snapshot_all"]
@@ -329,7 +377,6 @@ ORACLES["stream_slot_releases"] = _with(FSM) + "SELECT * EXCLUDE (from_end, even
 ORACLES["stream_dedup"] = _with() + """
 SELECT DISTINCT "timestamp", license_plate, location, status_code, timestamp_unix FROM feed"""
 
-CUT_1, CUT_2 = "2024-01-11 00:00:00", "2024-01-21 00:00:00"
 ORACLES["stream_late_data"] = (
     _with(_totals("life", "ENTERING", f"ts >= TIMESTAMP '{CUT_1}'", "window_start, location, license_plate"))
     + "SELECT * EXCLUDE (exit_timestamp) FROM life"

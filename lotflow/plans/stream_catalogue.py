@@ -13,12 +13,13 @@ from pyspark.sql import types as T
 from lotflow.functions.columns import BILLABLE
 from lotflow.operators import lifetime, views, visits
 from lotflow.operators.quality import is_usable
-from lotflow.plans.catalogue import SETTINGS, Query, _fees
-from lotflow.schemas import CHECKOUT, HISTORY, QUARANTINE, SLOT_ROWS, SNAPSHOT, VISIT_ROWS, WINDOW_FEES
+from lotflow.operators.records import islands
+from lotflow.plans.catalogue import SETTINGS, Query, _fees, torn_records
+from lotflow.schemas import CHECKOUT, HISTORY, LATE_EVENTS, QUARANTINE, SLOT_ROWS, SNAPSHOT, VISIT_ROWS, WINDOW_FEES
 from lotflow.session import shared_dir, streaming_session
 from lotflow.sources.feed import file_records, parse_records, to_record
 from lotflow.sources.tables import as_sightings, noisy_records, raw_events
-from lotflow.streaming import pipelines, sinks, state, tables
+from lotflow.streaming import ordered_state, pipelines, sinks, state, tables
 
 # The parts of the feed: before the first cut, between the cuts, and the rest.
 CUTS = ("2024-01-11 00:00:00", "2024-01-21 00:00:00")
@@ -232,6 +233,67 @@ def stream_late_rows(spark, sf):
     return tables.read_all(spark, f"{path}_late", late).drop("batch_id")
 
 
+def _straggling(spark: SparkSession, sf: str) -> DataFrame:
+    """The feed with every fifth event a part late, as a stream of one part per micro-batch; made once per session."""
+    key = (spark.sparkContext.applicationId, sf, "straggling")
+    files = spark.sparkContext.defaultParallelism
+    if key not in _feeds:
+        path = shared_dir(spark, "straggling")
+        part = F.when(F.col("ts") < F.lit(CUTS[0]).cast("timestamp_ntz"), 0).when(F.col("ts") < F.lit(CUTS[1]).cast("timestamp_ntz"), 1).otherwise(2)
+        arrives = F.least(part + (F.col("event_id") % 5 == 0).cast("int"), F.lit(2))
+        for number in range(3):
+            rows = as_sightings(raw_events(spark, sf).where(arrives == number))
+            to_record(rows).repartition(files).write.mode("append").parquet(path)
+        _feeds[key] = path
+    return file_records(streaming_session(spark), _feeds[key], files)
+
+
+_ordered: dict[tuple, str] = {}
+
+
+def _slots_in_order(spark, sf) -> str:
+    """Folder of the slot states in event order and of the late events beside them; run once per session."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _ordered:
+        path = shared_dir(spark, "slots-in-order")
+        stream = ordered_state.slots_in_order(parse_records(_straggling(spark, sf)), SETTINGS)
+        _run(spark, "slots-in-order", stream, sinks.slot_sink(path), "update")
+        _ordered[key] = path
+    return _ordered[key]
+
+
+def stream_slots_in_order(spark, sf):
+    """The state of each slot when the watermark has passed, though every fifth event comes a part late."""
+    rows = tables.read_all(spark, _slots_in_order(spark, sf), SLOT_ROWS)
+    return tables.latest_per_key(rows, ["location"], "seq").where(F.col("status") != "EXITING").drop("seq")
+
+
+def stream_slot_releases_in_order(spark, sf):
+    rows = tables.read_all(spark, _slots_in_order(spark, sf), SLOT_ROWS)
+    return rows.where(F.col("status") == "EXITING").drop("seq", "batch_id")
+
+
+def stream_late_at_slots(spark, sf):
+    """Events that came after the watermark had passed them."""
+    return tables.read_all(spark, f"{_slots_in_order(spark, sf)}_late", LATE_EVENTS).drop("batch_id")
+
+
+def stream_visits_in_order(spark, sf):
+    path = shared_dir(spark, "visits-in-order")
+    stream = ordered_state.visits_in_order(parse_records(_straggling(spark, sf)), SETTINGS)
+    _run(spark, "visits-in-order", stream, sinks.visit_sink(path), "update")
+    rows = tables.latest_per_key(tables.read_all(spark, path, VISIT_ROWS), ["license_plate", "visit_no"])
+    return lifetime.with_fees(rows, SETTINGS.price_per_10min)
+
+
+def stream_record_gaps(spark, sf):
+    """Ranges of offsets that never came, from the runs of offsets of each batch."""
+    path = shared_dir(spark, "islands")
+    records = torn_records(_records(spark, sf))
+    _run(spark, "islands", records, sinks.table_sink(path, islands), "append")
+    return sinks.record_gaps(spark, path)
+
+
 def stream_quarantine(spark, sf):
     """Damaged records of the feed that are booked nowhere."""
     source, path = shared_dir(spark, "noisy"), shared_dir(spark, "quarantine")
@@ -265,6 +327,11 @@ STREAMS: dict[str, Query] = {
     "stream_visits": stream_visits,
     "stream_park_exit_pairs": stream_park_exit_pairs,
     "stream_late_rows": stream_late_rows,
+    "stream_slots_in_order": stream_slots_in_order,
+    "stream_slot_releases_in_order": stream_slot_releases_in_order,
+    "stream_late_at_slots": stream_late_at_slots,
+    "stream_visits_in_order": stream_visits_in_order,
+    "stream_record_gaps": stream_record_gaps,
     "stream_quarantine": stream_quarantine,
     "stream_history": stream_history,
 }

@@ -122,3 +122,16 @@ CONFIG = _struct(
     ("streaming", _struct(("processing_interval_seconds", _long), ("console_interval_seconds", _long))),
 )
 LEGACY_PRICE = _struct(("price_per_10min", _long))
+
+# Events that came too late to change anything.
+LATE_EVENTS = _struct(
+    ("license_plate", _text),
+    ("status_code", _text),
+    ("timestamp_unix", _long),
+    ("location", _text),
+)
+
+# Runs of offsets that came without a gap.
+ISLANDS = T.StructType(
+    [T.StructField("partition", T.IntegerType()), T.StructField("first_offset", _long), T.StructField("last_offset", _long)]
+)

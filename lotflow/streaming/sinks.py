@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -13,9 +13,11 @@ from lotflow.operators.checkout import checkout_history, checkout_records
 from lotflow.operators.lifetime import with_fees
 from lotflow.operators.pricing import price_asof
 from lotflow.operators.quality import malformed_events
+from lotflow.operators.records import gaps
 from lotflow.operators.views import active_vehicles, by_slot, snapshot
+from lotflow.schemas import ISLANDS, LATE_EVENTS
 from lotflow.settings import REALTIME_TABLE, Settings
-from lotflow.streaming.tables import write_batch
+from lotflow.streaming.tables import read_all, write_batch
 
 BatchWriter = Callable[[DataFrame, int], None]
 
@@ -86,9 +88,23 @@ def visit_sink(path: str) -> BatchWriter:
     return write
 
 
-def late_rows(rows: DataFrame) -> DataFrame:
-    names = {"license_plate": "license_plate", "current_status": "status_code", "last_update": "timestamp_unix", "last_location": "location"}
-    return rows.where("late").select(*[F.col(name).alias(as_name) for name, as_name in names.items()])
+_VISIT_NAMES = ("license_plate", "current_status", "last_update", "last_location")
+_SLOT_NAMES = ("license_plate", "status", "last_update_unix", "location")
+
+
+def late_rows(rows: DataFrame, names: tuple[str, ...] = _VISIT_NAMES) -> DataFrame:
+    return rows.where("late").select(*[F.col(name).alias(as_name) for name, as_name in zip(names, LATE_EVENTS.fieldNames())])
+
+
+def slot_sink(path: str) -> BatchWriter:
+    """Changed slot states, and beside them (``<path>_late``) the events that came too late."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        with kept(batch) as rows:
+            write_batch(rows.where("NOT late").drop("late"), batch_id, path)
+            write_batch(late_rows(rows, _SLOT_NAMES), batch_id, f"{path}_late")
+
+    return write
 
 
 def quarantine(events: DataFrame) -> DataFrame:
@@ -96,6 +112,11 @@ def quarantine(events: DataFrame) -> DataFrame:
     return malformed_events(events).where("set_aside").drop("set_aside")
 
 
+def record_gaps(spark: SparkSession, path: str) -> DataFrame:
+    """Offsets that no batch brought, from the islands of all batches (``table_sink(path, islands)``)."""
+    return gaps(read_all(spark, path, ISLANDS).drop("batch_id"))
+
+
 def history_sink(path: str) -> BatchWriter:
     """EXITING events by day; each task writes the days it holds, nothing is moved."""
 

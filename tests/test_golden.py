@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 import feeds
 from lotflow.functions.display import amount_text, duration_text, status_label
 from lotflow.functions.fees import fee_ceil_minutes, fee_floor_minutes
-from lotflow.operators import checkout, lifetime, pricing, quality, slot_state, slots, views, visits
+from lotflow.operators import checkout, lifetime, pricing, quality, records, slot_state, slots, views, visits
 from lotflow.settings import Settings, from_env
 from lotflow.sources import config
 from lotflow.sources.feed import parse_records
@@ -263,3 +263,19 @@ def test_equal_offsets_of_two_partitions(spark):
     parsed = parse_records(records)
     assert {r.event_id for r in parsed.collect()} == {7, (1 << 44) + 7}
     assert checkout.checkout_history(parsed).select("event_id").distinct().count() == 2
+
+
+def test_equal_and_nameless_requests_pay_once(spark):
+    view = spark.createDataFrame([("A1", "P1", "EXITING", "x", 10, 5000, 9)], "location string, license_plate string, current_status string, entry_timestamp string, parked_minutes long, total_fee long, last_update long")
+    asks = spark.createDataFrame([(1, "p1", "a1"), (1, "P1", "A1"), (None, "P1", "A1"), (None, "P1", "A1"), (2, "P1", "A1")], "request_id long, license_plate string, location string")
+    outcomes = checkout.checkout_requests(asks, view).collect()
+    assert sorted((str(r.request_id), r.outcome) for r in outcomes) == [("1", "not_found"), ("1", "success"), ("2", "not_found"), ("None", "missing_field"), ("None", "missing_field")]
+
+
+def test_gaps_between_islands(spark):
+    rows = [(0, n) for n in (5, 6, 7, 7, 10, 11, 20)] + [(1, records.BLOCK - 1), (1, records.BLOCK), (1, 3 * records.BLOCK), (1, None), (None, 4)]
+    offsets = spark.createDataFrame(rows, "partition int, offset long")
+    found = sorted(tuple(r) for r in records.gaps(records.islands(offsets)).collect())
+    assert found == [(0, 8, 9, 2), (0, 12, 19, 8), (1, records.BLOCK + 1, 3 * records.BLOCK - 1, 2 * records.BLOCK - 1)]
+    halves = records.islands(offsets.where("offset % 2 = 0")).unionAll(records.islands(offsets.where("offset % 2 = 1")))
+    assert sorted(tuple(r) for r in records.gaps(halves).collect()) == found

@@ -46,3 +46,32 @@ def test_feed_to_payment(spark):
     assert [r.location for r in lot.status().collect()] == ["A1"]
     assert {r.request_id: r.outcome for r in lot.settle(asks).collect()} == {1: "not_found", 2: "not_exiting"}
     assert lot.ledger().count() == 1
+
+
+def test_a_vehicle_that_paid_and_came_back(spark):
+    """It is shown again, and charged again for its second stay alone."""
+    plate, root = "29A-12345", shared_dir(spark, "stay-root")
+    source = shared_dir(spark, "stay-feed")
+    clock = feeds.clock
+
+    def come(first, *steps):
+        rows = [feeds.row(first + n, clock(at), plate, "A1", status) for n, (at, status) in enumerate(steps)]
+        to_record(feeds.events(spark, rows)).coalesce(1).write.mode("append").parquet(source)
+        for query in start_jobs(file_records(streaming_session(spark, 2), source), root, once=True):
+            query.awaitTermination()
+
+    def asked(*times):
+        rows = [(n, plate.lower(), "a1", clock(at)) for n, at in enumerate(times)]
+        return spark.createDataFrame(rows, "request_id long, license_plate string, location string, requested_unix long")
+
+    lot = Lot(spark, root)
+    come(0, ("00:10", "PARKED"), ("00:40", "EXITING"))
+    answers = {r.request_id: (r.outcome, r.total_fee) for r in lot.settle_stays(asked("00:05", "00:20", "00:45", "00:50")).collect()}
+    assert answers == {0: ("not_found", None), 1: ("not_exiting", None), 2: ("success", 15000), 3: ("not_found", None)}
+    assert lot.unpaid().count() == 0
+    come(10, ("06:00", "PARKED"), ("06:10", "EXITING"))
+    assert [(r.entry_time, r.total_fee) for r in lot.unpaid().collect()] == [(clock("06:00"), 5000)]
+    answers = [(r.outcome, r.total_fee) for r in lot.settle_stays(asked("00:50", "06:15")).orderBy("request_id").collect()]
+    assert answers == [("not_found", None), ("success", 5000)]
+    assert lot.unpaid().count() == 0 and lot.stay_ledger().count() == 2
+    assert lot.record_gaps().select("first_missing", "last_missing").collect() == [(2, 9)]
