@@ -23,8 +23,8 @@ from lotflow.llm.texts import checkpointed
 MIN_WORDS, MAX_REPEATED_PCT = 50, 50
 #: Share of a group that the concentration keeps, most steps, and rows' worth of the wider group's estimate.
 KEPT_SHARE, STEPS, LEAN = 0.5, 20, 100
-#: Rows of a partition during the concentration; a row of statistics takes less than 100 bytes.
-ROWS_TOGETHER = 1_000_000
+#: Rows of a partition during the concentration, of vectors and of groups' estimates; a row takes some 100 or 400 bytes.
+ROWS_TOGETHER, GROUPS_TOGETHER = 1_000_000, 50_000
 #: Quantiles at which the concentration starts, and the move of a mean, in least deviations, below which it has settled.
 STARTS, SETTLED = (0.5, 0.25, 0.75), 0.01
 #: 0.999 quantile of chi-squared with four degrees of freedom, its median, and the 0.975 quantile up to which rows are taken anew.
@@ -181,33 +181,39 @@ def _moved(before: DataFrame, after: DataFrame) -> float:
     return old.join(new, _KEYS).agg(F.max(far).alias("far")).head()["far"] or 0.0
 
 
-def _stretched(estimate: DataFrame, near: DataFrame) -> DataFrame:
+def _together(groups: DataFrame, parts: int) -> DataFrame:
+    """A table of groups kept in a few files; else each of its uses would write a file for each shuffle partition."""
+    return checkpointed(groups.repartition(parts))
+
+
+def _stretched(estimate: DataFrame, near: DataFrame, parts: int) -> DataFrame:
     """Centres and factors with the scatter stretched until the median distance of the rows is that of chi-squared, if it is below."""
     middle = near.groupBy(*_GROUP).agg(F.percentile_approx("distance", 0.5).alias("middle"))
-    return checkpointed(_factored(estimate.join(middle, _GROUP), F.greatest(F.col("middle") / CHI2_MEDIAN, F.lit(1.0))))
+    return _together(_factored(estimate.join(middle, _GROUP), F.greatest(F.col("middle") / CHI2_MEDIAN, F.lit(1.0))), parts)
 
 
 def robust_estimates(rows: DataFrame, steps: int = STEPS) -> DataFrame:
     """Centre and scatter's factor per language and source of rows with g_lang, g_source and x0 to x3."""
-    groups, before = checkpointed(_factored(_start(rows))), None
+    parts = rows.select(*_GROUP).distinct().count() * len(STARTS) // GROUPS_TOGETHER + 1
+    groups, before = _together(_factored(_start(rows)), parts), None
     for _ in range(steps):
         near = _with_distance(rows, groups)
         bounds = near.groupBy(*_KEYS).agg(F.percentile_approx("distance", KEPT_SHARE).alias("bound"))
-        moments = checkpointed(_moments(near.join(bounds, _KEYS).where("distance <= bound"), *_KEYS))
-        estimate = checkpointed(_leaning(moments))
+        moments = _together(_moments(near.join(bounds, _KEYS).where("distance <= bound"), *_KEYS), parts)
+        estimate = _together(_leaning(moments), parts)
         groups = _factored(estimate)
         if before is not None and _moved(before, moments) < SETTLED:
             break
         before = moments
     size = sum((F.log(f"l{i}{i}") for i in DIMS), F.lit(0.0))
     best = groups.groupBy(*_GROUP).agg(F.min(F.struct(size.alias("size"), "g_start"))["g_start"].alias("g_start"))
-    estimate = checkpointed(estimate.join(best, _KEYS).drop("g_start"))
+    estimate = _together(estimate.join(best, _KEYS).drop("g_start"), parts)
     # the nearest half spreads less than all rows
-    groups = _stretched(estimate, _with_distance(rows, _factored(estimate)))
+    groups = _stretched(estimate, _with_distance(rows, _factored(estimate)), parts)
     inside = _with_distance(rows, groups).where(F.col("distance") <= NEAR).drop("distance")
-    moments = checkpointed(_moments(inside.withColumn("g_start", F.lit(0)), *_KEYS))
-    estimate = checkpointed(_leaning(moments).drop("g_start"))
-    return _stretched(estimate, _with_distance(inside, _factored(estimate)))
+    moments = _together(_moments(inside.withColumn("g_start", F.lit(0)), *_KEYS), parts)
+    estimate = _together(_leaning(moments).drop("g_start"), parts)
+    return _stretched(estimate, _with_distance(inside, _factored(estimate)), parts)
 
 
 def _gathered(rows: DataFrame) -> DataFrame:
