@@ -13,12 +13,10 @@ are no letters. Rows come out one for one, repeated rows alike; other columns ar
 from __future__ import annotations
 
 import re
-import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -34,7 +32,7 @@ _WORDS = re.compile(r"[^\W\d_]+")
 #: Longer words are scored with logarithms, so that no product underflows.
 LONG_WORD = 40
 #: Texts scored at a time, bytes of the scores of words that a worker keeps, and words scored at a time.
-SLICE, KEPT_BYTES, WORDS_AT_ONCE = 256, 1 << 24, 8192
+SLICE, KEPT_BYTES, WORDS_AT_ONCE = 256, 1 << 22, 8192
 _MARK = "▁"
 
 
@@ -172,8 +170,6 @@ class LanguageModel:
     pieces: list[str]
     probability: np.ndarray
     log_share: np.ndarray
-    #: Set by ``train``, so that a worker can tell models apart.
-    name: str = ""
     logs: np.ndarray | None = field(default=None, repr=False)
 
     def word_scores(self, words: list[str], matcher: Matcher) -> np.ndarray:
@@ -236,9 +232,8 @@ def fit(words: list[str], counts: list[int], matcher: Matcher, n_pieces: int, ro
     return own[:, 0]
 
 
-#: What a worker keeps between tasks: the matcher of a vocabulary, and one model's word scores.
+#: What a worker keeps between tasks: the matcher of a vocabulary. Word scores end with their task, for a worker serves other stages too.
 _MATCHERS: dict[int, Matcher] = {}
-_SCORERS: dict[str, Scorer] = {}
 
 
 def _matcher(pieces: list[str]) -> Matcher:
@@ -266,20 +261,20 @@ def train(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", l
     counted = words.groupBy("lang", "word").count()
     sent = spark.sparkContext.broadcast(pieces)
 
-    def learned(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values("word")
-        own = fit(group["word"].tolist(), group["count"].tolist(), _matcher(sent.value), len(sent.value))
-        return pd.DataFrame({"lang": group["lang"].iloc[:1].tolist(), "probability": [own.tobytes()]})
+    def learned(group: pa.Table) -> pa.Table:
+        group = group.sort_by("word")
+        own = fit(group["word"].to_pylist(), group["count"].to_pylist(), _matcher(sent.value), len(sent.value))
+        return pa.table({"lang": group["lang"][:1], "probability": pa.array([own.tobytes()], pa.binary())})
 
     ship(spark)
-    found = {row["lang"]: np.frombuffer(row["probability"]) for row in counted.groupBy("lang").applyInPandas(learned, "lang string, probability binary").toLocalIterator()}
+    found = {row["lang"]: np.frombuffer(row["probability"]) for row in counted.groupBy("lang").applyInArrow(learned, "lang string, probability binary").toLocalIterator()}
     languages = sorted(shares)
     probability = np.full((len(pieces), len(languages)), 1.0 / max(len(pieces), 1))
     for column, language in enumerate(languages):
         if language in found:
             probability[:, column] = found[language]
     share = np.array([shares[language] for language in languages], dtype=float)
-    return LanguageModel(languages, pieces, probability, np.log(share / share.sum()) if len(share) else share, uuid.uuid4().hex)
+    return LanguageModel(languages, pieces, probability, np.log(share / share.sum()) if len(share) else share)
 
 
 class Scorer:
@@ -332,11 +327,7 @@ def _predicted(rows: DataFrame, place: int, model: LanguageModel, kept: int, pre
     schema = ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in fields)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = sent.value
-        if model.name not in _SCORERS:
-            _SCORERS.clear()
-            _SCORERS[model.name] = Scorer(model)
-        scorer = _SCORERS[model.name]
+        scorer = Scorer(sent.value)
         for batch in batches:
             for begin in range(0, batch.num_rows, SLICE):
                 part = batch.slice(begin, SLICE)
