@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,6 +14,8 @@ from lotflow.session import shared_dir
 
 #: Least probability of the predicted language.
 SURE_LANGUAGE = 0.5
+#: Rows that pass to a Python worker at a time: whole texts, so a batch of the usual 10,000 takes tens of megabytes on both sides.
+BATCH_ROWS = 1000
 
 
 def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -41,12 +46,21 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return bpe_codec.bpe_digests(docs)
 
 
+def _in_small_batches(stage: Callable) -> Callable:
+    @wraps(stage)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+        return stage(spark, docs, sf_dir)
+
+    return run_stage
+
+
 STAGES = [
-    ("language", keep_known_languages),
-    ("near_copies", keep_one_of_each),
-    ("leaks", drop_leaks),
-    ("personal_data", hide_personal_data),
-    ("encode", encode),
+    ("language", _in_small_batches(keep_known_languages)),
+    ("near_copies", _in_small_batches(keep_one_of_each)),
+    ("leaks", _in_small_batches(drop_leaks)),
+    ("personal_data", _in_small_batches(hide_personal_data)),
+    ("encode", _in_small_batches(encode)),
 ]
 
 #: Models and trained vocabularies are beyond SQL; tests hold the stages against plain versions.
