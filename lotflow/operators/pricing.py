@@ -14,6 +14,7 @@ from lotflow.functions.fees import (
     started_minutes,
     whole_minutes,
 )
+from lotflow.schemas import CONFIG
 from lotflow.settings import Settings
 
 # Pieces in which seconds are put in order: a day, then a thousand days.
@@ -81,6 +82,36 @@ def _with_earlier(marks: DataFrame, steps: tuple[int, ...]) -> DataFrame:
     return near.join(opening, "piece").select("at", "version", F.coalesce("near", "opening").alias("earlier"))
 
 
+def price_history(documents: DataFrame) -> DataFrame:
+    """Rows (price, valid_from, valid_until) from configuration documents (value), by the time each was updated at.
+
+    Documents that leave the price as it was open no interval; the last interval has no end. Of documents of one second
+    the greatest price holds. A document that does not parse, or lacks the price or its time, has no part.
+    """
+    parsed = documents.select(F.from_json("value", CONFIG)["price"].alias("set"))
+    dated = parsed.select(
+        F.unix_timestamp(F.try_to_timestamp("set.updated_at")).alias("at"), F.col("set.price_per_10min").alias("price")
+    )
+    marks = dated.where(F.col("at").isNotNull()).groupBy("at").agg(F.max("price").alias("price"))
+    versions = marks.where(F.col("price").isNotNull()).select("at", F.struct("price").alias("version"))
+    before = F.col("earlier.price")
+    changes = _with_earlier(versions, _STEPS).where(before.isNull() | (before != F.col("version.price")))
+    # against the clock, the version before a change is the one after it
+    backwards = changes.select((-F.col("at")).alias("at"), F.struct("at", F.col("version.price").alias("price")).alias("version"))
+    return _with_earlier(backwards, _STEPS).select(
+        "version.price", F.col("version.at").alias("valid_from"), F.col("earlier.at").alias("valid_until")
+    )
+
+
+def config_price_fees(fees: DataFrame, documents: DataFrame, settings: Settings = Settings()) -> DataFrame:
+    """Fees at the configured price in force when the vehicle was last seen; before the first document the set price."""
+    priced = price_asof(fees.where(F.col("entry_time").isNotNull()), price_history(documents), "last_update")
+    price = F.coalesce("price_per_block", F.lit(settings.price_per_10min).cast("long"))
+    return priced.select(
+        "location", "license_plate", "last_update", "fee_blocks", price.alias("price_per_block"), (F.col("fee_blocks") * price).alias("total_fee")
+    )
+
+
 def price_asof_fees(fees: DataFrame, versions: DataFrame) -> DataFrame:
     """Fees at the price in force when the vehicle was last seen."""
     priced = price_asof(fees.where(F.col("entry_time").isNotNull()), versions, "last_update")

@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lotflow.operators import checkout, lifetime, pricing, quality, records, slot_state, slots, transitions, views, visits
+from lotflow.functions.columns import div, floor_of
+from lotflow.operators import checkout, lifetime, pricing, quality, records, sketches, slot_state, slots, transitions, views, visits
 from lotflow.schemas import EVENT_JSON, TIMESTAMP_PATTERN
 from lotflow.settings import Settings
 from lotflow.sources import config, ledger
@@ -203,6 +204,54 @@ def price_asof_fees(spark, sf):
     return pricing.price_asof_fees(_fees(spark, sf), _versions(spark, sf))
 
 
+def _documents(spark: SparkSession, sf: str) -> DataFrame:
+    """A configuration document per PARKED event; most leave the price as it was, some lack it or its time."""
+    number = F.col("event_id")
+    price = F.struct(
+        F.when(number % 7 != 0, 4000 + div("timestamp_unix", 200_000) % 3 * 500).alias("price_per_10min"),
+        F.when(number % 11 != 0, F.col("timestamp")).alias("updated_at"),
+    )
+    return table_events(spark, sf).where("status_code = 'PARKED'").select(F.to_json(F.struct(price.alias("price"))).alias("value"))
+
+
+def price_history(spark, sf):
+    return pricing.price_history(_documents(spark, sf))
+
+
+def config_price_fees(spark, sf):
+    return pricing.config_price_fees(_fees(spark, sf), _documents(spark, sf), SETTINGS)
+
+
+def exact_plates(spark: SparkSession, sf: str, estimated: DataFrame) -> DataFrame:
+    """Distinct plates of each floor, and whether the estimate (floor, plates) is within its error."""
+    rows = quality.valid_events(table_events(spark, sf)).where(F.col("license_plate").isNotNull())
+    exact = rows.groupBy(floor_of("location").alias("floor")).agg(F.countDistinct("license_plate").alias("exact"))
+    close = F.abs(F.col("plates") - F.col("exact")) <= F.greatest(F.lit(1.0), sketches.PLATE_ERROR * F.col("exact"))
+    joined = exact.join(estimated, "floor", "left")
+    return joined.select("floor", F.col("exact").alias("plates"), F.coalesce(close, F.lit(False)).alias("within_error"))
+
+
+def plate_sketches(spark, sf):
+    """Floors from sketches of slots and days."""
+    found = sketches.plate_sketches(table_events(spark, sf))
+    return exact_plates(spark, sf, sketches.distinct_plates(found, floor_of("location").alias("floor")))
+
+
+def dwell_quantiles(spark, sf):
+    """Medians and 95th percentiles from sketches of days, and whether the exact ranks of the answers fit."""
+    spells = transitions.status_spells(table_events(spark, sf)).where(F.col("dwell_seconds").isNotNull())
+    found = sketches.dwell_quantiles(sketches.dwell_sketches(spells))
+    seconds = F.col("dwell_seconds")
+    ranks = spells.join(F.broadcast(found), "status_code").groupBy("status_code", "level").agg(
+        F.count(F.lit(1)).alias("spells"),
+        F.count(F.when(seconds < F.col("seconds"), 1)).alias("below"),
+        F.count(F.when(seconds <= F.col("seconds"), 1)).alias("reached"),
+    )
+    slack, wanted = sketches.RANK_ERROR * F.col("spells") + 1, F.col("level") * F.col("spells")
+    fits = (F.col("below") <= wanted + slack) & (F.col("reached") >= wanted - slack)
+    return ranks.select("status_code", "level", "spells", fits.alias("within_bounds"))
+
+
 def layered_config(spark, sf):
     """Lifetime fees under the price of each depth of layering."""
     text = lambda value: spark.range(1).select(F.lit(value).alias("value"))
@@ -332,6 +381,10 @@ BATCH: dict[str, Query] = {
     "live_state": live_state,
     "vip_tier_fees": vip_tier_fees,
     "price_asof_fees": price_asof_fees,
+    "price_history": price_history,
+    "config_price_fees": config_price_fees,
+    "plate_sketches": plate_sketches,
+    "dwell_quantiles": dwell_quantiles,
     "layered_config": layered_config,
     "ledger_rows": ledger_rows,
     "ledger_upsert": ledger_upsert,

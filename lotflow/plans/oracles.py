@@ -344,16 +344,16 @@ WHERE place > reached + 1"""
 ORACLES["stream_record_gaps"] = ORACLES["record_gaps"]
 
 
-def _straggling(where: str) -> str:
+def _straggling(where: str, until: str = "timestamp_unix", kept: str = "ripe AND NOT late") -> str:
     """The feed whose every fifth event comes a part late, parted by the watermark of two minutes before each part."""
     part = f"CASE WHEN ts < TIMESTAMP '{CUT_1}' THEN 0 WHEN ts < TIMESTAMP '{CUT_2}' THEN 1 ELSE 2 END"
     return FEED.replace("feed AS (", "whole AS (") + f""",
 arrivals AS (SELECT *, least({part} + CASE WHEN event_id % 5 = 0 THEN 1 ELSE 0 END, 2) AS part FROM whole WHERE {where}),
 marks AS (SELECT p.part, max(timestamp_unix) FILTER (WHERE a.part < p.part) - 120 AS passed, max(timestamp_unix) - 120 AS at_end
           FROM arrivals a, (SELECT DISTINCT part FROM arrivals) p GROUP BY p.part),
-parted AS (SELECT a.*, coalesce(timestamp_unix <= passed, FALSE) AS late, timestamp_unix <= at_end AS ripe
+parted AS (SELECT a.*, coalesce({until} <= passed, FALSE) AS late, timestamp_unix <= at_end AS ripe
            FROM arrivals a JOIN marks m ON a.part = m.part),
-feed AS (SELECT * FROM parted WHERE ripe AND NOT late)"""
+feed AS (SELECT * FROM parted WHERE {kept})"""
 
 
 _SLOW = f"WITH {_straggling(KNOWN)}"
@@ -362,7 +362,35 @@ ORACLES["stream_slot_releases_in_order"] = f"{_SLOW}, {FSM} SELECT * EXCLUDE (fr
 ORACLES["stream_late_at_slots"] = f"{_SLOW} SELECT license_plate, status_code, timestamp_unix, location FROM parted WHERE late"
 ORACLES["stream_visits_in_order"] = f"WITH {_straggling(BILLABLE)}, {_visits()} SELECT {VISIT_COLUMNS} FROM visits"
 
+_WINDOWED = f"WITH {_straggling('TRUE', 'timestamp_unix // 30 * 30 + 30', 'NOT late')}"
+ORACLES["stream_windows_parted"] = (
+    f"{_WINDOWED}, {_totals('life', 'ENTERING', 'TRUE', 'window_start, location, license_plate')} SELECT * EXCLUDE (exit_timestamp) FROM life"
+)
+ORACLES["stream_late_in_windows"] = f"{_WINDOWED} SELECT license_plate, status_code, timestamp_unix, location FROM parted WHERE late"
+
+HISTORY = """
+changes AS (
+  SELECT * FROM (SELECT *, lag(price) OVER (ORDER BY set_at) AS before
+                 FROM (SELECT timestamp_unix AS set_at, max(4000 + timestamp_unix // 200000 % 3 * 500) AS price
+                       FROM feed WHERE status_code = 'PARKED' AND event_id % 7 <> 0 AND event_id % 11 <> 0 GROUP BY timestamp_unix))
+  WHERE before IS DISTINCT FROM price),
+history AS (SELECT price, set_at AS valid_from, lead(set_at) OVER (ORDER BY set_at) AS valid_until FROM changes)"""
+ORACLES["price_history"] = _with(HISTORY) + "SELECT * FROM history"
+ORACLES["config_price_fees"] = _with(LIFE, HISTORY) + f"""
+SELECT location, license_plate, last_update, fee_blocks, coalesce(price, {PRICE}) AS price_per_block, fee_blocks * coalesce(price, {PRICE}) AS total_fee
+FROM (SELECT * FROM life WHERE entry_time IS NOT NULL) l
+LEFT JOIN history h ON l.last_update >= h.valid_from AND (h.valid_until IS NULL OR l.last_update < h.valid_until)"""
+ORACLES["plate_sketches"] = _with() + """
+SELECT substr(location, 1, 1) AS floor, count(DISTINCT license_plate) AS plates, TRUE AS within_error FROM feed GROUP BY 1"""
+ORACLES["stream_plate_sketches"] = ORACLES["plate_sketches"]
+ORACLES["dwell_quantiles"] = _with(CHANGES) + f"""
+SELECT status_code, level, count(*) AS spells, TRUE AS within_bounds
+FROM (SELECT status_code, lead(timestamp_unix) OVER (PARTITION BY license_plate, location ORDER BY {ORDER}) AS next FROM changes),
+     (VALUES (CAST(0.5 AS DOUBLE)), (CAST(0.95 AS DOUBLE))) AS levels(level)
+WHERE next IS NOT NULL GROUP BY 1, 2"""
+
 # streams give what their batch forms give
+ORACLES["stream_stay_join"] = ORACLES["park_exit_pairs"]
 ORACLES["snapshot_roundtrip"] = ORACLES["snapshot_all"]
 ORACLES["stream_snapshot"] = ORACLES["snapshot_all"]
 ORACLES["stream_lifetime_complete"] = ORACLES["active_vehicles"]
@@ -397,6 +425,8 @@ SELECT batch_id, count(*) AS records, count(*) AS usable, count(*) FILTER (WHERE
 FROM (SELECT status_code, CAST(CASE WHEN ts < TIMESTAMP '{CUT_1}' THEN 0 WHEN ts < TIMESTAMP '{CUT_2}' THEN 1 ELSE 2 END
                                AS BIGINT) AS batch_id FROM feed) GROUP BY batch_id"""
 
+ORACLES["stream_observed"] = ORACLES["stream_metrics"]
+
 # (slot, vehicle) rows as they stand after each part of the feed
 _PARTS = ", ".join(
     _totals(name, "PARKED", f"{BILLABLE}{until}")

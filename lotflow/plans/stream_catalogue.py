@@ -10,16 +10,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lotflow.functions.columns import BILLABLE
-from lotflow.operators import lifetime, views, visits
+from lotflow.functions.columns import BILLABLE, floor_of
+from lotflow.operators import lifetime, sketches, views, visits
 from lotflow.operators.quality import is_usable
 from lotflow.operators.records import islands
-from lotflow.plans.catalogue import SETTINGS, Query, _fees, torn_records
-from lotflow.schemas import CHECKOUT, HISTORY, LATE_EVENTS, QUARANTINE, SLOT_ROWS, SNAPSHOT, VISIT_ROWS, WINDOW_FEES
+from lotflow.plans.catalogue import SETTINGS, Query, _fees, exact_plates, torn_records
+from lotflow.schemas import CHECKOUT, HISTORY, LATE_EVENTS, PLATE_SKETCHES, QUARANTINE, SLOT_ROWS, SNAPSHOT, VISIT_ROWS, WINDOW_FEES
 from lotflow.session import shared_dir, streaming_session
 from lotflow.sources.feed import file_records, parse_records, to_record
 from lotflow.sources.tables import as_sightings, noisy_records, raw_events
-from lotflow.streaming import ordered_state, pipelines, sinks, state, tables
+from lotflow.streaming import ordered_state, pairs, parted, pipelines, sinks, state, tables
 
 # The parts of the feed: before the first cut, between the cuts, and the rest.
 CUTS = ("2024-01-11 00:00:00", "2024-01-21 00:00:00")
@@ -122,6 +122,13 @@ def stream_fanout(spark, sf):
     return marked.select(*SNAPSHOT.fieldNames(), "checked_out")
 
 
+def _flagged(spark: SparkSession, sf: str) -> DataFrame:
+    events = parse_records(_records(spark, sf))
+    return events.select(
+        is_usable().alias("usable"), (is_usable() & F.col("status_code").isin(*BILLABLE)).alias("billable")
+    )
+
+
 def stream_metrics(spark, sf):
     """Records of each batch: all, usable, billable."""
     path = shared_dir(spark, "metrics")
@@ -134,11 +141,7 @@ def stream_metrics(spark, sf):
             is_in(F.col("billable")).alias("billable"),
         )
 
-    events = parse_records(_records(spark, sf))
-    flagged = events.select(
-        is_usable().alias("usable"), (is_usable() & F.col("status_code").isin(*BILLABLE)).alias("billable")
-    )
-    _run(spark, "metrics", flagged, sinks.table_sink(path, counts), "append")
+    _run(spark, "metrics", _flagged(spark, sf), sinks.table_sink(path, counts), "append")
     schema = T.StructType([T.StructField(name, T.LongType()) for name in ("records", "usable", "billable")])
     return tables.read_all(spark, path, schema)
 
@@ -294,6 +297,55 @@ def stream_record_gaps(spark, sf):
     return sinks.record_gaps(spark, path)
 
 
+_windows: dict[tuple, str] = {}
+
+
+def _parted_windows(spark, sf) -> str:
+    """Folder of the parts of windows, and beside it the late rows; run once per session."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _windows:
+        path = shared_dir(spark, "parted-windows")
+        _run(spark, "parted-windows", parse_records(_straggling(spark, sf)), parted.window_sink(path, SETTINGS), "append")
+        _windows[key] = path
+    return _windows[key]
+
+
+def stream_windows_parted(spark, sf):
+    """Fees per window from its parts, without what came after the clock had passed the window."""
+    return parted.read_windows(spark, _parted_windows(spark, sf), SETTINGS)
+
+
+def stream_late_in_windows(spark, sf):
+    """The rows that came too late for their window."""
+    return parted.read_late(spark, _parted_windows(spark, sf))
+
+
+def stream_stay_join(spark, sf):
+    """PARKED and EXITING as two streams, joined; the longest stay is as long as the feed."""
+    path, folder, session = shared_dir(spark, "stay-join"), feed(spark, sf), streaming_session(spark)
+    sides = [file_records(session, folder, spark.sparkContext.defaultParallelism) for _ in range(2)]
+    _run(spark, "stay-join", pairs.park_exit_stream(*sides, SETTINGS, "31 days"), pairs.pair_sink(path), "append")
+    return pairs.read_pairs(spark, path)
+
+
+def stream_plate_sketches(spark, sf):
+    """Floors from the sketches that each batch wrote."""
+    path = shared_dir(spark, "sketches")
+    events = parse_records(_records(spark, sf))
+    _run(spark, "sketches", events, sinks.table_sink(path, sketches.plate_sketches), "append")
+    found = tables.read_all(spark, path, PLATE_SKETCHES)
+    return exact_plates(spark, sf, sketches.distinct_plates(found, floor_of("location").alias("floor")))
+
+
+def stream_observed(spark, sf):
+    """The same counts as ``stream_metrics``, observed while another table is written."""
+    path = shared_dir(spark, "observed")
+    is_in = lambda name: F.count(F.when(F.col(name), 1)).alias(name)
+    flagged = _flagged(spark, sf).observe("counts", F.count(F.lit(1)).alias("records"), is_in("usable"), is_in("billable"))
+    query = sinks.run(flagged, sinks.table_sink(path), "append", shared_dir(spark, "checkpoint-observed"))
+    return sinks.observed(spark, query, "counts", ("records", "usable", "billable"))
+
+
 def stream_quarantine(spark, sf):
     """Damaged records of the feed that are booked nowhere."""
     source, path = shared_dir(spark, "noisy"), shared_dir(spark, "quarantine")
@@ -332,6 +384,11 @@ STREAMS: dict[str, Query] = {
     "stream_late_at_slots": stream_late_at_slots,
     "stream_visits_in_order": stream_visits_in_order,
     "stream_record_gaps": stream_record_gaps,
+    "stream_windows_parted": stream_windows_parted,
+    "stream_late_in_windows": stream_late_in_windows,
+    "stream_stay_join": stream_stay_join,
+    "stream_plate_sketches": stream_plate_sketches,
+    "stream_observed": stream_observed,
     "stream_quarantine": stream_quarantine,
     "stream_history": stream_history,
 }

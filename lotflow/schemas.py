@@ -135,3 +135,20 @@ LATE_EVENTS = _struct(
 ISLANDS = T.StructType(
     [T.StructField("partition", T.IntegerType()), T.StructField("first_offset", _long), T.StructField("last_offset", _long)]
 )
+
+# Parts of a window, which add up to it.
+WINDOW_PARTS = _struct(
+    ("window_start", _long),
+    ("location", _text),
+    ("license_plate", _text),
+    ("latest", _struct(("timestamp_unix", _long), ("status_rank", T.IntegerType()), ("status_code", _text))),
+    ("entry_time", _long),
+    ("entry_at", T.TimestampType()),
+)
+
+# A PARKED and an exit that follows it.
+_sighting = _struct(("timestamp_unix", _long), ("status_rank", T.IntegerType()), ("event_id", _long), ("location", _text))
+STAY_PAIRS = _struct(("license_plate", _text), ("parked", _sighting), ("exit", _sighting))
+
+# Sketches of the plates of a slot and day.
+PLATE_SKETCHES = _struct(("location", _text), ("day", _long), ("plates", T.BinaryType()))

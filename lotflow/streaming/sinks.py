@@ -172,6 +172,16 @@ def dropped_late_rows(query: StreamingQuery) -> int:
     return sum(operator["numRowsDroppedByWatermark"] for operator in operators)
 
 
+def observed(spark: SparkSession, query: StreamingQuery, name: str, columns: tuple[str, ...]) -> DataFrame:
+    """What the query's recent batches observed under a name (``DataFrame.observe``), a row per batch."""
+    rows = [
+        (progress["batchId"], *[progress["observedMetrics"][name][column] for column in columns])
+        for progress in query.recentProgress
+        if name in progress["observedMetrics"]
+    ]
+    return spark.createDataFrame(rows, ", ".join(f"{column} long" for column in ("batch_id", *columns)))
+
+
 def watch_in_memory(totals: DataFrame, checkpoint: str | None, settings: Settings = Settings(), once: bool = False) -> StreamingQuery:
     """Active vehicles as a table in the driver's memory, for small lots and for debugging."""
     rows = by_slot(active_vehicles(with_fees(totals, settings.price_per_10min)))
