@@ -15,16 +15,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from lotflow.operators import checkout, slot_state, slots, views
+from lotflow.operators import checkout, sketches, slot_state, slots, views
 from lotflow.operators.lifetime import with_fees
 from lotflow.operators.records import islands
-from lotflow.schemas import CHECKOUT_LOG, HISTORY, LATE_EVENTS, LEDGER_ENTRY, QUARANTINE, SLOT_ROWS, SNAPSHOT, TIMESTAMP_PATTERN, VISIT_ROWS, WINDOW_FEES
+from lotflow.schemas import CHECKOUT_LOG, HISTORY, LATE_EVENTS, LEDGER_ENTRY, PLATE_SKETCHES, QUARANTINE, SLOT_ROWS, SNAPSHOT, TIMESTAMP_PATTERN, VISIT_ROWS
 from lotflow.session import build_session, prepare, streaming_session
 from lotflow.settings import REALTIME_TABLE, Settings, from_env
 from lotflow.sources.config import load_settings
 from lotflow.sources.feed import kafka_records, parse_records
 from lotflow.sources.slots import slot_dimension
-from lotflow.streaming import ordered_state, pipelines, sinks, state, tables
+from lotflow.streaming import ordered_state, parted, pipelines, sinks, state, tables
 
 _OUTCOME = T.StructType(
     [
@@ -55,7 +55,8 @@ def start_jobs(
     fees: changed (slot, vehicle) rows, checkouts and counts, from one keyed aggregate.
     slots: the state of each slot as events arrive, and its releases with their fee. slots_in_order: the same once the
     watermark has passed, in event order, and beside it the late events. records: runs of offsets, which show gaps. history: EXITING events.
-    visits: each stay of a vehicle, and beside them its late events. windows: fees per 30 seconds.
+    visits: each stay of a vehicle, and beside them its late events. windows: parts of fees per 30 seconds, and the rows late for theirs.
+    plates: sketches of the plates of each slot and day.
     quarantine: events that are booked nowhere, with their fault.
     """
     events = parse_records(records)
@@ -66,7 +67,8 @@ def start_jobs(
         "records": (records.select("partition", "offset"), sinks.table_sink(f"{root}/records", islands), "append"),
         "history": (events, sinks.history_sink(f"{root}/history"), "append"),
         "visits": (state.visit_states(events), sinks.visit_sink(f"{root}/visits"), "update"),
-        "windows": (pipelines.windowed_fees(records, settings), sinks.table_sink(f"{root}/windows"), "update"),
+        "windows": (events, parted.window_sink(f"{root}/windows", settings), "append"),
+        "plates": (events, sinks.table_sink(f"{root}/plates", sketches.plate_sketches), "append"),
         "quarantine": (sinks.quarantine(events), sinks.table_sink(f"{root}/quarantine"), "append"),
     }
     checkpoints = settings.checkpoint_dir or f"{root}/checkpoints"
@@ -184,8 +186,15 @@ class Lot:
         return tables.read_all(self.spark, f"{self.root}/visits_late", T.StructType.fromDDL(schema)).drop("batch_id")
 
     def windows(self) -> DataFrame:
-        rows = tables.read_all(self.spark, f"{self.root}/windows", WINDOW_FEES)
-        return tables.latest_per_key(rows, ["window_start", "location", "license_plate"])
+        return parted.read_windows(self.spark, f"{self.root}/windows", self.settings)
+
+    def late_in_windows(self) -> DataFrame:
+        """Rows that came when their window was over by more than the delay."""
+        return parted.read_late(self.spark, f"{self.root}/windows")
+
+    def distinct_plates(self, *by) -> DataFrame:
+        """Estimated distinct plates by slot, ``day`` (since 1970) or any column of them; no event is read."""
+        return sketches.distinct_plates(tables.read_all(self.spark, f"{self.root}/plates", PLATE_SKETCHES), *by)
 
     def quarantine(self) -> DataFrame:
         return tables.read_all(self.spark, f"{self.root}/quarantine", QUARANTINE).drop("batch_id")

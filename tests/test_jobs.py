@@ -31,6 +31,7 @@ def test_feed_to_payment(spark):
     assert [(r.entry_location, r.last_location, r.total_fee) for r in lot.visits().where("closed").collect()] == [("A1", "B5", 15000)]
     assert lot.late_events().count() == 0 and lot.windows().count() > 0
 
+    assert lot.late_in_windows().count() == 0 and lot.distinct_plates().first().plates == 1
     released = lot.releases().collect()
     assert [(r.location, r.fee_vnd) for r in released] == [("B5", 10000)]
 
