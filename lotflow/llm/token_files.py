@@ -8,7 +8,7 @@ neighbouring documents in ascending id order, with
 * ``ids``: all token ids of the block, ``width`` bytes each, little-endian, unsigned;
 * ``low_bits``, ``low``, ``high``, ``samples``: the Elias-Fano sequence of the documents' ends.
 
-Null and empty texts hold the end id alone. Rows with equal ids keep together in any order;
+Null and empty texts hold the end id alone. Rows with equal ids follow each other by the hash of their text;
 a null id sorts first. An empty table gives an empty file and an empty result.
 """
 
@@ -44,7 +44,6 @@ class EliasFano:
     def __init__(self, count: int, low_bits: int, low: bytes, high: bytes, samples: bytes):
         self.count, self.low_bits = count, low_bits
         self.low, self.high, self.samples = low, high, np.frombuffer(samples, "<u4")
-        self._bits = np.unpackbits(np.frombuffer(high, np.uint8), bitorder="little")
 
     @classmethod
     def of(cls, values: np.ndarray) -> EliasFano:
@@ -61,32 +60,26 @@ class EliasFano:
         return cls(count, low_bits, low.tobytes(), np.packbits(bits, bitorder="little").tobytes(), ones[::SELECT_STEP].astype("<u4").tobytes())
 
     def __getitem__(self, index: int) -> int:
-        """Entry ``index``: from the sample before it on, only the bits up to it are looked at."""
+        """Entry ``index``, from the run of its sample."""
         if not 0 <= index < self.count:
             raise IndexError(index)
-        at, left = int(self.samples[index // SELECT_STEP]), index % SELECT_STEP
-        while left:
-            step = self._bits[at + 1 : at + 1 + 4 * SELECT_STEP]
-            ones = np.flatnonzero(step)
-            if len(ones) >= left:
-                at += int(ones[left - 1]) + 1
-                left = 0
-            else:
-                at, left = at + len(step), left - len(ones)
-        low = 0
-        for bit in range(self.low_bits):
-            place = index * self.low_bits + bit
-            low |= (self.low[place >> 3] >> (place & 7) & 1) << bit
-        return (at - index) << self.low_bits | low
-
-    def values(self) -> np.ndarray:
-        """All entries at once."""
-        high = np.flatnonzero(self._bits)[: self.count] - np.arange(self.count)
+        return int(self.run(index // SELECT_STEP * SELECT_STEP)[index % SELECT_STEP])
+
+    def run(self, begin: int) -> np.ndarray:
+        """Entries from ``begin`` (a multiple of the select step) up to the next sample; only the bits between the two are read."""
+        count = min(SELECT_STEP, self.count - begin)
+        sample = begin // SELECT_STEP
+        first = int(self.samples[sample])
+        until = int(self.samples[sample + 1]) if sample + 1 < len(self.samples) else 8 * len(self.high)
+        bits = np.unpackbits(np.frombuffer(self.high, np.uint8)[first // 8 : (until + 7) // 8], bitorder="little")
+        ones = np.flatnonzero(bits[first % 8 :])[:count]
+        high = (ones + first - np.arange(begin, begin + count)).astype(np.int64)
         if not self.low_bits:
-            return high.astype(np.int64)
-        bits = np.unpackbits(np.frombuffer(self.low, np.uint8), bitorder="little")[: self.count * self.low_bits]
-        low = bits.reshape(self.count, self.low_bits).astype(np.int64) @ (1 << np.arange(self.low_bits, dtype=np.int64))
-        return high.astype(np.int64) << self.low_bits | low
+            return high
+        start, end = begin * self.low_bits, (begin + count) * self.low_bits
+        low = np.unpackbits(np.frombuffer(self.low, np.uint8)[start // 8 : (end + 7) // 8], bitorder="little")
+        low = low[start % 8 :][: count * self.low_bits].reshape(count, self.low_bits)
+        return high << self.low_bits | low.astype(np.int64) @ (1 << np.arange(self.low_bits, dtype=np.int64))
 
 
 @lru_cache(maxsize=2)
@@ -161,9 +154,9 @@ def write_tokens(docs: DataFrame, target: str, path: str | None = None, end_id:
         yield from sized(blocks(), _BLOCK_ARROW, 4)
 
     ship(docs.sparkSession)
-    rows = docs.selectExpr(f"CAST(`{id_col}` AS LONG) AS id", f"`{text_col}` AS text")
-    ordered = rows.repartitionByRange("id").sortWithinPartitions("id")
-    ordered.mapInArrow(run, _BLOCK).write.option("compression", "zstd").parquet(target)
+    rows = docs.selectExpr(f"CAST(`{id_col}` AS LONG) AS id", f"`{text_col}` AS text", f"xxhash64(`{text_col}`) AS tie")
+    ordered = rows.repartitionByRange("id", "tie").sortWithinPartitions("id", "tie")
+    ordered.select("id", "text").mapInArrow(run, _BLOCK).write.option("compression", "zstd").parquet(target)
 
 
 def read_documents(spark: SparkSession, target: str) -> DataFrame:
@@ -179,15 +172,16 @@ def read_documents(spark: SparkSession, target: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for block in batch.to_pylist():
-                ends = EliasFano(block["n_docs"], block["low_bits"], block["low"], block["high"], block["samples"]).values()
+                ends = EliasFano(block["n_docs"], block["low_bits"], block["low"], block["high"], block["samples"])
                 ids = np.frombuffer(block["ids"], dtype=f"<u{block['width']}").astype("<u4")
-                starts = np.concatenate([[0], ends[:-1]])
                 numbers = [None] * block["null_ids"] + np.frombuffer(block["doc_ids"], "<i8").tolist()
-                base = bases[block["part"]] + block["first"]
-                yield batch_of(
-                    [(n, base + int(a), int(b - a), zlib.crc32(ids[a:b])) for n, a, b in zip(numbers, starts, ends)],
-                    schema,
-                )
+                base, start = bases[block["part"]] + block["first"], 0
+                for begin in range(0, ends.count, SELECT_STEP):
+                    out = []
+                    for number, end in zip(numbers[begin : begin + SELECT_STEP], ends.run(begin).tolist()):
+                        out.append((number, base + start, end - start, zlib.crc32(ids[start:end])))
+                        start = end
+                    yield batch_of(out, schema)
 
     ship(spark)
     return blocks.mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long")

@@ -13,6 +13,7 @@ import unicodedata
 from functools import lru_cache
 
 import regex
+from tokenizers import Regex, normalizers, pre_tokenizers
 
 #: Fixed values of the vocabulary file's format: the mark of a word's end, the special strings and the word pattern.
 WORD_END = "</w>"
@@ -56,14 +57,64 @@ def lowered(text: str) -> str:
     return unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
 
 
+@lru_cache(maxsize=1)
+def _library_parts() -> tuple:
+    """The library's own lower-casing and cutting, as the vocabulary file has them."""
+    steps = [normalizers.NFC(), normalizers.Replace(Regex(r"\s+"), " "), normalizers.Lowercase()]
+    return normalizers.Sequence(steps), pre_tokenizers.Split(Regex(WORD_PATTERN), "removed", invert=True)
+
+
+def _library_words(text: str) -> list[str]:
+    normalizer, splitter = _library_parts()
+    return [word for word, _ in splitter.pre_tokenize_str(normalizer.normalize_str(text))]
+
+
+def _cut(low: str) -> list[str]:
+    return (_LATIN_WORDS if is_latin(low) else _WORDS).findall(low)
+
+
+class Agreement:
+    """Characters on which the installed Unicode tables and the library's agree; each is tried when it is first met.
+
+    A try tells the class, the lower case and whether the character moves past a mark before or after it; what two
+    characters compose to is looked up as a character too.
+    """
+
+    def __init__(self):
+        self.same: set[str] = set()
+        self.other: set[str] = set()
+
+    def __call__(self, characters: set[str]) -> bool:
+        new = characters - self.same
+        if not new:
+            return True
+        if len(self.same) > 200_000:  # a text may list all of Unicode
+            self.same.clear()
+        for character in new - self.other:
+            trial = f"a{character}a {character}{character} 1{character}! a\u0345{character} a{character}\u0334"
+            agrees = _library_words(trial) == _cut(lowered(trial))
+            (self.same if agrees else self.other).add(character)
+        return not new & self.other
+
+
+_agree = Agreement()
+
+
+def plain_words(text: str) -> list[str]:
+    """Words of a text without special strings; by the library where its tables know the characters otherwise."""
+    low = lowered(text)
+    if not is_latin(text) and not (_agree(set(text)) and _agree(set(low))):
+        return _library_words(text)
+    return _cut(low)
+
+
 def text_words(text: str | None) -> list[str]:
     """Words of a whole text in order; a text without special strings is cut in one go."""
     if not text:
         return []
     if "<|" in text:
         return [word for chunk in chunks(text) for word in words_of(chunk)]
-    low = lowered(text)
-    return (_LATIN_WORDS if is_latin(low) else _WORDS).findall(low)
+    return plain_words(text)
 
 
 def words_of(chunk: str) -> list[str]:
@@ -71,21 +122,10 @@ def words_of(chunk: str) -> list[str]:
     found: list[str] = []
     at = 0
     for special in _SPECIAL.finditer(chunk) if "<|" in chunk else ():
-        found += _plain_words(chunk[at : special.start()])
+        found += plain_words(chunk[at : special.start()])
         found.append(special.group())
         at = special.end()
-    return found + _plain_words(chunk[at:])
-
-
-def _plain_words(chunk: str) -> list[str]:
-    if not chunk:
-        return []
-    low = lowered(chunk)
-    if low.isalpha():
-        return [low]
-    if low[-1] in ".,;:!?" and low[:-1].isalpha():
-        return [low[:-1], low[-1]]
-    return (_LATIN_WORDS if is_latin(low) else _WORDS).findall(low)
+    return found + plain_words(chunk[at:])
 
 
 @lru_cache(maxsize=1)

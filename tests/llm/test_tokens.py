@@ -37,6 +37,22 @@ def test_prefix_encoder_equals_library(library):
         assert encoder.decode(expected) == library.decode(expected, skip_special_tokens=False)
 
 
+def test_every_code_point(library):
+    """Letters of any release of Unicode are cut and lowered as the library does."""
+    encoder = prefix_encoder(PATH)
+    texts = [f"x{chr(code)}y {chr(code)}á" for code in range(0xE01F0) if not 0xD800 <= code < 0xE000 and not 0x34000 <= code < 0xE0000]
+    for at in range(0, len(texts), 5000):
+        coded = library.encode_batch(texts[at : at + 5000], add_special_tokens=False)
+        assert [text for text, found in zip(texts[at : at + 5000], coded) if encoder.encode(text) != found.ids] == []
+
+
+def test_repeated_ids_follow_each_other_by_text(spark):
+    rows = [(7, f"text {n}") for n in range(50)] + [(3, "a b")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    first, again = (sorted(map(tuple, token_files.token_documents(docs.repartition(n)).collect())) for n in (2, 5))
+    assert first == again and len(first) == 51 and first[0][:2] == (3, 0)
+
+
 def test_op7_table(spark, sf_dir, library):
     import __spark_entry__ as contract
 
@@ -64,7 +80,8 @@ def test_hard_rows(spark, library):
 def test_elias_fano(values):
     coded = token_files.EliasFano.of(np.array(values, dtype=np.int64))
     read = token_files.EliasFano(coded.count, coded.low_bits, coded.low, coded.high, coded.samples.tobytes())
-    assert read.values().tolist() == values
+    step = token_files.SELECT_STEP
+    assert [value for at in range(0, read.count, step) for value in read.run(at).tolist()] == values
     assert [read[n] for n in range(len(values))] == values
     if len(values) > 1000:
         bits = 8 * (len(coded.low) + len(coded.high))
