@@ -15,6 +15,8 @@ languages or sources are one group. Each row gives one row; repeated rows are ju
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -24,6 +26,7 @@ MIN_WORDS, MAX_REPEATED_PCT = 50, 50
 #: Share of a group that the concentration keeps, most steps, and rows' worth of the wider group's estimate.
 KEPT_SHARE, STEPS, LEAN = 0.5, 20, 100
 #: Rows of a partition during the concentration, of vectors and of groups' estimates; a row takes some 100 or 400 bytes.
+#: Up to GROUPS_TOGETHER estimates, which are counted first, are sent to all executors (20 MB), so that no step moves the rows.
 ROWS_TOGETHER, GROUPS_TOGETHER = 1_000_000, 50_000
 #: Quantiles at which the concentration starts, and the move of a mean, in least deviations, below which it has settled.
 STARTS, SETTLED = (0.5, 0.25, 0.75), 0.01
@@ -163,10 +166,10 @@ def _with_distance(rows: DataFrame, groups: DataFrame) -> DataFrame:
     return rows.join(groups, _GROUP).select(*rows.columns, *starts, distance.alias("distance"))
 
 
-def _start(rows: DataFrame) -> DataFrame:
+def _start(rows: DataFrame, beside: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """Quartiles as centres, one start each, and squared scaled deviations from the medians as a diagonal scatter."""
     centres = rows.groupBy(*_GROUP).agg(*[F.percentile_approx(f"x{i}", list(STARTS)).alias(f"q{i}") for i in DIMS])
-    off = rows.join(centres, _GROUP).groupBy(*_GROUP).agg(
+    off = rows.join(beside(centres), _GROUP).groupBy(*_GROUP).agg(
         *[F.percentile_approx(F.abs(F.col(f"x{i}") - F.col(f"q{i}")[0]), 0.5).alias(f"d{i}") for i in DIMS]
     )
     scatter = [(F.pow(F.col(f"d{i}") * 1.4826, 2) if i == j else F.lit(0.0)).alias(f"c{i}{j}") for i, j in _pairs()]
@@ -182,8 +185,11 @@ def _moved(before: DataFrame, after: DataFrame) -> float:
 
 
 def _together(groups: DataFrame, parts: int) -> DataFrame:
-    """A table of groups kept in a few files; else each of its uses would write a file for each shuffle partition."""
-    return checkpointed(groups.repartition(parts))
+    """A table of groups kept in a few files; else each of its uses would write a file for each shuffle partition.
+
+    The second step moves nothing: it tells Spark that a single part needs no further shuffle.
+    """
+    return checkpointed(groups.repartition(parts)).coalesce(parts)
 
 
 def _stretched(estimate: DataFrame, near: DataFrame, parts: int) -> DataFrame:
@@ -194,12 +200,14 @@ def _stretched(estimate: DataFrame, near: DataFrame, parts: int) -> DataFrame:
 
 def robust_estimates(rows: DataFrame, steps: int = STEPS) -> DataFrame:
     """Centre and scatter's factor per language and source of rows with g_lang, g_source and x0 to x3."""
-    parts = rows.select(*_GROUP).distinct().count() * len(STARTS) // GROUPS_TOGETHER + 1
-    groups, before = _together(_factored(_start(rows)), parts), None
+    estimates = rows.select(*_GROUP).distinct().count() * len(STARTS)
+    parts = estimates // GROUPS_TOGETHER + 1
+    beside = F.broadcast if estimates <= GROUPS_TOGETHER else lambda groups: groups
+    groups, before = _together(_factored(_start(rows, beside)), parts), None
     for _ in range(steps):
-        near = _with_distance(rows, groups)
+        near = _with_distance(rows, beside(groups))
         bounds = near.groupBy(*_KEYS).agg(F.percentile_approx("distance", KEPT_SHARE).alias("bound"))
-        moments = _together(_moments(near.join(bounds, _KEYS).where("distance <= bound"), *_KEYS), parts)
+        moments = _together(_moments(near.join(beside(bounds), _KEYS).where("distance <= bound"), *_KEYS), parts)
         estimate = _together(_leaning(moments), parts)
         groups = _factored(estimate)
         if before is not None and _moved(before, moments) < SETTLED:
@@ -209,11 +217,11 @@ def robust_estimates(rows: DataFrame, steps: int = STEPS) -> DataFrame:
     best = groups.groupBy(*_GROUP).agg(F.min(F.struct(size.alias("size"), "g_start"))["g_start"].alias("g_start"))
     estimate = _together(estimate.join(best, _KEYS).drop("g_start"), parts)
     # the nearest half spreads less than all rows
-    groups = _stretched(estimate, _with_distance(rows, _factored(estimate)), parts)
-    inside = _with_distance(rows, groups).where(F.col("distance") <= NEAR).drop("distance")
+    groups = _stretched(estimate, _with_distance(rows, beside(_factored(estimate))), parts)
+    inside = _with_distance(rows, beside(groups)).where(F.col("distance") <= NEAR).drop("distance")
     moments = _together(_moments(inside.withColumn("g_start", F.lit(0)), *_KEYS), parts)
     estimate = _together(_leaning(moments).drop("g_start"), parts)
-    return _stretched(estimate, _with_distance(inside, _factored(estimate)), parts)
+    return beside(_stretched(estimate, _with_distance(inside, beside(_factored(estimate))), parts))
 
 
 def _gathered(rows: DataFrame) -> DataFrame:
