@@ -99,11 +99,21 @@ SPELLED_RUN = 7
 
 _ODD_LETTER = re.compile("[­·ıɐ-\U0010ffff]")
 _DIGIT = "|".join(sorted(_DIGIT_WORDS, key=len, reverse=True))
-_SPELLED = re.compile(rf"(?<!\w)(?:plus[ -]+)?(?:(?:{_DIGIT}|[0-9])(?:[ ,.-]{{1,2}}|(?<=[0-9])(?=[0-9]))){{{SPELLED_RUN - 1},}}(?:{_DIGIT}|[0-9])(?!\w)", re.I)
+_SPELLED = re.compile(rf"(?<!\w)(?:plus[ -]+)?(?:(?:{_DIGIT}|[0-9])(?:[ ,.()-]++|(?<=[0-9])(?=[0-9]))){{{SPELLED_RUN - 1},}}(?:{_DIGIT}|[0-9])(?!\w)", re.I)
 _DIGIT_PART = re.compile(rf"plus|{_DIGIT}|[0-9]", re.I)
 _FENCED = re.compile(rf"\s?[\[({{<]\s?(?:({_AT_WORDS}|@)|({_DOT_WORDS}|\.))\s?[\])}}>]\s?", re.I)
 _NAME = r"[A-Za-z0-9_%+-]"
-_SPOKEN = re.compile(rf"(?<!{_NAME}){_NAME}{{1,64}}(?:(?: (?:{_DOT_WORDS}) |\.){_NAME}{{1,64}}){{0,4}}(?: (?:{_AT_WORDS}) |@){_NAME}{{1,64}}(?:(?: (?:{_DOT_WORDS}) |\.){_NAME}{{1,64}}){{1,6}}", re.I)
+_DOT = rf"(?: (?:{_DOT_WORDS}) |\.)"
+
+
+def _not_after(part: str) -> str:
+    """No start behind ``part`` and a dot: what fails at the head of a chain fails at its links, so long chains stay linear."""
+    return rf"(?<!{part})(?<!{part}\.)" + "".join(f"(?<!{part} {word} )" for word in _DOT_WORDS.split("|"))
+
+
+# names and chains of any length; possessive, as a name never ends where its dot or at could begin
+_SPOKEN = re.compile(rf"{_not_after(_NAME)}{_NAME}++(?:{_DOT}{_NAME}++)*+(?: (?:{_AT_WORDS}) |@){_NAME}++(?:{_DOT}{_NAME}++)++", re.I)
+_SPOKEN_IP = re.compile(rf"(?<!\w){_not_after('[0-9]')}[0-9]++(?:{_DOT}[0-9]++){{3,}}+", re.I)
 _SPOKEN_PART = re.compile(rf" (?:({_AT_WORDS})|({_DOT_WORDS})) ", re.I)
 _SPOKEN_DOTS = tuple(f" {word} " for word in _DOT_WORDS.split("|"))
 # a spelled run holds one of these: words that hold a shorter one ("uno", "un") need no search of their own
@@ -181,6 +191,11 @@ def _fences(tape: Tape) -> Tape:
     return tape.replaced((m.start(), m.end(), "@" if m.group(1) else ".") for m in _FENCED.finditer(tape.text))
 
 
+def _spoken_ip(tape: Tape) -> Tape:
+    parts = ((m.start(), part) for m in _SPOKEN_IP.finditer(tape.text) for part in _SPOKEN_PART.finditer(m.group()))
+    return tape.replaced((begin + part.start(), begin + part.end(), ".") for begin, part in parts)
+
+
 def _spoken(tape: Tape) -> Tape:
     def edits() -> Iterator[tuple[int, int, str]]:
         for m in _SPOKEN.finditer(tape.text):
@@ -205,7 +220,7 @@ def undisguised(text: str) -> Tape | None:
     if any(fence in tape.text for fence in "[({<"):
         tape = _fences(tape)
     if any(word in low for word in _SPOKEN_DOTS):
-        tape = _spoken(tape)
+        tape = _spoken(_spoken_ip(tape))
     return None if tape.text == text else tape
 
 
