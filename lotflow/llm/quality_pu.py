@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lotflow.llm.texts import batch_of, rows_of
+from lotflow.llm.texts import batch_of, checkpointed, rows_of
 from lotflow.shipping import ship
 
 #: Bounds of the training sample: trusted positives, and unlabelled documents.
@@ -190,15 +190,19 @@ def featured(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality") -> Network | None:
-    """Trusted positives are the rows labelled 1; the unlabelled text is drawn from all rows given, whatever their labels."""
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    """Trusted positives are the rows labelled 1; the unlabelled text is drawn from all rows given, whatever their labels.
+
+    An id that repeats counts once, with the least of its texts; rows without an id are not drawn. So the sample
+    is bounded by its two sizes, its ids go to all executors, and only its texts are moved.
+    """
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).where("id IS NOT NULL")
     trusted = labels.where(F.col(label_col) == 1).select(F.col(id_col).alias("id")).distinct()
     order = F.xxhash64("id")
     # the ids with the smallest hashes are chosen before any text is read
-    picked_u = rows.select("id").orderBy(order, "id").limit(SAMPLE_UNLABELLED)
-    picked_p = rows.select("id").join(trusted, "id", "left_semi").orderBy(order, "id").limit(SAMPLE_POSITIVE)
-    wanted = picked_u.select("id", F.lit(0).alias("role")).unionAll(picked_p.select("id", F.lit(1).alias("role")))
-    sample = rows.join(wanted.select("id").distinct(), "id")
+    picked_u = rows.select("id").distinct().orderBy(order, "id").limit(SAMPLE_UNLABELLED)
+    picked_p = rows.select("id").join(trusted, "id", "left_semi").distinct().orderBy(order, "id").limit(SAMPLE_POSITIVE)
+    wanted = checkpointed(picked_u.select("id", F.lit(0).alias("role")).unionAll(picked_p.select("id", F.lit(1).alias("role"))))
+    sample = rows.join(F.broadcast(wanted), "id", "left_semi").groupBy("id").agg(F.min("text").alias("text"))
     stats = featured(sample, "id", "text").join(wanted, "id").orderBy("id", "role").select("role", "stats").collect()
     split = {role: np.array([row["stats"] for row in stats if row["role"] == role]).reshape(-1, N_FEATURES) for role in (0, 1)}
     return train(split[1], split[0])
