@@ -18,8 +18,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Blocks of the filter: 512 bits each, so 256 KiB in all, whatever the length of the list.
-BLOCKS = 4096
+#: Bits of the filter for each listed place, in blocks of 512. Up to so many blocks (16 MiB of bits, a million places) are sent
+#: to all executors; the blocks of a longer list are joined as Spark sees fit.
+BITS_A_PLACE, BLOCKS_SENT = 128, 262_144
 _PARTS = r"(?s)^.*?://([^/?#]*)([^?#]*)"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Odd factors that pick one bit in each of a block's eight words.
@@ -41,10 +42,15 @@ def places(spark: SparkSession, rules: list[tuple[str, str]], listed: list[str])
     return spark.createDataFrame(rows, PLACES)
 
 
-def _bits(key: Column) -> tuple[Column, list[Column]]:
+def filter_blocks(n_places: int) -> int:
+    """Blocks of a filter for so many places."""
+    return max(1, -(-n_places * BITS_A_PLACE // 512))
+
+
+def _bits(key: Column, blocks: int) -> tuple[Column, list[Column]]:
     """Block of a key, and the eight words of its mask."""
     hashed = F.xxhash64(key)
-    block = F.pmod(hashed, F.lit(BLOCKS)).cast("int")
+    block = F.pmod(hashed, F.lit(blocks)).cast("int")
     spread = F.xxhash64(key, F.lit(1))
     masks = [F.expr("1L") for _ in _FACTORS]
     for number, factor in enumerate(_FACTORS):
@@ -54,9 +60,9 @@ def _bits(key: Column) -> tuple[Column, list[Column]]:
     return block, masks
 
 
-def bloom_blocks(keys: DataFrame) -> DataFrame:
-    """The filter's blocks that are not empty: ``block`` and eight words, ``BLOCKS`` rows at most."""
-    block, masks = _bits(F.col("key"))
+def bloom_blocks(keys: DataFrame, blocks: int) -> DataFrame:
+    """The filter's blocks that are not empty: ``block`` and eight words, ``blocks`` rows at most."""
+    block, masks = _bits(F.col("key"), blocks)
     rows = keys.select(block.alias("block"), *[mask.alias(f"w{n}") for n, mask in enumerate(masks)])
     return rows.groupBy("block").agg(*[F.bit_or(f"w{n}").alias(f"w{n}") for n in range(len(masks))])
 
@@ -67,8 +73,8 @@ def judge_urls(pages: DataFrame, listed: DataFrame, id_col: str = "page_id", url
     rows = pages.select(F.col(id_col), host.alias("__host"), path.alias("__path"))
     place = listed.select("verdict", "rule", "host", "path", F.concat("host", "path").alias("key"))
     # how deep hosts go and how long paths are in the list: no other part of a URL can match
-    shape = place.agg(F.max(F.size(F.split("host", r"\."))), F.sort_array(F.collect_set(F.length("path")))).head()
-    labels, lengths = shape[0] or 0, shape[1] or []
+    shape = place.agg(F.max(F.size(F.split("host", r"\."))), F.sort_array(F.collect_set(F.length("path"))), F.count("*")).head()
+    labels, lengths, blocks = shape[0] or 0, shape[1] or [], filter_blocks(shape[2])
 
     urls = rows.where("__host <> ''").select("__host", "__path").distinct()
     tail = F.slice(F.reverse(F.split("__host", r"\.")), 1, max(labels, 1))
@@ -77,8 +83,9 @@ def judge_urls(pages: DataFrame, listed: DataFrame, id_col: str = "page_id", url
     probes = urls.withColumn("suffix", F.explode(suffixes)).withColumn("start", F.explode(starts))
     probes = probes.select("__host", "__path", F.concat("suffix", "start").alias("key"))
 
-    block, masks = _bits(F.col("key"))
-    filled = F.broadcast(bloom_blocks(place))
+    block, masks = _bits(F.col("key"), blocks)
+    filled = bloom_blocks(place, blocks)
+    filled = F.broadcast(filled) if blocks <= BLOCKS_SENT else filled
     passed = F.lit(True)
     for number in range(len(_FACTORS)):
         passed = passed & (F.col(f"w{number}").bitwiseAND(F.col(f"m{number}")) == F.col(f"m{number}"))

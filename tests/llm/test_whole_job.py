@@ -1,9 +1,12 @@
 """Cases in which operators once did less than the whole job."""
 
+import time
+
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
-from lotflow.llm import html_text, language_id, outliers, pii, template_leaks
+from lotflow.llm import html_text, language_id, outliers, pii, quality_pu, template_leaks, url_filter
 
 STORY = "John has 5 apples and buys 7 more at the shop. John then gives 3 apples to a friend."
 
@@ -49,12 +52,58 @@ def test_items_without_ordinary_windows(spark):
         ("juan [ arroba ] sitio.com", "EMAIL"),
         ("max [ @ ] seite.de", "EMAIL"),
         ("x@host [ punkt ] de", "EMAIL"),
+        ("from 192 dot 168 dot 1 dot 10 today", "IP"),
+        ("at 192.168 punkt 1.10", "IP"),
+        ("a" * 70 + " at example dot com", "EMAIL"),
+        ("a dot b dot c dot d dot e dot f dot g at h dot i dot j dot k dot l dot m dot n dot o dot com", "EMAIL"),
+        ("+1 (five five five) zero one zero two zero three zero", "PHONE"),
+        ("+1 (555) five five five - zero one two three", "PHONE"),
     ],
 )
 def test_disguises_with_few_signs(text, kind):
     assert f"<{kind}>" in pii.redacted(text)
 
 
+def test_plain_speech_stays():
+    for text in ("meet me at home, dot by dot", "1 dot 2 dot 3", "look at example.com for it", "in point 3 point 4 of the list", "(one) (two) (three) of them"):
+        assert pii.redacted(text) == text
+
+
+@pytest.mark.parametrize("text", ["a dot " * 60_000, "a." * 100_000, "1 dot " * 60_000 + "x", "a at " * 60_000, "one (" * 40_000, "a@" * 100_000, "(1) " * 60_000])
+def test_long_chains_stay_linear(text):
+    began = time.process_time()
+    pii.all_spans(text)
+    assert time.process_time() - began < 5
+
+
+def test_repeated_ids_are_drawn_once(spark, monkeypatch):
+    docs = [(n % 10 if n % 10 else None, f"text {n} " * (n % 7 + 1)) for n in range(200)] + [(3, None)] * 5
+    docs = spark.createDataFrame(docs, "doc_id long, text string")
+    labels = spark.createDataFrame([(n, n % 2) for n in range(10)] * 3, "doc_id long, quality int")
+    got = []
+    monkeypatch.setattr(quality_pu, "train", lambda positive, unlabelled: got.append((len(positive), len(unlabelled))))
+    quality_pu.learn(docs, labels)
+    assert got == [(5, 9)]
+
+
+def test_filter_grows_with_its_list(spark):
+    assert url_filter.filter_blocks(0) == 1 and url_filter.filter_blocks(1_000_000) <= url_filter.BLOCKS_SENT
+    listed = url_filter.places(spark, [], [f"site{n}.test/" for n in range(3000)])
+    pages = spark.createDataFrame([(n, f"http://www.site{n}.test/x") for n in range(2990, 3010)], "page_id long, url string")
+    got = {row.page_id: row.verdict for row in url_filter.judge_urls(pages, listed).collect()}
+    assert got == {n: "block" if n < 3000 else "allow" for n in range(2990, 3010)}
+    place = listed.select(F.concat("host", "path").alias("key"))
+    bits = sum(bin(v & (2**64 - 1)).count("1") for row in url_filter.bloom_blocks(place, 750).collect() for v in row[1:])
+    assert 0 < bits < 3000 * 8 <= 750 * 512 // 8 * 0.6
+
+
+def test_no_step_of_the_estimate_moves_the_rows(spark):
+    rows = spark.range(400).selectExpr("cast(id % 2 AS string) g_lang", "'' g_source", *[f"rand({n}) x{n}" for n in range(4)])
+    estimates = outliers.robust_estimates(rows)
+    plan = outliers._with_distance(rows, estimates)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan.split("BroadcastExchange")[0]
+
+
 @pytest.mark.parametrize("spread", [0.0, 0.01])
 def test_a_third_of_a_group_is_junk(spark, spread):
     draw = np.random.default_rng(5)
