@@ -5,16 +5,22 @@ the earliest waiting time merges the runs chunk by chunk and applies what the wa
 chunk of each run and never all events of a key. An event that comes when the watermark has already passed its time is
 late: it changes nothing and comes out as such, for a table of its own.
 
+A chunk is one JSON text, since the state store converts every element of an array by itself. Vehicles, of which there are many
+with few events each, share a key (``BUCKETS``), so that frames, chunks and timers are per bucket and not per vehicle.
+
 The watermark column itself is left behind before the state, because Spark would drop late rows unseen there.
 """
 
 from __future__ import annotations
 
 import heapq
+import json
+from bisect import bisect_right
 from collections.abc import Iterator
+from operator import itemgetter
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
@@ -28,8 +34,12 @@ from lotflow.streaming.state import _SLOT_STATE, _price, advance_slot
 
 #: Rows of a chunk of a run, and rows that a machine is given at a time.
 CHUNK_ROWS, STEP_ROWS = 256, 4096
+#: Groups of vehicles that share a key; a checkpoint keeps the number it began with.
+BUCKETS = 1024
+LAST_ID = 2**63 - 1
 _WAITING = (*EVENT_ORDER, "status_code", "license_plate", "location")
-_CHUNK = ", ".join(f"{name} array<{'long' if name in EVENT_ORDER else 'string'}>" for name in _WAITING)
+_time, _place = itemgetter(0), itemgetter(*range(len(EVENT_ORDER)))
+_VISIT = "visit_no long, entry_time long, entry_location string, last_unix long, last_status string, last_location string"
 _LATE = T.StructField("late", T.BooleanType())
 SLOT_OUTPUT = T.StructType([*SLOT_ROWS.fields, _LATE])
 VISIT_OUTPUT = T.StructType([*VISIT_ROWS.fields, _LATE])
@@ -39,17 +49,17 @@ class Waiting:
     """A key's events that the watermark has not passed: sorted runs of chunks."""
 
     def __init__(self, handle: StatefulProcessorHandle):
-        self.chunks = handle.getMapState("waiting", "run long, chunk long", _CHUNK)
+        self.chunks = handle.getMapState("waiting", "run long, chunk long", "events string")
         self.runs = handle.getValueState("runs", "n long")
 
-    def add(self, rows: pd.DataFrame) -> None:
-        """One more run, from rows in event order."""
+    def add(self, rows: pd.DataFrame) -> int:
+        """One more run; gives the time of its first event."""
         run = (self.runs.get() or (0,))[0]
         self.runs.update((run + 1,))
-        values = rows[list(_WAITING)].astype(object).where(rows[list(_WAITING)].notna(), None)
+        values = sorted(zip(*([None if value != value else value for value in rows[name].tolist()] for name in _WAITING)), key=_place)
         for chunk, at in enumerate(range(0, len(values), CHUNK_ROWS)):
-            part = values.iloc[at : at + CHUNK_ROWS]
-            self.chunks.updateValue((run, chunk), tuple(part[name].tolist() for name in _WAITING))
+            self._put(run, chunk, values[at : at + CHUNK_ROWS])
+        return values[0][0]
 
     def due(self, until: int) -> Iterator[tuple]:
         """Takes out the events up to a second, in order; ``earliest`` is then the time of the first one left."""
@@ -57,23 +67,26 @@ class Waiting:
         by_run: dict[int, list[int]] = {}
         for run, chunk in self.chunks.keys():
             by_run.setdefault(run, []).append(chunk)
-        yield from heapq.merge(*(self._taken(run, sorted(chunks), until) for run, chunks in sorted(by_run.items())), key=lambda row: row[: len(EVENT_ORDER)])
+        yield from heapq.merge(*(self._taken(run, sorted(chunks), until) for run, chunks in sorted(by_run.items())), key=_place)
         if self.earliest is None:
             self.runs.clear()
 
     def _taken(self, run: int, chunks: list[int], until: int) -> Iterator[tuple]:
         for chunk in chunks:
-            rows = list(zip(*self.chunks.getValue((run, chunk))))
-            ripe = sum(row[0] <= until for row in rows)
+            rows = [tuple(row) for row in json.loads(self.chunks.getValue((run, chunk))[0])]
+            ripe = bisect_right(rows, until, key=_time)
             if ripe == len(rows):
                 self.chunks.removeKey((run, chunk))
             elif ripe:
-                self.chunks.updateValue((run, chunk), tuple(map(list, zip(*rows[ripe:]))))
+                self._put(run, chunk, rows[ripe:])
             yield from rows[:ripe]
             if ripe < len(rows):
                 self.earliest = rows[ripe][0] if self.earliest is None else min(self.earliest, rows[ripe][0])
                 return
 
+    def _put(self, run: int, chunk: int, rows: list[tuple]) -> None:
+        self.chunks.updateValue((run, chunk), (json.dumps(rows, separators=(",", ":")),))
+
 
 class InOrder(StatefulProcessor):
     """Keeps events back until the watermark has passed them; subclasses say what applies then and how a late one looks."""
@@ -89,24 +102,24 @@ class InOrder(StatefulProcessor):
         for frame in rows:
             late = frame["timestamp_unix"] <= passed
             if late.any():
-                yield self.shaped(self.late(frame[late]).assign(late=True))
-            kept = frame[~late].sort_values(list(EVENT_ORDER), ignore_index=True)
-            if len(kept):
-                self.waiting.add(kept)
-                self.handle.registerTimer(int(kept["timestamp_unix"].iloc[0]) * 1000)
+                yield self.shaped(self.late(frame[late]), late=True)
+                frame = frame[~late]
+            if len(frame):
+                self.handle.registerTimer(self.waiting.add(frame) * 1000)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         passed = timerValues.getCurrentWatermarkInMs() // 1000
         ripe = self.waiting.due(passed)
         for frame in self.apply(key, ripe):
             if len(frame):
-                yield self.shaped(frame.assign(late=False))
+                yield self.shaped(frame, late=False)
         if self.waiting.earliest is not None:
             self.handle.registerTimer(self.waiting.earliest * 1000)
 
-    def shaped(self, frame: pd.DataFrame) -> pd.DataFrame:
+    def shaped(self, frame: pd.DataFrame, late: bool) -> pd.DataFrame:
         """All output columns, null where the frame has none."""
-        return frame.reindex(columns=self.output.fieldNames()).astype(object).where(lambda f: f.notna(), None)
+        columns = {name: frame[name] if name in frame else None for name in self.output.fieldNames()}
+        return pd.DataFrame({**columns, "late": late}, index=frame.index)
 
     def prepare(self, handle: StatefulProcessorHandle) -> None:
         raise NotImplementedError
@@ -161,60 +174,83 @@ class SlotsInOrder(InOrder):
 
 
 class VisitsInOrder(InOrder):
-    """Each visit that ends, and the open one as last seen, as in the batch form."""
+    """Each visit that ends, and the open one as last seen, as in the batch form; the key is one vehicle."""
 
     output = VISIT_OUTPUT
 
     def prepare(self, handle: StatefulProcessorHandle) -> None:
-        self.visit = handle.getValueState("visit", "visit_no long, entry_time long, entry_location string, last_unix long, last_status string, last_location string")
+        self.visit = handle.getValueState("visit", _VISIT)
 
-    def apply(self, key, rows: Iterator[tuple]) -> Iterator[pd.DataFrame]:
-        number, entry, entered_at, last, status, location = self.visit.get() or (0, *[None] * 5)
-        held: list[dict] = []
+    def so_far(self, plate: str) -> tuple | None:
+        return self.visit.get()
 
-        def seen(closed: bool) -> dict:
-            return {
-                "license_plate": key[0], "visit_no": number, "current_status": status, "closed": closed, "entry_time": entry, "last_update": last,
-                "exit_time": last if closed else None, "entry_location": entered_at, "last_location": location,
-            }
+    def keep(self, plate: str, visit: tuple) -> None:
+        self.visit.update(visit)
 
-        for last, _, _, status, _, location in rows:
+    def apply(self, key, rows: Iterator[tuple]) -> Iterator[pd.DataFrame]:
+        names, held = VISIT_ROWS.fieldNames(), []
+        visits: dict[str, tuple] = {}  # of the vehicles that have events now
+        for time, _, _, status, plate, location in rows:
+            visit = visits.get(plate) or self.so_far(plate) or (0, *[None] * 5)
+            number, entry, entered_at = visit[:3]
             if status == "PARKED" and entry is None:
-                entry, entered_at = last, location
+                entry, entered_at = time, location
             if status == "EXITING":
                 if entry is not None:
-                    held.append(seen(True))
+                    held.append((plate, number, status, True, entry, time, time, entered_at, location))
                 number, entry, entered_at = number + 1, None, None
+            visits[plate] = (number, entry, entered_at, time, status, location)
+            if len(held) == STEP_ROWS:
+                yield pd.DataFrame(held, columns=names)
+                held = []
+        for plate, visit in visits.items():
+            self.keep(plate, visit)
+            number, entry, entered_at, last, status, location = visit
+            if entry is not None:
+                held.append((plate, number, status, False, entry, last, None, entered_at, location))
             if len(held) == STEP_ROWS:
-                yield pd.DataFrame(held)
+                yield pd.DataFrame(held, columns=names)
                 held = []
-        if entry is not None:
-            held.append(seen(False))
-        self.visit.update((number, entry, entered_at, last, status, location))
         if held:
-            yield pd.DataFrame(held)
+            yield pd.DataFrame(held, columns=names)
 
     def late(self, frame: pd.DataFrame) -> pd.DataFrame:
         names = {"status_code": "current_status", "timestamp_unix": "last_update", "location": "last_location"}
         return frame.rename(columns=names)
 
 
-def _in_event_order(events: DataFrame, settings: Settings, key: str, processor: InOrder) -> DataFrame:
+class BucketedVisits(VisitsInOrder):
+    """The same where the key is a bucket of vehicles: a map state holds the visit of each, and those without events are not read."""
+
+    def prepare(self, handle: StatefulProcessorHandle) -> None:
+        self.visits = handle.getMapState("visits", "license_plate string", _VISIT)
+
+    def so_far(self, plate: str) -> tuple | None:
+        return self.visits.getValue((plate,))
+
+    def keep(self, plate: str, visit: tuple) -> None:
+        self.visits.updateValue((plate,), visit)
+
+
+def _in_event_order(events: DataFrame, settings: Settings, key: Column, processor: InOrder) -> DataFrame:
     clock = F.timestamp_seconds("timestamp_unix")
     rows = events.withColumn("__clock", clock).withWatermark("__clock", settings.watermark)
-    rows = rows.select("license_plate", "location", "status_code", *EVENT_ORDER)
+    # an event without an id applies after the others of its time and status
+    place = [F.coalesce(name, F.lit(LAST_ID)).alias(name) if name == "event_id" else name for name in EVENT_ORDER]
+    rows = rows.select(key.alias("__key"), "license_plate", "location", "status_code", *place)
     ship(events.sparkSession)
-    return rows.groupBy(key).transformWithStateInPandas(
+    return rows.groupBy("__key").transformWithStateInPandas(
         statefulProcessor=processor, outputStructType=processor.output, outputMode="Update", timeMode="EventTime"
     )
 
 
 def slots_in_order(events: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """Update stream of slot states in event order; ``late`` marks events that came too late (location, status, last_update_unix, plate)."""
-    return _in_event_order(known_events(events), settings, "location", SlotsInOrder(settings))
+    return _in_event_order(known_events(events), settings, F.col("location"), SlotsInOrder(settings))
 
 
 def visits_in_order(events: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """Update stream of visits in event order; ``late`` marks events that came too late (plate, status, last_update, last_location)."""
     rows = billable_events(events).where("license_plate IS NOT NULL")
-    return _in_event_order(rows, settings, "license_plate", VisitsInOrder())
+    bucket = F.pmod(F.xxhash64("license_plate"), F.lit(BUCKETS))
+    return _in_event_order(rows, settings, bucket, BucketedVisits())

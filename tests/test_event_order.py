@@ -151,3 +151,63 @@ def test_one_key_with_many_rows_stays_small():
         closed, open_rows = closed + int(frame["closed"].sum()), open_rows + int((~frame["closed"]).sum())
     assert (closed, open_rows) == (333_333, 1) and not store.data
     assert resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before < 150_000
+
+
+class Handle:
+    """Timers as they are set, and states in memory."""
+
+    def __init__(self):
+        self.timers, self.calls = [], 0
+
+    def getMapState(self, *_):
+        return Counted(self)
+
+    def getValueState(self, *_):
+        return Value()
+
+    def registerTimer(self, moment):
+        self.timers.append(moment)
+
+
+class Counted(Store):
+    def __init__(self, handle):
+        super().__init__()
+        self.handle = handle
+
+    def getValue(self, key):
+        return self.data.get(key)
+
+    def updateValue(self, key, value):
+        self.handle.calls += 1
+        self.data[key] = value
+
+
+class Clock:
+    def __init__(self, seconds):
+        self.seconds = seconds
+
+    def getCurrentWatermarkInMs(self):
+        return self.seconds * 1000
+
+
+def waiting_rows(rows):
+    return pd.DataFrame(rows, columns=list(ordered_state._WAITING))
+
+
+def test_vehicles_of_a_bucket_share_frames_chunks_and_timers():
+    """Three thousand vehicles with two events each: what is written grows with the events and not with a frame per vehicle."""
+    plates, handle, processor = [f"P{n}" for n in range(3000)], Handle(), ordered_state.BucketedVisits()
+    processor.init(handle)
+    parked = [(1000 + n, 2, n, "PARKED", plate, "A1") for n, plate in enumerate(plates)]
+    left = [(9000 + n, 4, n, "EXITING", plate, "A2") for n, plate in enumerate(plates[::2])]
+    assert not list(processor.handleInputRows((7,), iter([waiting_rows(parked + left)]), Clock(0)))
+    assert handle.calls <= 4500 // ordered_state.CHUNK_ROWS + 1 and handle.timers == [1_000_000]
+    first = list(processor.handleExpiredTimer((7,), Clock(8000), None))
+    assert len(first) == 1 and len(first[0]) == 3000 and not first[0]["closed"].any()
+    frames = list(processor.handleExpiredTimer((7,), Clock(20_000), None))
+    assert len(frames) == 1 and handle.timers == [1_000_000, 9_000_000] and not processor.waiting.chunks.data
+    got = frames[0].set_index("license_plate")
+    assert set(got.index) == set(plates[::2]) and got["closed"].all() and not got["late"].any()
+    assert got.loc["P4", ["visit_no", "entry_time", "exit_time", "entry_location", "last_location"]].tolist() == [0, 1004, 9002, "A1", "A2"]
+    late = list(processor.handleInputRows((7,), iter([waiting_rows(parked)]), Clock(20_000)))
+    assert len(late) == 1 and late[0]["late"].all() and list(late[0]["last_update"]) == [row[0] for row in parked]
