@@ -37,7 +37,8 @@ def write_part(spark: SparkSession, sf: str, part: int, path: str) -> int:
     if high:
         raw = raw.where(F.col("ts") < F.lit(high).cast("timestamp_ntz"))
     files = spark.sparkContext.defaultParallelism
-    to_record(as_sightings(raw)).repartition(files).write.mode("append").parquet(path)
+    # dealt out as read: the scan may be a few tasks, and the work on each record comes after
+    to_record(as_sightings(raw.repartition(files))).write.mode("append").parquet(path)
     return files
 
 
@@ -245,8 +246,8 @@ def _straggling(spark: SparkSession, sf: str) -> DataFrame:
         part = F.when(F.col("ts") < F.lit(CUTS[0]).cast("timestamp_ntz"), 0).when(F.col("ts") < F.lit(CUTS[1]).cast("timestamp_ntz"), 1).otherwise(2)
         arrives = F.least(part + (F.col("event_id") % 5 == 0).cast("int"), F.lit(2))
         for number in range(3):
-            rows = as_sightings(raw_events(spark, sf).where(arrives == number))
-            to_record(rows).repartition(files).write.mode("append").parquet(path)
+            rows = as_sightings(raw_events(spark, sf).where(arrives == number).repartition(files))
+            to_record(rows).write.mode("append").parquet(path)
         _feeds[key] = path
     return file_records(streaming_session(spark), _feeds[key], files)
 

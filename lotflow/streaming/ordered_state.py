@@ -99,13 +99,16 @@ class InOrder(StatefulProcessor):
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         passed = timerValues.getCurrentWatermarkInMs() // 1000
+        starts = []
         for frame in rows:
             late = frame["timestamp_unix"] <= passed
             if late.any():
                 yield self.shaped(self.late(frame[late]), late=True)
                 frame = frame[~late]
             if len(frame):
-                self.handle.registerTimer(self.waiting.add(frame) * 1000)
+                starts.append(self.waiting.add(frame))
+        if starts:
+            self.handle.registerTimer(min(starts) * 1000)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         passed = timerValues.getCurrentWatermarkInMs() // 1000

@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 from operator import attrgetter
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import types as T
@@ -73,8 +74,9 @@ def advance_slot(rows: pd.DataFrame, state: tuple | None, price: int) -> pd.Data
     fee = forward(((minutes + (MINUTES_PER_BLOCK - 1)) // MINUTES_PER_BLOCK * price).where(charges & enter.notna()), fee0)
     # a plate may be set to null, so the row that set it fills forward, not its value
     row_no = pd.Series(range(len(rows)), dtype="Int64")
-    setter = row_no.where(restart | (status == "ENTERING")).groupby(stay).ffill()
-    plates = [plate.iloc[n] if pd.notna(n) else (plate0 if first else None) for n, first in zip(setter, inherits)]
+    setter = row_no.where(restart | (status == "ENTERING")).groupby(stay).ffill().fillna(-1).to_numpy(dtype="int64")
+    plates = np.append(plate.to_numpy(dtype=object), None)[setter]
+    plates[(setter < 0) & inherits.to_numpy()] = plate0
     return pd.DataFrame(
         {
             "location": rows["location"],

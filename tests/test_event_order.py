@@ -211,3 +211,14 @@ def test_vehicles_of_a_bucket_share_frames_chunks_and_timers():
     assert got.loc["P4", ["visit_no", "entry_time", "exit_time", "entry_location", "last_location"]].tolist() == [0, 1004, 9002, "A1", "A2"]
     late = list(processor.handleInputRows((7,), iter([waiting_rows(parked)]), Clock(20_000)))
     assert len(late) == 1 and late[0]["late"].all() and list(late[0]["last_update"]) == [row[0] for row in parked]
+
+
+def test_frames_of_one_batch_set_one_timer():
+    """Each timer reads the waiting chunks of its key, so a slot with many frames in a batch sets one, at its earliest event."""
+    handle, processor = Handle(), ordered_state.SlotsInOrder(SETTINGS)
+    processor.init(handle)
+    frames = [waiting_rows([(5000 - 10 * n + i, 2, i, "PARKED", "P", "A1") for i in range(10)]) for n in range(20)]
+    assert not list(processor.handleInputRows(("A1",), iter(frames), Clock(0)))
+    assert handle.timers == [4810_000]
+    states = pd.concat(processor.handleExpiredTimer(("A1",), Clock(6000), None))
+    assert states[["status", "last_update_unix", "seq"]].values.tolist() == [["PARKED", 5009, 200]]
